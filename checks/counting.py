@@ -8,6 +8,7 @@ import quillspan as q
 from checks.registry import check, words_sql
 from quillspan.functions import text as ta
 from quillspan.operators import responses
+from quillspan.sources.readers import spread
 
 TOP = "ORDER BY doc_count DESC, key ASC LIMIT"
 
@@ -27,7 +28,7 @@ def agg_terms(table):
     f"GROUP BY 1 {TOP} 100",
 )
 def agg_terms_array(table):
-    words = table("documents").select("doc_id", ta.tokens(F.col("text")).alias("words"))
+    words = spread(table("documents")).select("doc_id", ta.tokens(F.col("text")).alias("words"))
     return q.terms_agg(words, "words", size=100)
 
 

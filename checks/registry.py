@@ -15,6 +15,21 @@ ORACLES: dict[str, str] = {}
 WORD = r"[\p{L}\p{M}\p{N}_]+(?:''[\p{L}\p{M}\p{N}]+)*"
 
 
+class Tables:
+    """``tables(name)`` reads a table; the session and the folder are at hand for streams."""
+
+    def __init__(self, spark: SparkSession, folder: str):
+        self.spark = spark
+        self.folder = folder
+
+    def __call__(self, name: str) -> DataFrame:
+        return read_table(self.spark, self.folder, name)
+
+    def stream(self, name: str) -> DataFrame:
+        files = self.spark.readStream.schema(self(name).schema).option("pathGlobFilter", f"{name}.parquet")
+        return files.parquet(self.folder)
+
+
 def check(name: str, sql: str | None = None):
     """Register a query over ``table(name)`` under ``name``."""
 
@@ -23,7 +38,7 @@ def check(name: str, sql: str | None = None):
             raise ValueError(f"{name} is registered twice")
 
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return query(lambda table: read_table(spark, sf_dir, table))
+            return query(Tables(spark, sf_dir))
 
         QUERIES[name] = run
         if sql is not None:

@@ -16,15 +16,21 @@ from checks.registry import (
     words_sql,
 )
 from quillspan.functions import text as ta
+from quillspan.functions.rows import unnest
 from quillspan.plans.postings import build_postings, match_postings
+from quillspan.sources.readers import spread
 
 ID = "doc_id"
 TWO = ["the", "of"]
 THREE = ["the", "of", "les"]
 
 
+def texts(table):
+    return spread(table("documents"))
+
+
 def scored(table, query, **sections):
-    return q.search(table("documents"), ID, query=query, size=None, fields=[ID], **sections).hits
+    return q.search(texts(table), ID, query=query, size=None, fields=[ID], **sections).hits
 
 
 def scored_sql(terms, score, where):
@@ -36,8 +42,8 @@ def scored_sql(terms, score, where):
     f"SELECT token, count(*) AS n FROM (SELECT unnest({words_sql()}) AS token FROM documents) GROUP BY token",
 )
 def analyze_tokens(table):
-    words = table("documents").select(F.explode(ta.analyzed(F.col("text"))).alias("token"))
-    return words.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+    words = texts(table).select(ta.analyzed(F.col("text")).alias("t"))
+    return unnest(words, "t", "token").groupBy("token").agg(F.count(F.lit(1)).alias("n"))
 
 
 # Each token is where its offsets say, ends where the rest of the text goes on, and no token is missed.
@@ -55,7 +61,8 @@ def analyze_tokens(table):
     "WINDOW w AS (PARTITION BY e.doc_id ORDER BY e.position)",
 )
 def analyze_offsets(table):
-    return table("documents").select(ID, F.inline(ta.analyze(F.col("text"))))
+    analyzed = texts(table).select(ID, ta.analyze(F.col("text")).alias("t"))
+    return unnest(analyzed, "t", "w").select(ID, "w.*")
 
 
 @check(
@@ -65,7 +72,8 @@ def analyze_offsets(table):
     "SELECT left(token, n) AS gram, count(*) AS n, count(DISTINCT doc_id) AS docs FROM g GROUP BY 1",
 )
 def edge_ngrams(table):
-    grams = table("documents").select(ID, F.explode(ta.analyzed(F.col("text"), "edge_ngrams")).alias("gram"))
+    analyzed = texts(table).select(ID, ta.analyzed(F.col("text"), "edge_ngrams").alias("t"))
+    grams = unnest(analyzed, "t", "gram")
     per_doc = grams.groupBy("gram", ID).agg(F.count(F.lit(1)).alias("c"))
     return per_doc.groupBy("gram").agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("docs"))
 
@@ -98,13 +106,13 @@ def match_minimum(table):
 )
 def match_bm25(table):
     return q.search(
-        table("documents"), ID, query=q.match("text", "the of"), filter=q.terms("lang", ["en", "fr"]), fields=[ID]
+        texts(table), ID, query=q.match("text", "the of"), filter=q.terms("lang", ["en", "fr"]), fields=[ID]
     ).hits
 
 
 @check("q_match_postings", scored_sql(THREE, bm25_sql(THREE), any_sql(THREE)))
 def match_by_postings(table):
-    hits = match_postings(build_postings(table("documents"), ID, "text"), "the of les")
+    hits = match_postings(build_postings(texts(table), ID, "text"), "the of les")
     return hits.withColumnRenamed("_id", ID)
 
 
@@ -117,7 +125,7 @@ def match_by_postings(table):
 def unlimited(table):
     named = q.bool_(must=q.match("text", "the of", name="text"))
     hits = q.unlimited_search(
-        table("documents"), ID, query=named, filter=q.or_filter([q.term("lang", "en", name="english"), q.match_all()])
+        texts(table), ID, query=named, filter=q.or_filter([q.term("lang", "en", name="english"), q.match_all()])
     )
     return hits.withColumn("matched", F.array_join("matched_queries", ",")).drop("matched_queries")
 
@@ -240,7 +248,7 @@ def dis_max(table):
 )
 def explain(table):
     hits = scored(table, [q.match("text", "the of"), q.term("lang", "en")], explain=True)
-    return hits.select(ID, F.explode("explanation").alias("part", "value"))
+    return unnest(hits, "explanation", "part", "value").select(ID, "part", "value")
 
 
 @check(
@@ -249,4 +257,4 @@ def explain(table):
     f"WHERE {any_sql(TWO)}",
 )
 def max_score(table):
-    return q.search(table("documents"), ID, query=q.match("text", "the of")).summary
+    return q.search(texts(table), ID, query=q.match("text", "the of")).summary

@@ -4,14 +4,13 @@ from __future__ import annotations
 
 import re
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
 def _canonical_udf():
-    import pandas as pd
-
     @F.pandas_udf("string")
     def canonical(texts: pd.Series) -> pd.Series:
         import json

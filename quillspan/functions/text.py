@@ -11,7 +11,12 @@ import regex
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-TOKEN_PATTERN = r"[\p{L}\p{M}\p{N}_]+(?:'[\p{L}\p{M}\p{N}]+)*"
+_WORD = r"[\p{L}\p{M}\p{N}_]"
+_TAIL = r"[\p{L}\p{M}\p{N}]"
+TOKEN_PATTERN = f"{_WORD}++(?:'{_TAIL}++)*+"
+# Where a token starts and ends: neither inside a run nor next to an apostrophe that joins two runs.
+_STARTS = f"(?<!{_WORD})(?<!{_WORD}')"
+_ENDS = f"(?!{_WORD})(?!'{_TAIL})"
 TOKEN_TYPE = "word"
 _MARK = "\u0001"
 
@@ -30,18 +35,25 @@ def tokens(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(TOKEN_PATTERN), F.lit(0))
 
 
-def padded(token_array: Column) -> Column:
-    """Tokens as one string in which every token owns the blank on both its sides.
+def words_regex(terms: list[str]) -> str:
+    """Finds any of ``terms`` as a whole token of lower-cased text, without tokenizing it."""
+    return f"{_STARTS}(?:{'|'.join(terms)}){_ENDS}"
 
-    Tokens hold no blanks, so a run of whole tokens is a plain substring.
-    """
-    return F.concat(F.lit(" "), F.array_join(token_array, "  "), F.lit(" "))
+
+def run_regex(terms: list[str], last_is_prefix: bool = False) -> str:
+    """Finds ``terms`` as neighbouring tokens in this order; the last may be cut short."""
+    between = f"{_ENDS}[^\\p{{L}}\\p{{M}}\\p{{N}}_]+{_STARTS}"
+    return _STARTS + between.join(terms) + ("" if last_is_prefix else _ENDS)
 
 
-def padded_run(terms: list[str], last_is_prefix: bool = False) -> str:
-    """The substring of :func:`padded` that stands for ``terms`` in a row."""
-    run = " " + "  ".join(terms)
-    return run if last_is_prefix else run + " "
+def holds_run(token_array: Column, terms: list[str], last_is_prefix: bool = False) -> Column:
+    """Whether ``terms`` are neighbours in an array of tokens.
+
+    Tokens hold no blanks.  Joined so that each owns the blank on both its sides, a run of
+    tokens is a plain substring.
+    """
+    joined = F.concat(F.lit(" "), F.array_join(token_array, "  "), F.lit(" "))
+    return joined.contains(" " + "  ".join(terms) + ("" if last_is_prefix else " "))
 
 
 def term_frequency(token_array: Column, term: str) -> Column:

@@ -10,6 +10,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quillspan.functions.rows import unnest
+
 DEFAULT_BUCKETS = 10
 
 
@@ -78,7 +80,9 @@ def run_aggs(df: DataFrame, aggs: dict[str, TermsAgg | RangesAgg]) -> DataFrame:
     before the shuffle.  Keys are shown as text; ties go to the smaller key.
     """
     entries = F.concat(*[_entries(df, name, agg) for name, agg in aggs.items()])
-    counted = df.select(F.explode(entries).alias("e")).select("e.agg", "e.key", F.lit(1).cast("bigint").alias("n"))
+    counted = unnest(df.select(entries.alias("a")), "a", "e").select(
+        "e.agg", "e.key", F.lit(1).cast("bigint").alias("n")
+    )
     empty = [
         (name, b.key, 0) for name, agg in aggs.items() if isinstance(agg, RangesAgg) for b in agg.buckets
     ]
@@ -161,9 +165,9 @@ def terms_agg(
 
 
 def _keyed(df: DataFrame, field: str, name: str) -> DataFrame:
-    value = F.explode(distinct_values(field)) if is_array(df, field) else F.col(field)
-    keyed = df.withColumn(name, value)
-    return keyed if is_array(df, field) else keyed.where(F.col(name).isNotNull())
+    if is_array(df, field):
+        return unnest(df, distinct_values(field), name)
+    return df.where(F.col(field).isNotNull()).withColumn(name, F.col(field))
 
 
 def ranges_agg(df: DataFrame, field: str, buckets: list[Bucket | None]) -> DataFrame:
@@ -213,11 +217,8 @@ def fold_hits(pages: DataFrame) -> DataFrame:
     collected into one row.
     """
     failed = pages.where(F.col("error").isNotNull()).select("search_id").distinct()
-    return (
-        pages.join(failed, "search_id", "left_anti")
-        .select("search_id", "page_no", F.posexplode("hits").alias("pos", "hit"))
-        .select("search_id", "page_no", "pos", "hit.*")
-    )
+    hits = unnest(pages.join(failed, "search_id", "left_anti"), "hits", "hit", position="pos")
+    return hits.select("search_id", "page_no", "pos", "hit.*")
 
 
 def delete_stats(deleted: DataFrame, index_col: str = "_index") -> DataFrame:

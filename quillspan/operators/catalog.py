@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quillspan.functions.rows import unnest
+
 ALIAS_SCHEMA = "index string, alias string, index_routing string, search_routing string"
 _ALIAS = ["index", "alias"]
 _ROUTINGS = ["index_routing", "search_routing"]
@@ -112,7 +114,8 @@ def json_mappings(docs: DataFrame, source_col: str = "_source", by: tuple = ("_i
     Values of one field are merged into their common type while scanning; only one row per
     field is shuffled.
     """
-    fields = docs.select(*by, F.explode(F.from_json(source_col, "map<string,variant>")).alias("field", "value"))
+    parsed = docs.select(*by, F.from_json(source_col, "map<string,variant>").alias("m"))
+    fields = unnest(parsed, "m", "field", "value")
     return fields.groupBy(*by, "field").agg(F.schema_of_variant_agg("value").alias("data_type"))
 
 

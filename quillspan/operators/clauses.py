@@ -12,7 +12,6 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass, field, replace
-from functools import reduce
 from typing import TYPE_CHECKING
 
 from pyspark.sql import Column, DataFrame
@@ -20,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quillspan.functions import geo
+from quillspan.functions.logic import all_of, any_of, total
 
 if TYPE_CHECKING:
     from quillspan.operators.collection import Collection
@@ -81,18 +81,6 @@ def all_terms(clauses: Iterable[Clause]) -> frozenset:
     return frozenset().union(*[c.terms for c in clauses])
 
 
-def any_of(columns: list[Column]) -> Column:
-    return reduce(lambda a, b: a | b, columns) if columns else F.lit(False)
-
-
-def all_of(columns: list[Column]) -> Column:
-    return reduce(lambda a, b: a & b, columns) if columns else F.lit(True)
-
-
-def total(columns: list[Column]) -> Column:
-    return reduce(lambda a, b: a + b, columns) if columns else F.lit(0.0)
-
-
 def worth(bound: Bound) -> Column:
     """The clause's score where it matches, else 0."""
     return F.when(bound.matches, bound.score).otherwise(F.lit(0.0))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quillspan.functions import text
+from quillspan.functions.logic import all_of, any_of
 
 K1 = 1.2
 B = 0.75
@@ -58,16 +59,23 @@ class Collection:
             return F.col(self.token_columns[field])
         return text.tokens(self.column(field))
 
-    def could_hold(self, field: str, terms: list[str], every: bool) -> Column:
-        """A cheap test that no matching document fails, to spare the others the tokenizer."""
+    def holds_any(self, field: str, terms: list[str]) -> Column:
+        """Whether a text has at least one of ``terms``.
+
+        Stored tokens are looked through.  Other text is searched in place, which stops at the
+        first find, after a substring test that spares most texts the search.
+        """
+        if field in self.token_columns:
+            return F.arrays_overlap(self.tokens(field), F.array(*[F.lit(t) for t in terms]))
+        lowered = F.lower(self.column(field))
+        return any_of([lowered.contains(t) for t in terms]) & lowered.rlike(text.words_regex(terms))
+
+    def holds_run(self, field: str, terms: list[str], last_is_prefix: bool) -> Column:
+        """Whether ``terms`` are neighbours in a text; the last may stand for what it begins."""
         if field in self.token_columns:
-            return F.lit(True)
+            return text.holds_run(self.tokens(field), terms, last_is_prefix)
         lowered = F.lower(self.column(field))
-        tests = [lowered.contains(t) for t in terms]
-        out = tests[0]
-        for t in tests[1:]:
-            out = (out & t) if every else (out | t)
-        return out
+        return all_of([lowered.contains(t) for t in terms]) & lowered.rlike(text.run_regex(terms, last_is_prefix))
 
     def _statistics(self) -> Column:
         """One row over the whole collection, read as a scalar subquery: no join, nothing collected."""

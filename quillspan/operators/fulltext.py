@@ -6,19 +6,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from quillspan.functions import text as ta
-from quillspan.operators.clauses import (
-    Bound,
-    Clause,
-    all_of,
-    all_terms,
-    any_of,
-    bool_,
-    names_of,
-    present,
-    required_matches,
-    total,
-    worth,
-)
+from quillspan.functions.logic import all_of, any_of, total
+from quillspan.operators.clauses import Bound, Clause, all_terms, bool_, names_of, present, required_matches, worth
 
 
 def match(
@@ -46,18 +35,14 @@ def match(
         return Clause(lambda c: Bound(F.lit(False), F.lit(0.0))).named(name)
 
     def bind(c):
-        words = c.tokens(field)
-        held = [F.array_contains(words, t) for t in wanted]
-        if minimum_should_match is not None:
-            need = max(1, required_matches(minimum_should_match, len(wanted)))
-            matches = total([F.coalesce(h, F.lit(False)).cast("int") for h in held]) >= need
-        elif operator == "and":
-            matches = c.could_hold(field, wanted, every=True) & all_of(held)
-        else:
-            matches = c.could_hold(field, wanted, every=False) & F.arrays_overlap(
-                words, F.array(*[F.lit(t) for t in wanted])
-            )
-        return _scored(c, field, wanted, matches)
+        if operator == "or" and minimum_should_match is None:
+            return _scored(c, field, wanted, c.holds_any(field, wanted))
+        held = [c.holds_any(field, [t]) for t in wanted]
+        if minimum_should_match is None:
+            return _scored(c, field, wanted, all_of(held))
+        need = max(1, required_matches(minimum_should_match, len(wanted)))
+        found = total([F.coalesce(h, F.lit(False)).cast("int") for h in held])
+        return _scored(c, field, wanted, found >= need)
 
     return Clause(bind, frozenset((field, t) for t in wanted)).named(name)
 
@@ -81,8 +66,7 @@ def _run(label: str, field: str, text: str, last_is_prefix: bool, name: str | No
     whole = ta.distinct_in_order(wanted[:-1] if last_is_prefix else wanted)
 
     def bind(c):
-        run = ta.padded_run(wanted, last_is_prefix)
-        matches = c.could_hold(field, wanted, every=True) & ta.padded(c.tokens(field)).contains(run)
+        matches = c.holds_run(field, wanted, last_is_prefix)
         if not whole:
             return Bound(matches, F.lit(1.0), parts=((f"{label}({field})", F.lit(1.0)),))
         return _scored(c, field, whole, matches)

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillspan.functions.json import has_key, is_json
+from quillspan.functions.rows import unnest
 from quillspan.operators.clauses import NAME_DELIMITER
 
 # Record layouts of the responses.
@@ -109,8 +110,7 @@ def search_hits(df: DataFrame, payload: str = "payload") -> DataFrame:
     """One row per hit with its ``pos``; a response without hits gives none."""
     keys = _keys(df, payload)
     parsed = df.select(*keys, F.from_json(payload, SEARCH_RESPONSE).alias("r"))
-    hits = parsed.select(*keys, F.posexplode("r.hits.hits").alias("pos", "h"))
-    return hits.select(
+    return unnest(parsed, "r.hits.hits", "h", position="pos").select(
         *keys,
         "pos",
         *[F.col(f"h.{c}").alias(c) for c in ("_index", "_type", "_id", "_score", "_source")],
@@ -154,9 +154,8 @@ def bulk_items(df: DataFrame, payload: str = "payload") -> DataFrame:
     An item that is neither an update nor a delete has kind ``unknown`` and no further values.
     """
     keys = _keys(df, payload)
-    items = df.select(*keys, F.from_json(payload, BULK_RESPONSE).alias("r")).select(
-        *keys, F.posexplode("r.items").alias("pos", "i")
-    )
+    parsed = df.select(*keys, F.from_json(payload, BULK_RESPONSE).alias("r"))
+    items = unnest(parsed, "r.items", "i", position="pos")
     either = [
         F.coalesce(F.col(f"i.update.{c}"), F.col(f"i.delete.{c}")).alias(c)
         for c in ("_index", "_type", "_id", "_version", "status", "error")
@@ -171,7 +170,7 @@ def _listing(df: DataFrame, payload: str, record: str) -> DataFrame:
     """Rows of a listing that is a JSON array; objects (errors) and blanks give none."""
     is_list = F.ltrim(F.col(payload)).startswith("[")
     rows = F.when(is_list, F.from_json(payload, f"array<struct<{record}>>"))
-    return df.select(*_keys(df, payload), F.explode(rows).alias("e"))
+    return unnest(df.select(*_keys(df, payload), rows.alias("r")), "r", "e")
 
 
 def shard_listing(df: DataFrame, payload: str = "payload") -> DataFrame:
@@ -212,9 +211,8 @@ def index_listing(df: DataFrame, payload: str = "payload") -> DataFrame:
 def node_stats(df: DataFrame, payload: str = "payload", attributes: tuple = ()) -> DataFrame:
     """One row per node; used disk is NULL unless both sizes are known."""
     keys = _keys(df, payload)
-    nodes = df.select(*keys, F.from_json(payload, NODE_STATS).alias("r")).select(
-        *keys, F.explode("r.nodes").alias("node_id", "n")
-    )
+    parsed = df.select(*keys, F.from_json(payload, NODE_STATS).alias("r"))
+    nodes = unnest(parsed, "r.nodes", "node_id", "n")
     total, free = F.col("n.fs.total.total_in_bytes"), F.col("n.fs.total.available_in_bytes")
     return nodes.select(
         *keys,
@@ -232,13 +230,9 @@ def node_stats(df: DataFrame, payload: str = "payload", attributes: tuple = ())
 def routing_shards(df: DataFrame, payload: str = "payload") -> DataFrame:
     """One row per copy of a shard from a routing table of indices, shards and copies."""
     keys = _keys(df, payload)
-    indices = df.select(*keys, F.from_json(payload, ROUTING_TABLE).alias("r")).select(
-        *keys, F.explode("r.routing_table.indices").alias("_name", "i")
-    )
-    copies = indices.select(*keys, F.explode("i.shards").alias("_number", "c")).select(
-        *keys, F.explode("c").alias("s")
-    )
-    return copies.select(
+    parsed = df.select(*keys, F.from_json(payload, ROUTING_TABLE).alias("r"))
+    shards = unnest(unnest(parsed, "r.routing_table.indices", "_name", "i"), "i.shards", "_number", "c")
+    return unnest(shards, "c", "s").select(
         *keys,
         *[F.col(f"s.{c}").alias(c) for c in ("state", "primary", "node", "relocating_node", "shard", "index")],
         F.col("s.unassigned_info.reason").alias("unassigned_reason"),
@@ -272,8 +266,8 @@ def worst_status(requested: DataFrame, health: DataFrame, by: list[str] | None =
 def alias_rows(df: DataFrame, payload: str = "payload") -> DataFrame:
     """Rows ``index, alias, index_routing, search_routing``; an index without aliases gives none."""
     keys = _keys(df, payload)
-    indices = df.select(*keys, F.explode(F.from_json(payload, ALIASES)).alias("index", "a"))
-    return indices.select(*keys, "index", F.explode("a.aliases").alias("alias", "r")).select(
+    indices = unnest(df.select(*keys, F.from_json(payload, ALIASES).alias("p")), "p", "index", "a")
+    return unnest(indices, "a.aliases", "alias", "r").select(
         *keys, "index", "alias", "r.index_routing", "r.search_routing"
     )
 
@@ -281,32 +275,32 @@ def alias_rows(df: DataFrame, payload: str = "payload") -> DataFrame:
 def mapping_rows(df: DataFrame, payload: str = "payload") -> DataFrame:
     """Rows ``index, type, field, data_type``."""
     keys = _keys(df, payload)
-    indices = df.select(*keys, F.explode(F.from_json(payload, MAPPINGS)).alias("index", "m"))
-    types = indices.select(*keys, "index", F.explode("m.mappings").alias("type", "t"))
-    return types.select(*keys, "index", "type", F.explode("t.properties").alias("field", "p")).select(
+    indices = unnest(df.select(*keys, F.from_json(payload, MAPPINGS).alias("r")), "r", "index", "m")
+    types = unnest(indices, "m.mappings", "type", "t")
+    return unnest(types, "t.properties", "field", "p").select(
         *keys, "index", "type", "field", F.col("p.type").alias("data_type")
     )
 
 
 def snapshot_rows(df: DataFrame, payload: str = "payload") -> DataFrame:
     """Rows ``snapshot, indices, state``."""
-    return df.select(*_keys(df, payload), F.from_json(payload, SNAPSHOTS).alias("r")).select(
-        *_keys(df, payload), F.inline("r.snapshots")
-    )
+    keys = _keys(df, payload)
+    parsed = df.select(*keys, F.from_json(payload, SNAPSHOTS).alias("r"))
+    return unnest(parsed, "r.snapshots", "s").select(*keys, "s.*")
 
 
 def repository_rows(df: DataFrame, payload: str = "payload") -> DataFrame:
     """Rows ``name, type, settings``."""
     keys = _keys(df, payload)
-    return df.select(*keys, F.explode(F.from_json(payload, REPOSITORIES)).alias("name", "d")).select(
-        *keys, "name", "d.type", "d.settings"
-    )
+    parsed = df.select(*keys, F.from_json(payload, REPOSITORIES).alias("r"))
+    return unnest(parsed, "r", "name", "d").select(*keys, "name", "d.type", "d.settings")
 
 
 def token_rows(df: DataFrame, payload: str = "payload") -> DataFrame:
     """One row per token of an analysis response."""
     keys = _keys(df, payload)
-    return df.select(*keys, F.from_json(payload, TOKENS).alias("r")).select(*keys, F.inline("r.tokens"))
+    parsed = df.select(*keys, F.from_json(payload, TOKENS).alias("r"))
+    return unnest(parsed, "r.tokens", "t").select(*keys, "t.*")
 
 
 def health_rows(df: DataFrame, payload: str = "payload") -> DataFrame:

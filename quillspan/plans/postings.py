@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillspan.functions import text as ta
+from quillspan.functions.rows import unnest
 from quillspan.operators.collection import bm25, inverse_document_frequency
 from quillspan.operators.search import SCORE_DIGITS
 
@@ -24,10 +25,10 @@ class Postings:
 
 
 def build_postings(df: DataFrame, id_col: str, field: str) -> Postings:
-    """Token counts per document, counted inside the document's row: no shuffle."""
+    """Token counts per document; all tokens of a document meet before the shuffle."""
     words = df.select(F.col(id_col).alias("_id"), ta.tokens(F.col(field)).alias("t"))
     lengths = words.agg(F.count(F.lit(1)).alias("n"), F.avg(F.size("t")).alias("avgdl"))
-    exploded = words.select("_id", F.size("t").alias("dl"), F.explode("t").alias("token"))
+    exploded = unnest(words.withColumn("dl", F.size("t")), "t", "token")
     rows = exploded.groupBy("token", "_id").agg(
         F.count(F.lit(1)).cast("int").alias("tf"), F.first("dl").alias("dl")
     )

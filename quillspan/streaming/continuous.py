@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from quillspan.functions.rows import unnest
 from quillspan.operators.aggs import Bucket
 from quillspan.operators.clauses import Clause
 from quillspan.operators.search import matching
@@ -18,15 +19,14 @@ def continuous_upsert(
 ) -> StreamingQuery:
     """Apply every micro-batch of write actions to the store.
 
-    Batch n makes the version n + 1 after the one the store had when the stream first started
-    (version 1 by convention), so a batch that is run again after a failure changes nothing.
+    The store holds version 1 when the stream first starts and has no other writer; batch n makes
+    version n + 2, so a batch that is run again after a failure changes nothing.
     """
 
     def apply_batch(batch: DataFrame, batch_id: int) -> None:
         version = batch_id + 2
-        if store.latest() >= version:
-            return
-        store.apply(batch, version=version, scripts=scripts, apply=apply)
+        if store.latest() < version:
+            store.apply(batch, version=version, scripts=scripts, apply=apply)
 
     return (
         actions.writeStream.foreachBatch(apply_batch)
@@ -41,13 +41,18 @@ def standing_query(stream: DataFrame, query: Clause | list) -> DataFrame:
     return matching(stream, query)
 
 
+def _timed(stream: DataFrame, time_col: str, late: str) -> DataFrame:
+    """Event time has to be an instant; a wall-clock time is read in the session's time zone."""
+    return stream.withColumn(time_col, F.col(time_col).cast("timestamp")).withWatermark(time_col, late)
+
+
 def windowed_terms(
     stream: DataFrame, time_col: str, field: str, window: str, late: str, slide: str | None = None
 ) -> DataFrame:
     """Documents per value and event-time window; ``late`` is how long a window waits."""
     return (
-        stream.where(F.col(field).isNotNull())
-        .withWatermark(time_col, late)
+        _timed(stream, time_col, late)
+        .where(F.col(field).isNotNull())
         .groupBy(F.window(time_col, window, slide), F.col(field).alias("key"))
         .agg(F.count(F.lit(1)).alias("doc_count"))
         .select(F.col("window.start").alias("window_start"), "key", "doc_count")
@@ -60,9 +65,32 @@ def windowed_ranges(
     """Documents per named range, which may overlap, and event-time window."""
     held = [F.when(b.holds(F.col(field)), F.lit(b.key)) for b in buckets if b is not None]
     return (
-        stream.withWatermark(time_col, late)
-        .withColumn("key", F.explode(F.array_compact(F.array(*held))))
+        unnest(_timed(stream, time_col, late), F.array_compact(F.array(*held)), "key")
         .groupBy(F.window(time_col, window), "key")
         .agg(F.count(F.lit(1)).alias("doc_count"))
         .select(F.col("window.start").alias("window_start"), "key", "doc_count")
     )
+
+
+def keep_updates(counts: DataFrame, path: str, checkpoint: str, **trigger) -> StreamingQuery:
+    """Write the changed counts of every micro-batch to a folder of its own under ``path``."""
+
+    def write_batch(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+
+    return (
+        counts.writeStream.outputMode("update")
+        .foreachBatch(write_batch)
+        .option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or {"availableNow": True}))
+        .start()
+    )
+
+
+def latest_counts(spark: SparkSession, path: str) -> DataFrame:
+    """The newest count of each window and key among the batches under ``path``."""
+    return (
+        spark.read.parquet(path)
+        .groupBy("window_start", "key")
+        .agg(F.max_by("doc_count", "batch").alias("doc_count"))
+    )
