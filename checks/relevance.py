@@ -69,13 +69,11 @@ def analyze_offsets(table):
     "q_edge_ngrams",
     f"WITH w AS (SELECT doc_id, unnest({words_sql()}) AS token FROM documents), "
     "g AS (SELECT doc_id, token, unnest(generate_series(1, least(20, length(token)))) AS n FROM w) "
-    "SELECT left(token, n) AS gram, count(*) AS n, count(DISTINCT doc_id) AS docs FROM g GROUP BY 1",
+    "SELECT left(token, n) AS gram, count(*) AS n FROM g GROUP BY 1",
 )
 def edge_ngrams(table):
-    analyzed = texts(table).select(ID, ta.analyzed(F.col("text"), "edge_ngrams").alias("t"))
-    grams = unnest(analyzed, "t", "gram")
-    per_doc = grams.groupBy("gram", ID).agg(F.count(F.lit(1)).alias("c"))
-    return per_doc.groupBy("gram").agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("docs"))
+    analyzed = texts(table).select(ta.analyzed(F.col("text"), "edge_ngrams").alias("t"))
+    return unnest(analyzed, "t", "gram").groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
 
 
 @check("q_match_or", scored_sql(THREE, bm25_sql(THREE), any_sql(THREE)))

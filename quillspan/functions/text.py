@@ -14,8 +14,7 @@ from pyspark.sql import functions as F
 _WORD = r"[\p{L}\p{M}\p{N}_]"
 _TAIL = r"[\p{L}\p{M}\p{N}]"
 TOKEN_PATTERN = f"{_WORD}++(?:'{_TAIL}++)*+"
-# Where a token starts and ends: neither inside a run nor next to an apostrophe that joins two runs.
-_STARTS = f"(?<!{_WORD})(?<!{_WORD}')"
+# A token ends where neither a run nor an apostrophe that joins two runs follows.
 _ENDS = f"(?!{_WORD})(?!'{_TAIL})"
 TOKEN_TYPE = "word"
 _MARK = "\u0001"
@@ -35,15 +34,30 @@ def tokens(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(TOKEN_PATTERN), F.lit(0))
 
 
-def words_regex(terms: list[str]) -> str:
+def _starting(term: str) -> str:
+    """``term`` where a token starts: no run before it, not even across an apostrophe.
+
+    The term comes first and is looked back over, so that the search skips from find to find.
+    """
+    return f"{term}(?<!{_WORD}{term})(?<!{_WORD}'{term})"
+
+
+def any_regex(terms: list[str]) -> str:
     """Finds any of ``terms`` as a whole token of lower-cased text, without tokenizing it."""
-    return f"{_STARTS}(?:{'|'.join(terms)}){_ENDS}"
+    return f"(?:{'|'.join(_starting(t) for t in terms)}){_ENDS}"
+
+
+def every_regex(terms: list[str]) -> str:
+    """Finds a text that has all of ``terms`` as whole tokens."""
+    if len(terms) == 1:
+        return any_regex(terms)
+    return "(?s)^" + "".join(f"(?=.*?{_starting(t)}{_ENDS})" for t in terms)
 
 
 def run_regex(terms: list[str], last_is_prefix: bool = False) -> str:
     """Finds ``terms`` as neighbouring tokens in this order; the last may be cut short."""
-    between = f"{_ENDS}[^\\p{{L}}\\p{{M}}\\p{{N}}_]+{_STARTS}"
-    return _STARTS + between.join(terms) + ("" if last_is_prefix else _ENDS)
+    between = f"{_ENDS}[^\\p{{L}}\\p{{M}}\\p{{N}}_]++"
+    return between.join(_starting(t) for t in terms) + ("" if last_is_prefix else _ENDS)
 
 
 def holds_run(token_array: Column, terms: list[str], last_is_prefix: bool = False) -> Column:

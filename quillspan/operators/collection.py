@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quillspan.functions import text
-from quillspan.functions.logic import all_of, any_of
+from quillspan.functions.logic import all_of
 
 K1 = 1.2
 B = 0.75
@@ -62,20 +62,23 @@ class Collection:
     def holds_any(self, field: str, terms: list[str]) -> Column:
         """Whether a text has at least one of ``terms``.
 
-        Stored tokens are looked through.  Other text is searched in place, which stops at the
-        first find, after a substring test that spares most texts the search.
+        Stored tokens are looked through; other text is searched in place, once and only up to
+        the first find, which is much cheaper than tokenizing it.
         """
         if field in self.token_columns:
             return F.arrays_overlap(self.tokens(field), F.array(*[F.lit(t) for t in terms]))
-        lowered = F.lower(self.column(field))
-        return any_of([lowered.contains(t) for t in terms]) & lowered.rlike(text.words_regex(terms))
+        return F.lower(self.column(field)).rlike(text.any_regex(terms))
+
+    def holds_every(self, field: str, terms: list[str]) -> Column:
+        if field in self.token_columns:
+            return all_of([F.array_contains(self.tokens(field), t) for t in terms])
+        return F.lower(self.column(field)).rlike(text.every_regex(terms))
 
     def holds_run(self, field: str, terms: list[str], last_is_prefix: bool) -> Column:
         """Whether ``terms`` are neighbours in a text; the last may stand for what it begins."""
         if field in self.token_columns:
             return text.holds_run(self.tokens(field), terms, last_is_prefix)
-        lowered = F.lower(self.column(field))
-        return all_of([lowered.contains(t) for t in terms]) & lowered.rlike(text.run_regex(terms, last_is_prefix))
+        return F.lower(self.column(field)).rlike(text.run_regex(terms, last_is_prefix))
 
     def _statistics(self) -> Column:
         """One row over the whole collection, read as a scalar subquery: no join, nothing collected."""

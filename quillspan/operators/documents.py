@@ -5,10 +5,10 @@ Same batches and outcomes as :mod:`quillspan.operators.writes`, for documents
 replaced, an explicit null overwrites.
 
 Merging JSON trees is the one step without built-in functions.  It runs as a fold over sorted
-partitions, Arrow batch by Arrow batch, holding one document at a time.  A document with many
-actions is folded in ranges of ``chunk`` sequence numbers: each range is first reduced to one
-combined patch, the patches give the state in which every range starts, then all ranges
-are replayed side by side.
+partitions, Arrow batch by Arrow batch, holding one document at a time.  A document with
+more than ``chunk`` actions is folded in ranges of ``chunk`` sequence numbers: each range is first
+reduced to one combined patch, the patches give the state in which every range starts, then
+all ranges are replayed side by side.
 """
 
 from __future__ import annotations
@@ -17,47 +17,41 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillspan.operators.writes import _BASE, KEY, BulkResult, _finish, _result, valid_action
-from quillspan.plans.runs import running_sum
+from quillspan.plans.runs import by_heat, running_sum, split_hot
 
 DOCUMENT_CHUNK = 50_000
 _KEY_DDL = "_index string, _type string, _id string"
 
 
-def _sorted_fold(df: DataFrame, group: list[str], order: str, start, step, schema: str) -> DataFrame:
+def _sorted_fold(df: DataFrame, group: list[str], order: str, step, schema: str) -> DataFrame:
     """Fold rows in ``order`` within each group; ``step(state, row, last)`` gives (state, row or None).
 
-    Groups may span Arrow batches; ``last`` tells that the row ends its group.
+    The state starts as ``None``.  Groups may span Arrow batches; ``last`` tells that the row ends
+    its group.
     """
     names = [field.split()[0] for field in schema.split(", ")]
 
     def fold(batches):
         import pandas as pd
 
-        state, group_key, held = None, None, None
-
         def rows():
             for batch in batches:
                 yield from batch.to_dict("records")
+            yield None
 
-        out = []
+        state, held, out = None, None, []
         for row in rows():
             if held is not None:
-                same = tuple(held[g] for g in group) == tuple(row[g] for g in group)
-                if tuple(held[g] for g in group) != group_key:
-                    group_key, state = tuple(held[g] for g in group), start()
-                state, made = step(state, held, not same)
+                last = row is None or any(held[g] != row[g] for g in group)
+                state, made = step(state, held, last)
+                if last:
+                    state = None
                 if made is not None:
                     out.append(made)
                 if len(out) >= 10_000:
                     yield pd.DataFrame(out, columns=names)
                     out = []
             held = row
-        if held is not None:
-            if tuple(held[g] for g in group) != group_key:
-                state = start()
-            state, made = step(state, held, True)
-            if made is not None:
-                out.append(made)
         if out:
             yield pd.DataFrame(out, columns=names)
 
@@ -129,25 +123,12 @@ def bulk_apply_json(
             return patch, None
         return patch, [row["_index"], row["_type"], row["_id"], row["_chunk"], dump(patch)]
 
-    ranges = _sorted_fold(
-        documents, [*KEY, "_chunk"], "seq", lambda: None, combine, f"{_KEY_DDL}, _chunk bigint, payload string"
-    )
-
     def carry(state, row, last):
         before = dump(state[0]) if state else None
         patch = load(row["payload"])
         state = [patched(state[0] if state else {}, patch)]
         return state, [row["_index"], row["_type"], row["_id"], row["_chunk"], before]
 
-    first = stored.select(
-        *KEY,
-        F.lit(_BASE).cast("bigint").alias("_chunk"),
-        F.concat(F.lit('{"set":'), "_source", F.lit("}")).alias("payload"),
-    )
-    starts = _sorted_fold(
-        first.unionByName(ranges), KEY, "_chunk", lambda: None, carry, f"{_KEY_DDL}, _chunk bigint, payload string"
-    ).where((F.col("_chunk") != _BASE) & F.col("payload").isNotNull())
-
     def replay(state, row, last):
         if row["seq"] == _BASE:
             return [load(row["payload"])], None
@@ -158,14 +139,28 @@ def bulk_apply_json(
             row["_index"], row["_type"], row["_id"], row["seq"], not state, changed, dump(after) if last else None
         ]
 
-    replayed = _sorted_fold(
-        starts.withColumn("seq", F.lit(_BASE).cast("bigint")).unionByName(documents),
-        [*KEY, "_chunk"],
-        "seq",
-        lambda: None,
-        replay,
-        f"{_KEY_DDL}, seq bigint, _created boolean, _changed boolean, _source string",
+    replayed_ddl = f"{_KEY_DDL}, seq bigint, _created boolean, _changed boolean, _source string"
+    patch_ddl = f"{_KEY_DDL}, _chunk bigint, payload string"
+    opening = stored.select(
+        *KEY, F.lit(_BASE).cast("bigint").alias("_chunk"), F.lit(_BASE).cast("bigint").alias("seq"),
+        F.col("_source").alias("payload"),
     )
+
+    def follow(rows: DataFrame, pieces: int | None) -> DataFrame:
+        if pieces is None:
+            return _sorted_fold(rows, KEY, "seq", replay, replayed_ddl)
+        ours = rows.where(F.col("seq") != _BASE)
+        combined = _sorted_fold(ours, [*KEY, "_chunk"], "seq", combine, patch_ddl)
+        whole = F.concat(F.lit('{"set":'), "payload", F.lit("}")).alias("payload")
+        first = rows.where(F.col("seq") == _BASE).select(*KEY, "_chunk", whole)
+        starts = _sorted_fold(first.unionByName(combined), KEY, "_chunk", carry, patch_ddl).where(
+            (F.col("_chunk") != _BASE) & F.col("payload").isNotNull()
+        )
+        opened = starts.withColumn("seq", F.lit(_BASE).cast("bigint")).unionByName(ours)
+        return _sorted_fold(opened, [*KEY, "_chunk"], "seq", replay, replayed_ddl)
+
+    hot = split_hot(valid, KEY, chunk)
+    replayed = by_heat(opening.unionByName(documents), KEY, hot, chunk, follow)
     history = replayed.withColumn("_version", F.lit(None).cast("bigint")).unionByName(
         stored.select(
             *KEY,
@@ -178,7 +173,9 @@ def bulk_apply_json(
     )
     is_action = F.col("seq") != _BASE
     step = F.when(is_action, F.col("_changed").cast("bigint")).otherwise(F.col("_version"))
-    versioned = running_sum(history, KEY, "seq", {"_now": step})
+    versioned = by_heat(
+        history, KEY, hot, chunk, lambda rows, pieces: running_sum(rows, KEY, "seq", {"_now": step}, pieces)
+    )
     document_results = _result(
         versioned.where(is_action), F.col("_now"), F.when(F.col("_created"), F.lit(201)).otherwise(F.lit(200))
     )
@@ -186,4 +183,4 @@ def bulk_apply_json(
         F.max("_now").alias("_version"),
         F.max_by("_source", F.when(F.col("_source").isNotNull(), F.col("seq"))).alias("_source"),
     )
-    return _finish(current, checked, touched, latest, document_results, ["_source"], scripts or {}, chunk)
+    return _finish(current, checked, touched, latest, document_results, ["_source"], scripts or {}, hot, chunk)

@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from quillspan.functions import text as ta
-from quillspan.functions.logic import all_of, any_of, total
+from quillspan.functions.logic import any_of, total
 from quillspan.operators.clauses import Bound, Clause, all_terms, bool_, names_of, present, required_matches, worth
 
 
@@ -35,11 +35,10 @@ def match(
         return Clause(lambda c: Bound(F.lit(False), F.lit(0.0))).named(name)
 
     def bind(c):
-        if operator == "or" and minimum_should_match is None:
-            return _scored(c, field, wanted, c.holds_any(field, wanted))
-        held = [c.holds_any(field, [t]) for t in wanted]
         if minimum_should_match is None:
-            return _scored(c, field, wanted, all_of(held))
+            held = c.holds_any(field, wanted) if operator == "or" else c.holds_every(field, wanted)
+            return _scored(c, field, wanted, held)
+        held = [c.holds_any(field, [t]) for t in wanted]
         need = max(1, required_matches(minimum_should_match, len(wanted)))
         found = total([F.coalesce(h, F.lit(False)).cast("int") for h in held])
         return _scored(c, field, wanted, found >= need)

@@ -25,7 +25,7 @@ from quillspan.operators.aggs import delete_stats
 from quillspan.operators.clauses import Clause
 from quillspan.operators.search import predicate
 from quillspan.plans.durable import materialize
-from quillspan.plans.runs import CHUNK, last_before, running_sum
+from quillspan.plans.runs import CHUNK, by_heat, last_before, running_sum, split_hot
 
 KEY = ["_index", "_type", "_id"]
 ACTION_SCHEMA = "seq bigint, op string, _index string, _type string, _id string, payload string"
@@ -113,19 +113,19 @@ def bulk_apply(
         *[F.struct(F.col(c).alias("v")).alias(f"_p_{i}") for i, c in enumerate(columns)],
     )
     values = [f"_p_{i}" for i in range(len(columns))]
-    history = last_before(
-        stored.unionByName(documents),
-        KEY,
-        "seq",
-        {"_was_alive": F.col("_alive"), **{f"_old{v}": F.col(v) for v in values}},
-        chunk,
-    )
     is_action = F.col("seq") != _BASE
     differs = [F.col(v).isNotNull() & ~F.col(v)["v"].eqNullSafe(F.col(f"_old{v}")["v"]) for v in values]
     changed = F.col("_was_alive").isNull() | reduce(lambda a, b: a | b, differs, F.lit(False))
     # A stored document enters with its version, every effective action adds one.
     step = F.when(is_action, changed.cast("bigint")).otherwise(F.col("_version"))
-    versioned = running_sum(history, KEY, "seq", {"_now": step}, chunk)
+    earlier = {"_was_alive": F.col("_alive"), **{f"_old{v}": F.col(v) for v in values}}
+
+    def follow(rows: DataFrame, pieces: int | None) -> DataFrame:
+        history = last_before(rows, KEY, "seq", earlier, pieces)
+        return running_sum(history, KEY, "seq", {"_now": step}, pieces)
+
+    hot = split_hot(valid, KEY, chunk)
+    versioned = by_heat(stored.unionByName(documents), KEY, hot, chunk, follow)
     created = F.col("_was_alive").isNull()
     document_results = _result(
         versioned.where(is_action), F.col("_now"), F.when(created, F.lit(201)).otherwise(F.lit(200))
@@ -138,7 +138,7 @@ def bulk_apply(
             for v, c in zip(values, columns)
         ],
     )
-    return _finish(current, checked, touched, latest, document_results, columns, scripts or {}, chunk)
+    return _finish(current, checked, touched, latest, document_results, columns, scripts or {}, hot, chunk)
 
 
 def _finish(
@@ -149,6 +149,7 @@ def _finish(
     document_results: DataFrame,
     columns: list[str],
     scripts: dict[str, Script],
+    hot: DataFrame | None,
     chunk: int,
 ) -> BulkResult:
     """Deletes and scripts on ``latest``, the touched documents as they are after phase one."""
@@ -175,9 +176,14 @@ def _finish(
     script_actions = valid.where(F.col("op") == "script")
     known = F.col("payload").isin(list(scripts)) if scripts else F.lit(False)
     targets = kept.select(*KEY, F.col("_version").alias("_stored"))
-    numbered = running_sum(script_actions.withColumn("_known", known), KEY, "seq", {
-        "_nth": F.col("_known").cast("bigint")
-    }, chunk)
+    nth = {"_nth": F.col("_known").cast("bigint")}
+    numbered = by_heat(
+        script_actions.withColumn("_known", known),
+        KEY,
+        hot,
+        chunk,
+        lambda rows, pieces: running_sum(rows, KEY, "seq", nth, pieces),
+    )
     tried = numbered.join(targets, KEY, "left")
     there = F.col("_stored").isNotNull()
     script_results = _result(

@@ -1,9 +1,12 @@
 """Running values along the ordered rows of a key, safe for keys of any size.
 
-A plain window puts all rows of a key into one task.  Here the order column, a unique
-integer, is cut into ranges of ``chunk`` numbers; no (key, range) group can hold more than
-``chunk`` rows.  A window runs inside each group, one summary row per group is carried
-along the key, and the carried value is joined back to the group.
+A window puts all rows of a key into one task.  That is the cheapest plan for keys of ordinary
+size; :func:`split_hot` sets apart the keys with more than ``chunk`` rows.  For those the order
+column, a unique integer, is cut into ranges of ``chunk`` numbers, so no (key, range) group can
+hold more than ``chunk`` rows: a window runs inside each group, one summary row per group is
+carried along the key, and the carried value is joined back to the group.
+
+Keys and order must not be NULL.
 """
 
 from __future__ import annotations
@@ -15,20 +18,37 @@ from pyspark.sql import functions as F
 CHUNK = 1_000_000
 
 
+def split_hot(keyed: DataFrame, keys: list[str], chunk: int) -> DataFrame | None:
+    """The keys with more than ``chunk`` rows, or ``None`` if there are none.
+
+    Counting is a partial aggregate over the key columns.  There are at most rows / ``chunk``
+    such keys, which bounds what a broadcast of them can cost.
+    """
+    hot = keyed.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > chunk).select(*keys)
+    return None if hot.isEmpty() else hot
+
+
 def _chunked(df: DataFrame, order: str, chunk: int) -> DataFrame:
     return df.withColumn("_chunk", F.floor(F.col(order) / F.lit(chunk)))
 
 
 def last_before(
-    df: DataFrame, keys: list[str], order: str, values: dict[str, Column], chunk: int = CHUNK
+    df: DataFrame, keys: list[str], order: str, values: dict[str, Column], chunk: int | None = None
 ) -> DataFrame:
-    """For every row and value, the latest non-NULL value on an earlier row of the same key."""
-    groups = [*keys, "_chunk"]
+    """For every row and value, the latest non-NULL value on an earlier row of the same key.
+
+    Without ``chunk`` one window does it; with it, keys may be of any size.
+    """
     held = {f"_v_{out}": value for out, value in values.items()}
+    if chunk is None:
+        inside = W.partitionBy(*keys).orderBy(order).rowsBetween(W.unboundedPreceding, -1)
+        rows = df.withColumns(held)
+        return rows.withColumns({out: F.last(f"_v_{out}", ignorenulls=True).over(inside) for out in values}).drop(*held)
+
+    groups = [*keys, "_chunk"]
     rows = _chunked(df, order, chunk).withColumns(held)
     inside = W.partitionBy(*groups).orderBy(order).rowsBetween(W.unboundedPreceding, -1)
     rows = rows.withColumns({f"_in_{out}": F.last(f"_v_{out}", ignorenulls=True).over(inside) for out in values})
-
     ends = rows.groupBy(*groups).agg(
         *[
             F.max_by(f"_v_{out}", F.when(F.col(f"_v_{out}").isNotNull(), F.col(order))).alias(f"_end_{out}")
@@ -46,15 +66,22 @@ def last_before(
 
 
 def running_sum(
-    df: DataFrame, keys: list[str], order: str, values: dict[str, Column], chunk: int = CHUNK
+    df: DataFrame, keys: list[str], order: str, values: dict[str, Column], chunk: int | None = None
 ) -> DataFrame:
-    """For every row and value, the sum over this and all earlier rows of the same key."""
-    groups = [*keys, "_chunk"]
+    """For every row and value, the sum over this and all earlier rows of the same key.
+
+    Without ``chunk`` one window does it; with it, keys may be of any size.
+    """
     held = {f"_v_{out}": value.cast("bigint") for out, value in values.items()}
+    if chunk is None:
+        inside = W.partitionBy(*keys).orderBy(order).rowsBetween(W.unboundedPreceding, W.currentRow)
+        rows = df.withColumns(held)
+        return rows.withColumns({out: F.sum(f"_v_{out}").over(inside) for out in values}).drop(*held)
+
+    groups = [*keys, "_chunk"]
     rows = _chunked(df, order, chunk).withColumns(held)
     inside = W.partitionBy(*groups).orderBy(order).rowsBetween(W.unboundedPreceding, W.currentRow)
     rows = rows.withColumns({f"_in_{out}": F.sum(f"_v_{out}").over(inside) for out in values})
-
     sums = rows.groupBy(*groups).agg(*[F.sum(f"_v_{out}").alias(f"_all_{out}") for out in values])
     along = W.partitionBy(*keys).orderBy("_chunk").rowsBetween(W.unboundedPreceding, -1)
     carried = sums.select(
@@ -65,3 +92,13 @@ def running_sum(
     return joined.withColumns({out: F.col(f"_in_{out}") + F.col(f"_carry_{out}") for out in values}).drop(
         "_chunk", *held, *[f"_in_{o}" for o in values], *[f"_carry_{o}" for o in values]
     )
+
+
+def by_heat(df: DataFrame, keys: list[str], hot: DataFrame | None, chunk: int, scan) -> DataFrame:
+    """``scan(rows, chunk or None)`` over the ordinary keys and, apart from them, the hot ones."""
+    if hot is None:
+        return scan(df, None)
+    marked = F.broadcast(hot)
+    return scan(df.join(marked, keys, "left_anti"), None).unionByName(
+        scan(df.join(marked, keys, "left_semi"), chunk)
+    )
