@@ -12,7 +12,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 # The token pattern as SQL text.
-WORD = r"[\p{L}\p{M}\p{N}_]+(?:''[\p{L}\p{M}\p{N}]+)*"
+WORD = r"[\p{L}\p{M}\p{N}_]+(?:''[\p{L}\p{M}\p{N}_]+)*"
 
 
 class Tables:

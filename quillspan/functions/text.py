@@ -12,10 +12,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 _WORD = r"[\p{L}\p{M}\p{N}_]"
-_TAIL = r"[\p{L}\p{M}\p{N}]"
-TOKEN_PATTERN = f"{_WORD}++(?:'{_TAIL}++)*+"
+TOKEN_PATTERN = f"{_WORD}++(?:'{_WORD}++)*+"
 # A token ends where neither a run nor an apostrophe that joins two runs follows.
-_ENDS = f"(?!{_WORD})(?!'{_TAIL})"
+_ENDS = f"(?!{_WORD})(?!'{_WORD})"
 TOKEN_TYPE = "word"
 _MARK = "\u0001"
 

@@ -80,8 +80,8 @@ def run_aggs(df: DataFrame, aggs: dict[str, TermsAgg | RangesAgg]) -> DataFrame:
     before the shuffle.  Keys are shown as text; ties go to the smaller key.
     """
     entries = F.concat(*[_entries(df, name, agg) for name, agg in aggs.items()])
-    counted = unnest(df.select(entries.alias("a")), "a", "e").select(
-        "e.agg", "e.key", F.lit(1).cast("bigint").alias("n")
+    counted = unnest(df.select(entries.alias("_a")), "_a", "_e").select(
+        "_e.agg", "_e.key", F.lit(1).cast("bigint").alias("n")
     )
     empty = [
         (name, b.key, 0) for name, agg in aggs.items() if isinstance(agg, RangesAgg) for b in agg.buckets
@@ -217,8 +217,8 @@ def fold_hits(pages: DataFrame) -> DataFrame:
     collected into one row.
     """
     failed = pages.where(F.col("error").isNotNull()).select("search_id").distinct()
-    hits = unnest(pages.join(failed, "search_id", "left_anti"), "hits", "hit", position="pos")
-    return hits.select("search_id", "page_no", "pos", "hit.*")
+    hits = unnest(pages.join(failed, "search_id", "left_anti"), "hits", "_hit", position="pos")
+    return hits.select("search_id", "page_no", "pos", "_hit.*")
 
 
 def delete_stats(deleted: DataFrame, index_col: str = "_index") -> DataFrame:

@@ -24,8 +24,8 @@ def modify_aliases(aliases: DataFrame, to_add: DataFrame | None = None, to_remov
         )
         out = (
             both.groupBy(*_ALIAS)
-            .agg(F.max_by(F.struct(*_ROUTINGS), F.struct("_new", *_ROUTINGS)).alias("r"))
-            .select(*_ALIAS, "r.*")
+            .agg(F.max_by(F.struct(*_ROUTINGS), F.struct("_new", *_ROUTINGS)).alias("_r"))
+            .select(*_ALIAS, "_r.*")
         )
     if to_remove is not None:
         out = out.join(to_remove.select(*_ALIAS).distinct(), _ALIAS, "left_anti")
@@ -114,8 +114,8 @@ def json_mappings(docs: DataFrame, source_col: str = "_source", by: tuple = ("_i
     Values of one field are merged into their common type while scanning; only one row per
     field is shuffled.
     """
-    parsed = docs.select(*by, F.from_json(source_col, "map<string,variant>").alias("m"))
-    fields = unnest(parsed, "m", "field", "value")
+    parsed = docs.select(*by, F.from_json(source_col, "map<string,variant>").alias("_m"))
+    fields = unnest(parsed, "_m", "field", "value")
     return fields.groupBy(*by, "field").agg(F.schema_of_variant_agg("value").alias("data_type"))
 
 

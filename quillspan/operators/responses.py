@@ -96,39 +96,39 @@ def matched_names(names: Column) -> Column:
 
 def search_totals(df: DataFrame, payload: str = "payload") -> DataFrame:
     """Per response: ``took, total, max_score, aggregations, scroll_id``."""
-    return df.select(*_keys(df, payload), F.from_json(payload, SEARCH_RESPONSE).alias("r")).select(
+    return df.select(*_keys(df, payload), F.from_json(payload, SEARCH_RESPONSE).alias("_r")).select(
         *_keys(df, payload),
-        F.col("r.took").alias("took"),
-        F.col("r.hits.total").alias("total"),
-        F.col("r.hits.max_score").alias("max_score"),
-        F.col("r.aggregations").alias("aggregations"),
-        F.col("r._scroll_id").alias("scroll_id"),
+        F.col("_r.took").alias("took"),
+        F.col("_r.hits.total").alias("total"),
+        F.col("_r.hits.max_score").alias("max_score"),
+        F.col("_r.aggregations").alias("aggregations"),
+        F.col("_r._scroll_id").alias("scroll_id"),
     )
 
 
 def search_hits(df: DataFrame, payload: str = "payload") -> DataFrame:
     """One row per hit with its ``pos``; a response without hits gives none."""
     keys = _keys(df, payload)
-    parsed = df.select(*keys, F.from_json(payload, SEARCH_RESPONSE).alias("r"))
-    return unnest(parsed, "r.hits.hits", "h", position="pos").select(
+    parsed = df.select(*keys, F.from_json(payload, SEARCH_RESPONSE).alias("_r"))
+    return unnest(parsed, "_r.hits.hits", "_h", position="pos").select(
         *keys,
         "pos",
-        *[F.col(f"h.{c}").alias(c) for c in ("_index", "_type", "_id", "_score", "_source")],
-        matched_names(F.col("h.matched_queries")).alias("matched_queries"),
-        F.col("h._explanation").alias("explanation"),
+        *[F.col(f"_h.{c}").alias(c) for c in ("_index", "_type", "_id", "_score", "_source")],
+        matched_names(F.col("_h.matched_queries")).alias("matched_queries"),
+        F.col("_h._explanation").alias("explanation"),
     )
 
 
 def pages_from_responses(df: DataFrame, payload: str = "payload") -> DataFrame:
     """Result pages in the shape that page folding reads, failures included."""
     keys = _keys(df, payload)
-    judged = classify(df, payload).withColumn("r", F.from_json(payload, SEARCH_RESPONSE))
+    judged = classify(df, payload).withColumn("_r", F.from_json(payload, SEARCH_RESPONSE))
     return judged.select(
         *keys,
-        *[F.col(f"r.{c}").alias(c) for c in ("took", "aggregations")],
-        F.col("r.hits.total").alias("total"),
-        F.col("r.hits.max_score").alias("max_score"),
-        F.col("r.hits.hits").alias("hits"),
+        *[F.col(f"_r.{c}").alias(c) for c in ("took", "aggregations")],
+        F.col("_r.hits.total").alias("total"),
+        F.col("_r.hits.max_score").alias("max_score"),
+        F.col("_r.hits.hits").alias("hits"),
         F.when(F.col("outcome") != "ok", F.coalesce("error", F.lit(""))).alias("error"),
         "status",
     )
@@ -137,14 +137,14 @@ def pages_from_responses(df: DataFrame, payload: str = "payload") -> DataFrame:
 def get_responses(df: DataFrame, payload: str = "payload") -> DataFrame:
     """A fetched document; a missing one has neither version nor source."""
     keys = _keys(df, payload)
-    found = F.coalesce(F.col("r.found"), F.lit(False))
-    return df.select(*keys, F.from_json(payload, GET_RESPONSE).alias("r")).select(
+    found = F.coalesce(F.col("_r.found"), F.lit(False))
+    return df.select(*keys, F.from_json(payload, GET_RESPONSE).alias("_r")).select(
         *keys,
-        *[F.col(f"r.{c}").alias(c) for c in ("_index", "_type", "_id")],
+        *[F.col(f"_r.{c}").alias(c) for c in ("_index", "_type", "_id")],
         found.alias("found"),
-        F.when(found, F.col("r._version")).alias("_version"),
-        F.when(found, F.col("r._source")).alias("_source"),
-        F.col("r.error").alias("error"),
+        F.when(found, F.col("_r._version")).alias("_version"),
+        F.when(found, F.col("_r._source")).alias("_source"),
+        F.col("_r.error").alias("error"),
     )
 
 
@@ -154,15 +154,15 @@ def bulk_items(df: DataFrame, payload: str = "payload") -> DataFrame:
     An item that is neither an update nor a delete has kind ``unknown`` and no further values.
     """
     keys = _keys(df, payload)
-    parsed = df.select(*keys, F.from_json(payload, BULK_RESPONSE).alias("r"))
-    items = unnest(parsed, "r.items", "i", position="pos")
+    parsed = df.select(*keys, F.from_json(payload, BULK_RESPONSE).alias("_r"))
+    items = unnest(parsed, "_r.items", "_i", position="pos")
     either = [
-        F.coalesce(F.col(f"i.update.{c}"), F.col(f"i.delete.{c}")).alias(c)
+        F.coalesce(F.col(f"_i.update.{c}"), F.col(f"_i.delete.{c}")).alias(c)
         for c in ("_index", "_type", "_id", "_version", "status", "error")
     ]
-    kind = F.when(F.col("i.update").isNotNull(), "update").when(F.col("i.delete").isNotNull(), "delete")
+    kind = F.when(F.col("_i.update").isNotNull(), "update").when(F.col("_i.delete").isNotNull(), "delete")
     return items.select(
-        *keys, "pos", F.coalesce(kind, F.lit("unknown")).alias("kind"), *either, F.col("i.delete.found").alias("found")
+        *keys, "pos", F.coalesce(kind, F.lit("unknown")).alias("kind"), *either, F.col("_i.delete.found").alias("found")
     )
 
 
@@ -170,26 +170,26 @@ def _listing(df: DataFrame, payload: str, record: str) -> DataFrame:
     """Rows of a listing that is a JSON array; objects (errors) and blanks give none."""
     is_list = F.ltrim(F.col(payload)).startswith("[")
     rows = F.when(is_list, F.from_json(payload, f"array<struct<{record}>>"))
-    return unnest(df.select(*_keys(df, payload), rows.alias("r")), "r", "e")
+    return unnest(df.select(*_keys(df, payload), rows.alias("_r")), "_r", "_e")
 
 
 def shard_listing(df: DataFrame, payload: str = "payload") -> DataFrame:
     listed = _listing(df, payload, SHARD_LISTING)
     return listed.select(
         *_keys(df, payload),
-        F.col("e.index").alias("index"),
-        F.col("e.shard").try_cast("int").alias("shard"),
-        *[F.col(f"e.{c}").alias(c) for c in ("state", "node", "prirep")],
-        F.col("e.docs").try_cast("bigint").alias("docs"),
-        F.col("e.store").try_cast("bigint").alias("store"),
+        F.col("_e.index").alias("index"),
+        F.col("_e.shard").try_cast("int").alias("shard"),
+        *[F.col(f"_e.{c}").alias(c) for c in ("state", "node", "prirep")],
+        F.col("_e.docs").try_cast("bigint").alias("docs"),
+        F.col("_e.store").try_cast("bigint").alias("store"),
     )
 
 
 def node_listing(df: DataFrame, payload: str = "payload") -> DataFrame:
-    role = F.col("e")["node.role"]
+    role = F.col("_e")["node.role"]
     return _listing(df, payload, NODE_LISTING).select(
         *_keys(df, payload),
-        F.col("e.name").alias("name"),
+        F.col("_e.name").alias("name"),
         role.alias("node_role"),
         F.coalesce(role == DATA_NODE_ROLE, F.lit(False)).alias("is_data_node"),
     )
@@ -198,46 +198,46 @@ def node_listing(df: DataFrame, payload: str = "payload") -> DataFrame:
 def index_listing(df: DataFrame, payload: str = "payload") -> DataFrame:
     return _listing(df, payload, INDEX_LISTING).select(
         *_keys(df, payload),
-        *[F.col(f"e.{c}").alias(c) for c in ("health", "status", "index")],
-        F.col("e.pri").try_cast("int").alias("pri"),
-        F.col("e.rep").try_cast("int").alias("rep"),
-        F.col("e")["docs.count"].try_cast("bigint").alias("docs_count"),
-        F.col("e")["docs.deleted"].try_cast("bigint").alias("docs_deleted"),
-        F.col("e")["store.size"].alias("store_size"),
-        F.col("e")["pri.store.size"].alias("pri_store_size"),
+        *[F.col(f"_e.{c}").alias(c) for c in ("health", "status", "index")],
+        F.col("_e.pri").try_cast("int").alias("pri"),
+        F.col("_e.rep").try_cast("int").alias("rep"),
+        F.col("_e")["docs.count"].try_cast("bigint").alias("docs_count"),
+        F.col("_e")["docs.deleted"].try_cast("bigint").alias("docs_deleted"),
+        F.col("_e")["store.size"].alias("store_size"),
+        F.col("_e")["pri.store.size"].alias("pri_store_size"),
     )
 
 
 def node_stats(df: DataFrame, payload: str = "payload", attributes: tuple = ()) -> DataFrame:
     """One row per node; used disk is NULL unless both sizes are known."""
     keys = _keys(df, payload)
-    parsed = df.select(*keys, F.from_json(payload, NODE_STATS).alias("r"))
-    nodes = unnest(parsed, "r.nodes", "node_id", "n")
-    total, free = F.col("n.fs.total.total_in_bytes"), F.col("n.fs.total.available_in_bytes")
+    parsed = df.select(*keys, F.from_json(payload, NODE_STATS).alias("_r"))
+    nodes = unnest(parsed, "_r.nodes", "node_id", "_n")
+    total, free = F.col("_n.fs.total.total_in_bytes"), F.col("_n.fs.total.available_in_bytes")
     return nodes.select(
         *keys,
         "node_id",
-        F.col("n.host").alias("host"),
-        F.col("n.name").alias("name"),
-        *[F.col(f"n.jvm.mem.{c}").alias(c) for c in ("heap_used_percent", "heap_used_in_bytes", "heap_max_in_bytes")],
+        F.col("_n.host").alias("host"),
+        F.col("_n.name").alias("name"),
+        *[F.col(f"_n.jvm.mem.{c}").alias(c) for c in ("heap_used_percent", "heap_used_in_bytes", "heap_max_in_bytes")],
         total.alias("disk_total_in_bytes"),
         free.alias("disk_available_in_bytes"),
         (total - free).alias("disk_used_in_bytes"),
-        *[F.try_element_at(F.col("n.attributes"), F.lit(a)).alias(f"attribute_{a}") for a in attributes],
+        *[F.try_element_at(F.col("_n.attributes"), F.lit(a)).alias(f"attribute_{a}") for a in attributes],
     )
 
 
 def routing_shards(df: DataFrame, payload: str = "payload") -> DataFrame:
     """One row per copy of a shard from a routing table of indices, shards and copies."""
     keys = _keys(df, payload)
-    parsed = df.select(*keys, F.from_json(payload, ROUTING_TABLE).alias("r"))
-    shards = unnest(unnest(parsed, "r.routing_table.indices", "_name", "i"), "i.shards", "_number", "c")
-    return unnest(shards, "c", "s").select(
+    parsed = df.select(*keys, F.from_json(payload, ROUTING_TABLE).alias("_r"))
+    shards = unnest(unnest(parsed, "_r.routing_table.indices", "_name", "_i"), "_i.shards", "_number", "_c")
+    return unnest(shards, "_c", "_s").select(
         *keys,
-        *[F.col(f"s.{c}").alias(c) for c in ("state", "primary", "node", "relocating_node", "shard", "index")],
-        F.col("s.unassigned_info.reason").alias("unassigned_reason"),
-        F.col("s.unassigned_info.at").alias("unassigned_at"),
-        F.col("s.unassigned_info.details").alias("unassigned_details"),
+        *[F.col(f"_s.{c}").alias(c) for c in ("state", "primary", "node", "relocating_node", "shard", "index")],
+        F.col("_s.unassigned_info.reason").alias("unassigned_reason"),
+        F.col("_s.unassigned_info.at").alias("unassigned_at"),
+        F.col("_s.unassigned_info.details").alias("unassigned_details"),
     )
 
 
@@ -266,44 +266,44 @@ def worst_status(requested: DataFrame, health: DataFrame, by: list[str] | None =
 def alias_rows(df: DataFrame, payload: str = "payload") -> DataFrame:
     """Rows ``index, alias, index_routing, search_routing``; an index without aliases gives none."""
     keys = _keys(df, payload)
-    indices = unnest(df.select(*keys, F.from_json(payload, ALIASES).alias("p")), "p", "index", "a")
-    return unnest(indices, "a.aliases", "alias", "r").select(
-        *keys, "index", "alias", "r.index_routing", "r.search_routing"
+    indices = unnest(df.select(*keys, F.from_json(payload, ALIASES).alias("_p")), "_p", "index", "_a")
+    return unnest(indices, "_a.aliases", "alias", "_r").select(
+        *keys, "index", "alias", "_r.index_routing", "_r.search_routing"
     )
 
 
 def mapping_rows(df: DataFrame, payload: str = "payload") -> DataFrame:
     """Rows ``index, type, field, data_type``."""
     keys = _keys(df, payload)
-    indices = unnest(df.select(*keys, F.from_json(payload, MAPPINGS).alias("r")), "r", "index", "m")
-    types = unnest(indices, "m.mappings", "type", "t")
-    return unnest(types, "t.properties", "field", "p").select(
-        *keys, "index", "type", "field", F.col("p.type").alias("data_type")
+    indices = unnest(df.select(*keys, F.from_json(payload, MAPPINGS).alias("_r")), "_r", "index", "_m")
+    types = unnest(indices, "_m.mappings", "type", "_t")
+    return unnest(types, "_t.properties", "field", "_p").select(
+        *keys, "index", "type", "field", F.col("_p.type").alias("data_type")
     )
 
 
 def snapshot_rows(df: DataFrame, payload: str = "payload") -> DataFrame:
     """Rows ``snapshot, indices, state``."""
     keys = _keys(df, payload)
-    parsed = df.select(*keys, F.from_json(payload, SNAPSHOTS).alias("r"))
-    return unnest(parsed, "r.snapshots", "s").select(*keys, "s.*")
+    parsed = df.select(*keys, F.from_json(payload, SNAPSHOTS).alias("_r"))
+    return unnest(parsed, "_r.snapshots", "_s").select(*keys, "_s.*")
 
 
 def repository_rows(df: DataFrame, payload: str = "payload") -> DataFrame:
     """Rows ``name, type, settings``."""
     keys = _keys(df, payload)
-    parsed = df.select(*keys, F.from_json(payload, REPOSITORIES).alias("r"))
-    return unnest(parsed, "r", "name", "d").select(*keys, "name", "d.type", "d.settings")
+    parsed = df.select(*keys, F.from_json(payload, REPOSITORIES).alias("_r"))
+    return unnest(parsed, "_r", "name", "_d").select(*keys, "name", "_d.type", "_d.settings")
 
 
 def token_rows(df: DataFrame, payload: str = "payload") -> DataFrame:
     """One row per token of an analysis response."""
     keys = _keys(df, payload)
-    parsed = df.select(*keys, F.from_json(payload, TOKENS).alias("r"))
-    return unnest(parsed, "r.tokens", "t").select(*keys, "t.*")
+    parsed = df.select(*keys, F.from_json(payload, TOKENS).alias("_r"))
+    return unnest(parsed, "_r.tokens", "_t").select(*keys, "_t.*")
 
 
 def health_rows(df: DataFrame, payload: str = "payload") -> DataFrame:
     """The ten fields of a health record; others are ignored."""
     keys = _keys(df, payload)
-    return df.select(*keys, F.from_json(payload, HEALTH).alias("r")).select(*keys, "r.*")
+    return df.select(*keys, F.from_json(payload, HEALTH).alias("_r")).select(*keys, "_r.*")
