@@ -119,6 +119,49 @@ def get_responses(table):
     return rows.select("doc_id", "_index", "_id", "found", "_version", "_source")
 
 
+@check(
+    "q_multi_get_responses",
+    "SELECT conv_id, turn, 0 AS pos, conv_id::VARCHAR AS _id, true AS found, (turn + 1)::BIGINT AS _version, "
+    "'{\"role\":\"' || role || '\"}' AS _source, NULL::VARCHAR AS error FROM conversations UNION ALL "
+    "SELECT conv_id, turn, 1, role, false, NULL, NULL, 'no shard ' || turn FROM conversations",
+)
+def multi_get_responses(table):
+    there = F.struct(
+        text("conv_id").alias("_id"), (F.col("turn") + 1).alias("_version"), F.lit(True).alias("found"),
+        F.struct("role").alias("_source"), F.lit(None).cast("string").alias("error"),
+    )
+    gone = F.struct(
+        F.col("role").alias("_id"), F.lit(0).cast("bigint").alias("_version"), F.lit(False).alias("found"),
+        F.lit(None).cast("struct<role:string>").alias("_source"), F.concat(F.lit("no shard "), "turn").alias("error"),
+    )
+    payload = F.to_json(F.struct(F.array(there, gone).alias("docs")))
+    rows = responses.multi_get_rows(table("conversations").select("conv_id", "turn", payload.alias("payload")))
+    return rows.drop("_index", "_type")
+
+
+@check(
+    "q_delete_flatten",
+    "SELECT p_partkey, p_brand AS index, p_size + 1 AS total, p_size AS successful, 1 AS failed FROM part",
+)
+def delete_flatten(table):
+    shards = F.struct((F.col("p_size") + 1).alias("total"), F.col("p_size").alias("successful"), F.lit(1).alias("failed"))
+    body = F.struct(F.create_map(F.col("p_brand"), F.struct(shards.alias("_shards"))).alias("_indices"))
+    return responses.delete_rows(table("part").select("p_partkey", F.to_json(body).alias("payload")))
+
+
+@check(
+    "q_update_rows",
+    "SELECT o_orderkey, 'o' AS _index, 't' AS _type, o_orderkey::VARCHAR AS _id, o_custkey AS _version, "
+    "o_orderstatus = 'F' AS created FROM orders",
+)
+def update_rows(table):
+    body = F.struct(
+        F.lit("o").alias("_index"), F.lit("t").alias("_type"), text("o_orderkey").alias("_id"),
+        F.col("o_custkey").alias("_version"), (F.col("o_orderstatus") == "F").alias("created"),
+    )
+    return responses.update_rows(table("orders").select("o_orderkey", F.to_json(body).alias("payload")))
+
+
 @check(
     "q_bulk_items",
     "SELECT o_orderkey, 0 AS pos, 'update' AS kind, 'o' AS _index, 't' AS _type, o_custkey::VARCHAR AS _id, "

@@ -356,3 +356,19 @@ def topk_from(table):
         from_=40,
         fields=[ORDER, "o_totalprice"],
     ).hits.drop("score")
+
+
+@check(
+    "q_deep_page",
+    "SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_extendedprice FROM lineitem ORDER BY l_extendedprice DESC, "
+    "l_partkey, l_suppkey, l_linenumber, l_orderkey LIMIT 150000 OFFSET 1000",
+)
+def deep_page(table):
+    return q.search(
+        table("lineitem"),
+        "l_orderkey",
+        sort=[("l_extendedprice", "desc"), ("l_partkey", "asc"), ("l_suppkey", "asc"), ("l_linenumber", "asc")],
+        size=150000,
+        from_=1000,
+        fields=["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice"],
+    ).hits.drop("score")

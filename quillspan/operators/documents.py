@@ -104,7 +104,7 @@ def _tree_functions():
 
 
 def bulk_apply_json(
-    current: DataFrame, actions: DataFrame, scripts=None, chunk: int = DOCUMENT_CHUNK
+    current: DataFrame, actions: DataFrame, scripts=None, chunk: int = DOCUMENT_CHUNK, cut=None
 ) -> BulkResult:
     """Apply a batch of actions to JSON documents; scripts see and set ``_source``."""
     load, dump, same, as_patch, patched, joined = _tree_functions()
@@ -176,6 +176,8 @@ def bulk_apply_json(
     versioned = by_heat(
         history, KEY, hot, chunk, lambda rows, pieces: running_sum(rows, KEY, "seq", {"_now": step}, pieces)
     )
+    versioned = versioned.select("seq", *KEY, "_now", "_created", "_source")
+    versioned = cut(versioned) if cut else versioned
     document_results = _result(
         versioned.where(is_action), F.col("_now"), F.when(F.col("_created"), F.lit(201)).otherwise(F.lit(200))
     )

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillspan.functions.json import has_key, is_json
+from quillspan.functions.json import is_json
 from quillspan.functions.rows import unnest
 from quillspan.operators.clauses import NAME_DELIMITER
 
@@ -23,6 +23,8 @@ SEARCH_RESPONSE = (
     "aggregations string, _scroll_id string"
 )
 GET_RESPONSE = "_index string, _type string, _id string, _version bigint, found boolean, _source string, error string"
+UPDATE_RESPONSE = "_index string, _type string, _id string, _version bigint, created boolean"
+DELETE_RESPONSE = "_indices map<string, struct<_shards: struct<total: int, successful: int, failed: int>>>"
 BULK_ITEM = "_index string, _type string, _id string, _version bigint, status int, error string"
 BULK_RESPONSE = (
     f"errors string, items array<struct<update: struct<{BULK_ITEM}>, "
@@ -72,21 +74,26 @@ def classify(df: DataFrame, payload: str = "payload", allow_error: bool = False)
     allowed; blank text cannot be mapped and other text cannot be parsed, both invalid.
     """
     text = F.col(payload)
-    absent = text.isNull()
-    failed = F.lit(False) if allow_error else has_key(text, "error")
-    blank = F.trim(F.regexp_replace(text, r"\s+", " ")) == ""
-    broken = ~is_json(text)
-    outcome = (
-        F.when(absent, "invalid").when(failed, "error").when(blank | broken, "invalid").otherwise("ok")
+    # Listing the keys of an object also proves that it is one; only other text is read again.
+    tested = df.withColumn("_keys", F.json_object_keys(text)).withColumns(
+        {
+            "_absent": text.isNull(),
+            "_failed": F.lit(False) if allow_error else F.coalesce(F.array_contains("_keys", "error"), F.lit(False)),
+            "_blank": text.rlike(r"^\s*$"),
+            "_broken": F.col("_keys").isNull() & ~is_json(text),
+        }
     )
+    absent, failed, blank, broken = (F.col(c) for c in ("_absent", "_failed", "_blank", "_broken"))
+    outcome = F.when(absent, "invalid").when(failed, "error").when(blank | broken, "invalid").otherwise("ok")
     message = (
         F.when(absent, "no payload")
         .when(failed, F.get_json_object(text, "$.error"))
         .when(blank, "cannot map an empty payload")
         .when(broken, "cannot parse the payload")
     )
-    status = F.when(~absent & failed, F.get_json_object(text, "$.status").try_cast("int"))
-    return df.withColumns({"outcome": outcome, "error": message, "status": status})
+    status = F.when(failed, F.get_json_object(text, "$.status").try_cast("int"))
+    judged = tested.withColumns({"outcome": outcome, "error": message, "status": status})
+    return judged.drop("_keys", "_absent", "_failed", "_blank", "_broken")
 
 
 def matched_names(names: Column) -> Column:
@@ -137,17 +144,41 @@ def pages_from_responses(df: DataFrame, payload: str = "payload") -> DataFrame:
 def get_responses(df: DataFrame, payload: str = "payload") -> DataFrame:
     """A fetched document; a missing one has neither version nor source."""
     keys = _keys(df, payload)
-    found = F.coalesce(F.col("_r.found"), F.lit(False))
-    return df.select(*keys, F.from_json(payload, GET_RESPONSE).alias("_r")).select(
+    return _fetched(df.select(*keys, F.from_json(payload, GET_RESPONSE).alias("_r")), keys, "_r")
+
+
+def _fetched(df: DataFrame, keys: list[str], record: str) -> DataFrame:
+    found = F.coalesce(F.col(f"{record}.found"), F.lit(False))
+    return df.select(
         *keys,
-        *[F.col(f"_r.{c}").alias(c) for c in ("_index", "_type", "_id")],
+        *[F.col(f"{record}.{c}").alias(c) for c in ("_index", "_type", "_id")],
         found.alias("found"),
-        F.when(found, F.col("_r._version")).alias("_version"),
-        F.when(found, F.col("_r._source")).alias("_source"),
-        F.col("_r.error").alias("error"),
+        F.when(found, F.col(f"{record}._version")).alias("_version"),
+        F.when(found, F.col(f"{record}._source")).alias("_source"),
+        F.col(f"{record}.error").alias("error"),
     )
 
 
+def multi_get_rows(df: DataFrame, payload: str = "payload") -> DataFrame:
+    """One row per document of a multi-get response, in the same shape."""
+    keys = _keys(df, payload)
+    parsed = df.select(*keys, F.from_json(payload, f"docs array<struct<{GET_RESPONSE}>>").alias("_r"))
+    return _fetched(unnest(parsed, "_r.docs", "_d", position="pos"), [*keys, "pos"], "_d")
+
+
+def delete_rows(df: DataFrame, payload: str = "payload") -> DataFrame:
+    """Rows ``index, total, successful, failed`` of a delete-by-query response."""
+    keys = _keys(df, payload)
+    parsed = df.select(*keys, F.from_json(payload, DELETE_RESPONSE).alias("_r"))
+    return unnest(parsed, "_r._indices", "index", "_d").select(*keys, "index", "_d._shards.*")
+
+
+def update_rows(df: DataFrame, payload: str = "payload") -> DataFrame:
+    """The written document of a single-document write, with ``created``."""
+    keys = _keys(df, payload)
+    return df.select(*keys, F.from_json(payload, UPDATE_RESPONSE).alias("_r")).select(*keys, "_r.*")
+
+
 def bulk_items(df: DataFrame, payload: str = "payload") -> DataFrame:
     """One row per item of a write response, with its place ``pos`` and its ``kind``.
 

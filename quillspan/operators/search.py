@@ -10,9 +10,11 @@ from pyspark.sql import functions as F
 from quillspan.operators.aggs import run_aggs
 from quillspan.operators.clauses import Clause, bool_, filtered, match_all, present
 from quillspan.operators.collection import Collection, Unscored
+from quillspan.plans.rowindex import with_row_index
 
 DEFAULT_SIZE = 10
 SCORE_DIGITS = 6
+TOP_K_ROWS = 100_000
 
 
 @dataclass(frozen=True)
@@ -106,13 +108,7 @@ def search(
         order = []
     sort_only = [f for f, _ in sort or [] if f not in (fields or df.columns)]
     hits = wanted.select(*output, *[F.col(f) for f in sort_only])
-    if order:
-        hits = hits.orderBy(*order)
-    if from_:
-        hits = hits.offset(from_)
-    if size is not None:
-        hits = hits.limit(size)
-    hits = hits.drop(*sort_only)
+    hits = _page(hits, order, from_, size).drop(*sort_only)
 
     summary = wanted.select(score.alias("score")).agg(
         F.count(F.lit(1)).alias("total"), F.max("score").alias("max_score")
@@ -120,6 +116,22 @@ def search(
     return SearchResult(hits, summary, run_aggs(matched, aggs) if aggs else None)
 
 
+def _page(hits: DataFrame, order: list[Column], from_: int, size: int | None) -> DataFrame:
+    """The rows from ``from_`` on, ``size`` of them, under ``order``.
+
+    A top-k keeps ``from_ + size`` rows per task and on the driver; a page further in than
+    ``TOP_K_ROWS`` is found by numbering all rows in parallel instead.
+    """
+    if not order:
+        return hits
+    if size is None or from_ + size <= TOP_K_ROWS:
+        hits = hits.orderBy(*order)
+        hits = hits.offset(from_) if from_ else hits
+        return hits if size is None else hits.limit(size)
+    numbered = with_row_index(hits, order, "_row")
+    return numbered.where((F.col("_row") >= from_) & (F.col("_row") < from_ + size)).orderBy("_row").drop("_row")
+
+
 def explanation(parts) -> Column:
     """``map<clause, contribution>``; equal labels add up."""
     sums: dict[str, Column] = {}

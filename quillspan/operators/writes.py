@@ -34,7 +34,7 @@ FIRST_ERROR_STATUS = 400
 BACK_PRESSURE_STATUS = 429
 RETRY_LIMIT = 5
 # Scripts of one document are applied this many per round, so no array grows with the batch.
-SCRIPTS_PER_ROUND = 10_000
+SCRIPTS_PER_ROUND = 100_000
 _BASE = -1
 
 Script = Callable[[Column], dict[str, Column]]
@@ -78,6 +78,7 @@ def bulk_apply(
     actions: DataFrame,
     scripts: dict[str, Script] | None = None,
     chunk: int = CHUNK,
+    cut: Callable[[DataFrame], DataFrame] | None = None,
 ) -> BulkResult:
     """Apply a batch to typed documents ``_index, _type, _id, _version, <columns>``.
 
@@ -125,8 +126,11 @@ def bulk_apply(
         return running_sum(history, KEY, "seq", {"_now": step}, pieces)
 
     hot = split_hot(valid, KEY, chunk)
-    versioned = by_heat(stored.unionByName(documents), KEY, hot, chunk, follow)
-    created = F.col("_was_alive").isNull()
+    versioned = by_heat(stored.unionByName(documents), KEY, hot, chunk, follow).select(
+        "seq", *KEY, "_now", F.col("_was_alive").isNull().alias("_created"), *values
+    )
+    versioned = cut(versioned) if cut else versioned
+    created = F.col("_created")
     document_results = _result(
         versioned.where(is_action), F.col("_now"), F.when(created, F.lit(201)).otherwise(F.lit(200))
     )
@@ -210,12 +214,9 @@ def run_scripts(docs: DataFrame, calls: DataFrame, columns: list[str], scripts:
     document can only run one after another; they do so in rounds, each of which joins the
     documents with arrays of at most ``SCRIPTS_PER_ROUND`` calls.
     """
-    rounds = calls.withColumn("_round", F.floor((F.col("_nth") - 1) / SCRIPTS_PER_ROUND))
-    last = rounds.agg(F.max("_round")).first()[0]
-    if last is None:
+    most = calls.agg(F.max("_nth")).first()[0]
+    if most is None:
         return docs
-    if last > 0:
-        rounds = materialize(rounds, "calls")
     types = {c: docs.schema[c].dataType for c in columns}
 
     def whole(changes: dict[str, Column], state: Column) -> Column:
@@ -230,23 +231,30 @@ def run_scripts(docs: DataFrame, calls: DataFrame, columns: list[str], scripts:
             after = F.when(call["payload"] == name, whole(script(state), state)).otherwise(after)
         return after
 
-    out = docs
-    for n in range(last + 1):
-        lists = (
-            rounds.where(F.col("_round") == n)
-            .groupBy(*KEY)
-            .agg(F.array_sort(F.collect_list(F.struct("seq", "payload"))).alias("_calls"))
+    def play(state_of: DataFrame, some_calls: DataFrame) -> DataFrame:
+        lists = some_calls.groupBy(*KEY).agg(
+            F.array_sort(F.collect_list(F.struct("seq", "payload"))).alias("_calls")
         )
-        called = out.join(lists, KEY, "left").withColumn("_calls", F.coalesce("_calls", F.array()))
+        called = state_of.join(lists, KEY, "left").withColumn("_calls", F.coalesce("_calls", F.array()))
         state = F.struct(*[F.col(c).alias(c) for c in columns])
-        out = called.withColumn("_state", F.aggregate("_calls", state, call_one)).select(
+        return called.withColumn("_state", F.aggregate("_calls", state, call_one)).select(
             *KEY,
             (F.col("_version") + F.size("_calls")).alias("_version"),
             *[F.col("_state")[c].alias(c) for c in columns],
         )
-        if last > 0:
-            out = materialize(out, "scripts")
-    return out
+
+    if most <= SCRIPTS_PER_ROUND:
+        return play(docs, calls)
+    # Only the documents with calls left over take part in further rounds.
+    first = materialize(play(docs, calls.where(F.col("_nth") <= SCRIPTS_PER_ROUND)), "scripts")
+    later = materialize(calls.where(F.col("_nth") > SCRIPTS_PER_ROUND), "calls")
+    waiting = later.select(*KEY).distinct()
+    done = first.join(waiting, KEY, "left_anti")
+    active = first.join(waiting, KEY, "left_semi")
+    for start in range(SCRIPTS_PER_ROUND, most, SCRIPTS_PER_ROUND):
+        turn = later.where((F.col("_nth") > start) & (F.col("_nth") <= start + SCRIPTS_PER_ROUND))
+        active = materialize(play(active, turn), "scripts")
+    return done.unionByName(active)
 
 
 def upsert(current: DataFrame, index: str, type_name: str, id_value: str, doc: str) -> BulkResult:

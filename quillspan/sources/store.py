@@ -68,9 +68,10 @@ class Store:
     def apply(self, actions: DataFrame, version: int | None = None, scripts=None, apply=bulk_apply) -> BulkResult:
         """Apply a batch to the newest version and commit the outcome.
 
-        The results are written down first, so they describe the same run as the commit.
+        The followed actions and the results are written down first, so that they are worked out
+        once and describe the same run as the commit.
         """
-        outcome = apply(self.read(), actions, scripts=scripts)
+        outcome = apply(self.read(), actions, scripts=scripts, cut=materialize)
         results = materialize(outcome.results, "results")
         number = self.commit(outcome.docs, version)
         return BulkResult(self.read(number), results)

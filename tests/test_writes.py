@@ -144,10 +144,9 @@ def test_json_batches(spark, seed, chunk):
 
 def test_empty_batch_changes_nothing(spark):
     current = spark.createDataFrame([("i", "t", "1", 3, "a", 1)], DOCS)
-    for apply, docs in ((q.bulk_apply, current),):
-        done = apply(docs, spark.createDataFrame([], ACTION_SCHEMA))
-        assert done.results.count() == 0
-        assert done.docs.collect() == current.collect()
+    done = q.bulk_apply(current, spark.createDataFrame([], ACTION_SCHEMA))
+    assert done.results.count() == 0
+    assert done.docs.collect() == current.collect()
     assert q.batch_errors(done.results).first()["errors"] is False
 
 
