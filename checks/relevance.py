@@ -17,7 +17,8 @@ from checks.registry import (
 )
 from quillspan.functions import text as ta
 from quillspan.functions.rows import unnest
-from quillspan.plans.postings import build_postings, match_postings
+from quillspan.plans.durable import new_folder
+from quillspan.plans.postings import match_postings, read_postings, write_postings
 from quillspan.sources.readers import spread
 
 ID = "doc_id"
@@ -110,7 +111,9 @@ def match_bm25(table):
 
 @check("q_match_postings", scored_sql(THREE, bm25_sql(THREE), any_sql(THREE)))
 def match_by_postings(table):
-    hits = match_postings(build_postings(texts(table), ID, "text"), "the of les")
+    folder = new_folder(table.spark, "words")
+    write_postings(texts(table), ID, "text", folder)
+    hits = match_postings(read_postings(table.spark, folder), "the of les")
     return hits.withColumnRenamed("_id", ID)
 
 

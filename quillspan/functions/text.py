@@ -73,6 +73,23 @@ def term_frequency(token_array: Column, term: str) -> Column:
     return F.size(token_array) - F.size(F.array_remove(token_array, term))
 
 
+def token_counts(sorted_tokens: str) -> Column:
+    """``array<struct<token,tf>>`` of a column of sorted tokens: the lengths of its runs."""
+    words = F.col(sorted_tokens)
+    starts = F.filter(
+        F.transform(words, lambda w, i: F.when((i == 0) | (F.get(words, i - 1) != w), i)), lambda i: i.isNotNull()
+    )
+    ends = F.concat(F.slice(starts, F.lit(2), F.size(words)), F.array(F.size(words)))
+    runs = F.arrays_zip(starts.alias("start"), ends.alias("end"))
+    return F.when(
+        F.size(words) > 0,
+        F.transform(
+            runs,
+            lambda r: F.struct(F.get(words, r["start"]).alias("token"), (r["end"] - r["start"]).alias("tf")),
+        ),
+    )
+
+
 def analyze(text: Column) -> Column:
     """``array<struct<token,start_offset,end_offset,type,position>>`` of ``text``.
 

@@ -1,15 +1,16 @@
 """An analyzed copy of a text field, for collections that are searched often.
 
-``postings`` holds one row per document and distinct token, range-partitioned and sorted by
-token and document, so the files of a token are found by Parquet statistics alone and a very
-common token is spread over as many files as it needs.  ``lengths`` is one row of totals.
+``postings`` holds one row per document and distinct token in folders by the token's hash, sorted by
+token inside each file: a search opens the folders of its tokens only and skips through their
+files by Parquet statistics.  A folder that a very common token makes large is split over as many
+files as it needs.  ``lengths`` is one row of totals.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillspan.functions import text as ta
@@ -18,32 +19,44 @@ from quillspan.operators.collection import bm25, inverse_document_frequency
 from quillspan.operators.search import SCORE_DIGITS
 
 
+BUCKETS = 64
+
+
 @dataclass(frozen=True)
 class Postings:
     rows: DataFrame
     lengths: DataFrame
+    buckets: int
 
 
-def build_postings(df: DataFrame, id_col: str, field: str) -> Postings:
-    """Token counts per document; all tokens of a document meet before the shuffle."""
-    words = df.select(F.col(id_col).alias("_id"), ta.tokens(F.col(field)).alias("t"))
-    lengths = words.agg(F.count(F.lit(1)).alias("n"), F.avg(F.size("t")).alias("avgdl"))
-    exploded = unnest(words.withColumn("dl", F.size("t")), "t", "token")
-    rows = exploded.groupBy("token", "_id").agg(
-        F.count(F.lit(1)).cast("int").alias("tf"), F.first("dl").alias("dl")
-    )
-    return Postings(rows.select("token", "_id", "tf", "dl"), lengths)
+def _bucket(token: Column, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(token), F.lit(buckets)).cast("int")
+
 
+def write_postings(df: DataFrame, id_col: str, field: str, path: str, buckets: int = BUCKETS) -> None:
+    """Count the tokens of every document inside its row, then shuffle the counts once to their folders.
 
-def write_postings(postings: Postings, path: str) -> None:
-    postings.rows.repartitionByRange("token", "_id").sortWithinPartitions("token", "_id").write.parquet(
+    The rebalance hint lets Spark split folders that came out large and join small ones.
+    """
+    words = df.select(F.col(id_col).alias("_id"), F.sort_array(ta.tokens(F.col(field))).alias("_sorted"))
+    counted = words.select("_id", F.size("_sorted").alias("dl"), ta.token_counts("_sorted").alias("_counts"))
+    rows = unnest(counted, "_counts", "_c").select(
+        "_c.token", "_id", "_c.tf", "dl", _bucket(F.col("_c.token"), buckets).alias("bucket")
+    )
+    rows.hint("rebalance", "bucket").sortWithinPartitions("bucket", "token").write.partitionBy("bucket").parquet(
         f"{path}/postings"
     )
-    postings.lengths.write.parquet(f"{path}/lengths")
+    # Documents without tokens are in no row, but they count: the totals come from both sides.
+    words_in_all = df.sparkSession.read.parquet(f"{path}/postings").agg(F.sum("tf")).scalar()
+    lengths = df.agg(F.count(F.lit(1)).alias("n")).select(
+        "n", (F.coalesce(words_in_all, F.lit(0)) / F.col("n")).alias("avgdl"), F.lit(buckets).alias("buckets")
+    )
+    lengths.write.parquet(f"{path}/lengths")
 
 
 def read_postings(spark: SparkSession, path: str) -> Postings:
-    return Postings(spark.read.parquet(f"{path}/postings"), spark.read.parquet(f"{path}/lengths"))
+    lengths = spark.read.parquet(f"{path}/lengths")
+    return Postings(spark.read.parquet(f"{path}/postings"), lengths, lengths.first()["buckets"])
 
 
 def match_postings(postings: Postings, text: str, operator: str = "or") -> DataFrame:
@@ -52,7 +65,8 @@ def match_postings(postings: Postings, text: str, operator: str = "or") -> DataF
     Reads the rows of the query's tokens only and shuffles one row per document and token.
     """
     wanted = ta.distinct_in_order(ta.query_tokens(text))
-    hits = postings.rows.where(F.col("token").isin(wanted))
+    folders = F.col("bucket").isin([_bucket(F.lit(t), postings.buckets) for t in wanted])
+    hits = postings.rows.where(folders & F.col("token").isin(wanted))
     frequency = hits.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
     totals = postings.lengths.select(F.struct("n", "avgdl").alias("s")).scalar()
     counts = frequency.agg(F.map_from_entries(F.collect_list(F.struct("token", "df")))).scalar()

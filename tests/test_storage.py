@@ -1,6 +1,7 @@
 """Stores, snapshots, indices, pages and streams."""
 
 import json
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,7 +12,7 @@ from quillspan.operators.aggs import is_array
 from quillspan.operators.documents import bulk_apply_json
 from quillspan.operators.writes import ACTION_SCHEMA
 from quillspan.plans import durable
-from quillspan.plans.postings import build_postings, match_postings, read_postings, write_postings
+from quillspan.plans.postings import match_postings, read_postings, write_postings
 from quillspan.plans.rowindex import with_row_index
 from quillspan.sources import readers
 from quillspan.streaming.continuous import (
@@ -133,13 +134,14 @@ def test_typed_mappings(spark, current):
     assert [(r["index"], r["field"], r["data_type"]) for r in rows] == [("j", "o.n", "int"), ("j", "o.s", "string")]
 
 
-def test_postings_survive_writing(spark, tmp_path):
+def test_written_postings_give_the_scores_of_a_scan(spark, tmp_path, plan):
     docs = spark.createDataFrame([(1, "the cat the dog"), (2, "a dog"), (3, None), (4, "cat")], "id int, t string")
-    write_postings(build_postings(docs, "id", "t"), str(tmp_path / "p"))
+    write_postings(docs, "id", "t", str(tmp_path / "p"), buckets=5)
     stored = read_postings(spark, str(tmp_path / "p"))
     for operator in ("or", "and"):
         scan = q.search(docs, "id", query=q.match("t", "cat dog", operator=operator), size=None, fields=["id"]).hits
         assert sorted(map(tuple, match_postings(stored, "cat dog", operator).collect())) == sorted(map(tuple, scan.collect()))
+    assert re.search(r"PartitionFilters: \[[^]]*bucket", plan(match_postings(stored, "cat")))
 
 
 def test_json_documents_are_read_as_text(spark, tmp_path):

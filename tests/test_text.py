@@ -27,6 +27,15 @@ def test_tokens_and_offsets(spark):
             assert source[a["start_offset"] : a["end_offset"]].lower() == a["token"]
 
 
+def test_token_counts(spark):
+    from collections import Counter
+
+    df = spark.createDataFrame([(t,) for t in ["b a b c a b", "", "one", "z z z"]], "t string")
+    rows = df.select("t", F.array_sort(ta.tokens(F.col("t"))).alias("s")).select("t", ta.token_counts("s").alias("c"))
+    for r in rows.collect():
+        assert {c["token"]: c["tf"] for c in r["c"] or []} == Counter(r["t"].split())
+
+
 def test_edge_ngrams(spark):
     df = spark.createDataFrame([("Quick it",)], "t string")
     grams = df.select(ta.edge_ngrams(ta.tokens(F.col("t")), 2, 3).alias("g")).first()["g"]
