@@ -8,6 +8,7 @@ from checks.registry import check, words_sql
 from quillspan.functions import json as qj
 from quillspan.functions import text as ta
 from quillspan.operators import responses
+from quillspan.sources.readers import spread
 
 
 def text(value):
@@ -30,7 +31,7 @@ def classify(table):
         F.when(kind == "view", F.col("props")).when(kind == "error", failure).when(kind == "click", "")
         .when(kind == "purchase", "Bad Json")
     )
-    return responses.classify(table("events").select("event_id", payload.alias("payload"))).drop("payload")
+    return responses.classify(spread(table("events")).select("event_id", payload.alias("payload"))).drop("payload")
 
 
 @check(
@@ -182,7 +183,7 @@ def bulk_items(table):
         F.lit('{"errors":"false","items":[{"update":'), F.to_json(update), F.lit('},{"delete":'), F.to_json(delete),
         F.lit('},{"create":{"status":201}}]}'),
     )
-    return responses.bulk_items(table("orders").select("o_orderkey", items.alias("payload")))
+    return responses.bulk_items(spread(table("orders")).select("o_orderkey", items.alias("payload")))
 
 
 # Returned lines answer with an error object, others with a list of two shards.
@@ -210,7 +211,7 @@ def listing_shards(table):
     payload = F.when(F.col("l_returnflag") == "R", F.lit('{"error": "none", "index": "x"}')).otherwise(
         F.to_json(F.array(first, second))
     )
-    return responses.shard_listing(table("lineitem").select("l_orderkey", "l_partkey", payload.alias("payload")))
+    return responses.shard_listing(spread(table("lineitem")).select("l_orderkey", "l_partkey", payload.alias("payload")))
 
 
 @check(
@@ -296,7 +297,7 @@ def routing_explode(table):
         F.lit("1"), F.array(copy("STARTED", True, F.lit("m"), 1, no_info)),
     )
     table_json = F.struct(F.struct(F.create_map(index, F.struct(shards.alias("shards"))).alias("indices")).alias("routing_table"))
-    rows = responses.routing_shards(table("orders").select("o_orderkey", F.to_json(table_json).alias("payload")))
+    rows = responses.routing_shards(spread(table("orders")).select("o_orderkey", F.to_json(table_json).alias("payload")))
     return rows.select("o_orderkey", "state", "primary", "node", "shard", "index", "unassigned_reason", "unassigned_at")
 
 
@@ -360,7 +361,7 @@ def snapshot_flatten(table):
         F.when(F.col("o_totalprice") > 100000, "SUCCESS").otherwise("FAILED").alias("state"),
     )
     payload = F.to_json(F.struct(F.array(entry).alias("snapshots")))
-    rows = responses.snapshot_rows(table("orders").select("o_orderkey", payload.alias("payload")))
+    rows = responses.snapshot_rows(spread(table("orders")).select("o_orderkey", payload.alias("payload")))
     return rows.withColumn("indices", F.array_join("indices", ","))
 
 
@@ -410,7 +411,7 @@ def two_spellings(table):
     one = F.concat(F.lit('{"k": '), k, F.lit(', "t": {"a": 1, "b": "'), kind, F.lit('"}}'))
     other = F.concat(F.lit('{"t":{"b":"'), kind, F.lit('","a":1},"k":'), k, F.lit("}"))
     decimal = F.concat(F.lit('{"t":{"b":"'), kind, F.lit('","a":1.0},"k":'), k, F.lit("}"))
-    events = table("events")
+    events = spread(table("events"))
     return (
         events.select("event_id", one.alias("doc"))
         .unionByName(events.select("event_id", other.alias("doc")))
@@ -454,7 +455,7 @@ def to_json(table):
         F.col("o_orderkey").alias("orderKey"), F.col("o_custkey").alias("custKey"), F.col("o_orderstatus").alias("orderStatus"),
         F.struct((F.col("o_totalprice") > 100000).alias("isLarge")).alias("priceInfo"),
     )
-    return table("orders").select("o_orderkey", qj.to_snake_json(record, schema).alias("doc"))
+    return spread(table("orders")).select("o_orderkey", qj.to_snake_json(record, schema).alias("doc"))
 
 
 @check(
@@ -471,5 +472,5 @@ def from_json(table):
             F.lit("x").alias("not_in_schema"),
         )
     )
-    typed = table("orders").select(qj.from_snake_json(payload, ORDER_SCHEMA).alias("o"))
+    typed = spread(table("orders")).select(qj.from_snake_json(payload, ORDER_SCHEMA).alias("o"))
     return typed.select("o.orderKey", "o.custKey", "o.orderStatus", "o.priceInfo.totalPrice", "o.priceInfo.isLarge")

@@ -13,8 +13,8 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def spread(scan: DataFrame, least: int | None = None) -> DataFrame:
     """Deal out a scan that has fewer tasks than the cluster has cores.
 
-    Text analysis is bound by the processor, so a few large row groups would keep most cores
-    idle.  A scan with enough tasks of its own is returned as it is.  Use on plain scans only:
+    Text analysis and JSON work are bound by the processor, so a few large row groups would keep
+    most cores idle.  A scan with enough tasks of its own is returned as it is.  Use on plain scans only:
     asking a plan with shuffles for its partitions would run them.
     """
     cores = least or scan.sparkSession.sparkContext.defaultParallelism

