@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from quillspan.llm import words as W
-from quillspan.llm.common import by_batch, cut, one_text
+from quillspan.llm.common import Bitmap, by_batch, cut, one_text
 from quillspan.llm.registry import query, table
 
 WINDOW, GRAM = 10, 4
@@ -61,14 +61,9 @@ def _scan(df: DataFrame, columns: list[str], window: int, gram: int, shorts, bit
     def work(batch):
         short = shorts.value if bitmap is not None else None
         bits = bitmap.value if bitmap is not None else None
-
-        def keep(prints):
-            b = (prints >> np.uint64(64 - BITMAP_BITS)).astype(np.int64)
-            return (bits[b >> 3] >> (b & 7).astype(np.uint8)) & 1 == 1
-
         for a, b, words in W.chunks(batch.column("_text"), W.ALNUM_FOLDED):
             if bits is not None:
-                rows, prints, whole, n, at = _windows(words, window, gram, short, keep)
+                rows, prints, whole, n, at = _windows(words, window, gram, short, bits.has)
             else:  # the benchmark: texts shorter than a window are windows of their own length
                 parts = [_windows(words, window, gram, [])]
                 for size in range(1, window):
@@ -91,20 +86,6 @@ def _scan(df: DataFrame, columns: list[str], window: int, gram: int, shorts, bit
     return by_batch(df.select(*columns, "_text"), schema, work)
 
 
-def _bitmap(prints: DataFrame) -> np.ndarray:
-    """Bits of the fingerprints' upper bits: at most 2 ** (BITMAP_BITS - 6) rows come to the driver."""
-    bucket = F.shiftrightunsigned("print", 64 - BITMAP_BITS)
-    rows = (
-        prints.select(F.shiftright(bucket, 6).alias("at"), F.expr(f"shiftleft(1L, cast(shiftrightunsigned(print, {64 - BITMAP_BITS}) % 64 as int))").alias("bit"))
-        .groupBy("at")
-        .agg(F.bit_or("bit").alias("bits"))
-        .toArrow()
-    )
-    bits = np.zeros(1 << (BITMAP_BITS - 6), np.int64)
-    bits[rows["at"].to_numpy()] = rows["bits"].to_numpy()
-    return bits.view(np.uint8)
-
-
 def decontaminate(
     docs: DataFrame,
     items: DataFrame,
@@ -132,7 +113,7 @@ def decontaminate(
     )
     shorts = [r[0] for r in bench.where(F.col("n") < window).select("n").distinct().collect()]  # below ``window``
     sc = spark.sparkContext
-    shared_shorts, shared_bits = sc.broadcast(sorted(shorts)), sc.broadcast(_bitmap(bench))
+    shared_shorts, shared_bits = sc.broadcast(sorted(shorts)), sc.broadcast(Bitmap(bench, "print", BITMAP_BITS))
 
     rows = one_text(docs, id_col, text_col).withColumn("_row", F.monotonically_increasing_id())
     base = cut(_scan(rows, ["_row", "_id"], window, gram, shared_shorts, shared_bits), "windows")

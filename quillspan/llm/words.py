@@ -103,6 +103,10 @@ class Words:
         at = np.arange(count)
         return _spans(self.hashes, at, at + n, _WORDS)
 
+    def spans(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """The hash of the words from ``starts`` up to ``ends``."""
+        return _spans(self.hashes, starts, ends, _WORDS)
+
     def inside(self, n: int) -> np.ndarray:
         """Whether the ``n`` words from each word on belong to one text."""
         count = max(0, len(self.starts) - n + 1)
