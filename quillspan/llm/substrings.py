@@ -160,6 +160,7 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     settled = places.where("not branching").select("_key", "at", "n", "whole")
     edges = places.where("branching").select("_key", "at", "anchor", F.posexplode("edges").alias("i", "whole"))
     many = edges.groupBy("anchor", "whole").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("anchor", "whole")
+    many = cut(many, "edges")  # so that the join reads two plain exchanges, which adaptive execution can split
     opened = edges.join(many, ["anchor", "whole"]).select("_key", (F.col("at") + F.col("i")).alias("at"), F.lit(window).alias("n"), "whole")
     spans = settled.unionByName(opened).groupBy("_key").agg(F.collect_set(F.struct("at", "n", "whole")).alias("spans"))
 

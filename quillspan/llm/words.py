@@ -16,6 +16,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 CHUNK = 4 << 20
+CHUNK_ROWS = 1 << 16
 _BYTE_BASE = np.uint64(0x9E3779B97F4A7C15)
 _WORD_BASE = np.uint64(0xC2B2AE3D27D4EB4F)
 
@@ -138,11 +139,12 @@ def buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def chunks(texts: pa.Array, table: np.ndarray, most: int = CHUNK) -> Iterator[tuple[int, int, Words]]:
-    """``(from, to, words)`` for runs of texts of about ``most`` bytes; one longer text is a run of its own."""
+    """``(from, to, words)`` for runs of at most CHUNK_ROWS texts and ``most`` bytes; a longer text is a run of its own."""
     data, offsets = buffers(texts)
     at = 0
     while at < len(offsets) - 1:
         to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + most, side="right")) - 1)
+        to = min(to, at + CHUNK_ROWS)
         yield at, to, of_bytes(data, offsets[at : to + 1], table)
         at = to
 
