@@ -96,8 +96,9 @@ def decontaminate(
     item_text_col: str = "text",
     window: int = WINDOW,
     gram: int = GRAM,
+    keep: list[str] | None = None,
 ) -> DataFrame:
-    """One row per document: ``id_col, n_words, n_hit, n_items, items, spans, contaminated``.
+    """One row per document: ``keep`` (the id), ``n_words, n_hit, n_items, items, spans, contaminated``.
 
     ``items`` lists the ids (as text, sorted) of the items with a window in the document, ``spans`` the hit
     runs of words as ``start`` and ``end`` (exclusive) word positions.
@@ -115,8 +116,10 @@ def decontaminate(
     sc = spark.sparkContext
     shared_shorts, shared_bits = sc.broadcast(sorted(shorts)), sc.broadcast(Bitmap(bench, "print", BITMAP_BITS))
 
-    rows = one_text(docs, id_col, text_col).withColumn("_row", F.monotonically_increasing_id())
-    base = cut(_scan(rows, ["_row", "_id"], window, gram, shared_shorts, shared_bits), "windows")
+    keep = [id_col] if keep is None else keep
+    kept = [f"k_{c}" for c in keep]
+    rows = docs.select(F.monotonically_increasing_id().alias("_row"), *(docs[c].alias(k) for c, k in zip(keep, kept)), docs[text_col].cast("string").alias("_text"))
+    base = cut(_scan(rows, ["_row", *kept], window, gram, shared_shorts, shared_bits), "windows")
 
     found = base.where(F.size("found") > 0).select("_row", F.inline("found")).join(bench, ["print", "window", "n"])
     spans = F.array_sort(F.collect_set(F.struct(F.col("at").alias("start"), (F.col("at") + F.col("n")).alias("end"))))
@@ -137,11 +140,11 @@ def decontaminate(
     none = F.array().cast("array<string>")
     covered = F.aggregate("spans", F.lit(0).cast("long"), lambda n, x: n + x["end"] - x["start"])
     return (
-        base.select("_row", "_id", "n_words")
+        base.select("_row", *kept, "n_words")
         .join(hits, "_row", "left")
-        .select(F.col("_id").alias(id_col), "n_words", F.coalesce("items", none).alias("items"), F.coalesce("spans", empty).alias("spans"))
+        .select(*kept, "n_words", F.coalesce("items", none).alias("items"), F.coalesce("spans", empty).alias("spans"))
         .select(
-            id_col,
+            *(F.col(k).alias(c) for c, k in zip(keep, kept)),
             "n_words",
             covered.alias("n_hit"),
             F.size("items").cast("long").alias("n_items"),

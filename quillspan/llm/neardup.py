@@ -11,10 +11,10 @@ sample with the probability of their weighted Jaccard similarity. Texts that agr
 candidates: at similarity 0.8, 12 bands of 3 rows miss a pair with probability 0.0002.
 
 Candidates are not expanded into all pairs. Exact copies are one text from the start. In each bucket every
-text is first compared with the bucket's least; texts found similar are one component. Only texts outside a
-bucket's largest component are then compared with the others of the bucket, unless their samples agree on
-less than half (at similarity 0.8 a chance of 0.00005), so no link between components is left out. All
-candidates are verified by the exact weighted Jaccard similarity of their whole texts.
+text is first compared with one pivot, the text that meets most others; texts found similar are one component.
+Texts that this leaves outside a bucket's largest component are then joined exactly with all others, by their
+rarest shingles, so no link between components is left out. All candidates are verified by the exact weighted
+Jaccard similarity of their whole texts.
 
 Defined results: null and empty texts, and texts without words, have no shingles and are classes of their own;
 a text of fewer words than a shingle is one shingle; equal texts are one class, repeated rows included; a row
@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from quillspan.llm import words as W
-from quillspan.llm.common import by_batch, cut, one_text
+from quillspan.llm.common import Bitmap, by_batch, cut, one_text
 from quillspan.llm.components import components
 from quillspan.llm.registry import query, table
 
@@ -135,9 +135,8 @@ def _sketch(shingle: int, bands: int, per_band: int, weights):
                     part.column("_text_id"),
                     part.column("_id"),
                     pa.FixedSizeListArray.from_arrays(pa.array(W.signed(keys.reshape(-1))), bands).cast(pa.list_(pa.int64())),
-                    pa.FixedSizeListArray.from_arrays(pa.array((drawn.reshape(-1) >> np.uint64(48)).astype(np.int16)), bands * per_band).cast(pa.list_(pa.int16())),
                 ],
-                names=["text_id", "id", "keys", "drawn"],
+                names=["text_id", "id", "keys"],
             )
 
     return work
@@ -178,7 +177,7 @@ def near_duplicates(
     bands: int = BANDS,
     rows_per_band: int = ROWS,
 ) -> DataFrame:
-    """One row per document: ``id_col, class_id, n_texts, kept``.
+    """One row per document: ``id_col, text_md5, class_id, n_texts, kept``.
 
     ``class_id`` is the least id of the class, ``n_texts`` the number of different texts in it, ``kept`` is true
     for one row of each class.
@@ -189,29 +188,34 @@ def near_duplicates(
     id_type = rows.schema["_id"].dataType.simpleString()
 
     sketch = _sketch(shingle, bands, rows_per_band, weights)
-    drawn = by_batch(rows, f"text_id binary, id {id_type}, keys array<bigint>, drawn array<smallint>", sketch)
+    drawn = by_batch(rows, f"text_id binary, id {id_type}, keys array<bigint>", sketch)
     # One row per different text, with a number of its own; equal texts have equal samples.
-    texts = drawn.groupBy("text_id").agg(F.min("id").alias("id"), F.first("keys").alias("keys"), F.first("drawn").alias("drawn"))
+    texts = drawn.groupBy("text_id").agg(F.min("id").alias("id"), F.first("keys").alias("keys"))
     texts = cut(texts.withColumn("node", F.monotonically_increasing_id()), "texts")
 
     members = texts.select("node", F.explode("keys").alias("key"))
-    pivots = cut(members.groupBy("key").agg(F.min("node").alias("a"), F.count(F.lit(1)).alias("n")).where("n > 1").select("key", "a"), "pivots")
-    buckets = cut(members.join(pivots, "key"), "buckets")
-    stars = cut(buckets.where("node > a").select("a", F.col("node").alias("b")).distinct(), "pairs")
+    shared = cut(members.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "shared")
+    buckets = cut(members.join(shared, "key"), "buckets")
+    # The text that meets most others stands in the middle of its group: it is the bucket's pivot.
+    degrees = cut(buckets.groupBy("node").agg(F.sum("n").alias("degree")), "degrees")
+    buckets = cut(buckets.join(degrees, "node").select("key", "node", "degree"), "buckets")
+    pivots = cut(buckets.groupBy("key").agg(F.max_by("node", F.struct("degree", "node")).alias("pivot")), "pivots")
+    stars = buckets.join(pivots, "key").where("node <> pivot")
+    stars = cut(stars.select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct(), "pairs")
 
     # The texts of all candidates, once each: the row of the least id stands for its copies.
     wanted = cut(buckets.select("node").distinct().join(texts, "node").select("node", "text_id", "id"), "wanted")
-    once = rows.join(wanted, (F.col("_text_id") == F.col("text_id")) & F.col("_id").eqNullSafe(F.col("id")))
+    once = rows.join(wanted.hint("merge"), (F.col("_text_id") == F.col("text_id")) & F.col("_id").eqNullSafe(F.col("id")))
     held = cut(once.groupBy("node").agg(F.first("_text").alias("text")), "held")
 
     def verified(pairs):
-        with_a = pairs.join(held.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
-        with_both = with_a.join(held.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
+        with_a = pairs.hint("merge").join(held.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
+        with_both = with_a.hint("merge").join(held.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
         return cut(by_batch(with_both, "a bigint, b bigint, similarity double", _similar(shingle, similarity, weights)), "links")
 
     links = verified(stars).select("a", "b")
     labels = cut(components(links), "labels")
-    links = links.unionByName(verified(_strays(texts, buckets, labels, bands * rows_per_band)).select("a", "b"))
+    links = links.unionByName(verified(_strays(held, buckets, labels, shingle, similarity, weights)).select("a", "b"))
     labels = cut(components(links), "labels")
 
     named = texts.select("node", "text_id", "id").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
@@ -225,29 +229,67 @@ def near_duplicates(
     first = cut(first.select("first._row", F.lit(True).alias("kept")), "kept")
     return every.join(first, "_row", "left").select(
         F.col("_id").alias(id_col),
+        F.lower(F.hex("_text_id")).alias("text_md5"),
         F.coalesce("class_id", "_id").alias("class_id"),
         F.coalesce("n_texts", F.lit(1)).cast("long").alias("n_texts"),
         (F.col("kept").isNotNull() | F.col("label").isNull()).alias("kept"),
     )
 
 
-def _strays(texts: DataFrame, buckets: DataFrame, labels: DataFrame, n_samples: int) -> DataFrame:
-    """Candidates that no star has compared: texts outside the largest component of a bucket, with all its others."""
-    known = cut(
-        buckets.join(labels, "node", "left").select("key", "node", "a", F.coalesce("label", "node").alias("label")), "known"
-    )
+def _prefixes(shingle: int, least: float, weights, mixed):
+    """Each text's rarest shingles: those from which on it still has the weight that a similar text must share."""
+
+    def work(batch):
+        batch = batch.filter(pa.array(mixed.value.has(batch.column("hash").to_numpy().view(np.uint64))))
+        nodes = batch.column("node").to_numpy()
+        for a, b, words in W.chunks(batch.column("text"), W.SPACED):
+            rows, ids, counts = shingles(words, shingle)
+            one = weights.value[_features(ids)]
+            order = np.lexsort((ids, -one, rows))
+            rows, ids, w = rows[order], ids[order], (counts * one)[order]
+            total = np.bincount(rows, w, b - a)
+            before = np.cumsum(w) - w
+            first = np.searchsorted(rows, np.arange(b - a))
+            start = before[np.minimum(first, max(0, len(w) - 1))] if len(w) else np.zeros(b - a)
+            rest = total[rows] - (before - start[rows])
+            kept = rest >= least * total[rows] - 1e-6
+            rows, ids, rest = rows[kept], ids[kept], rest[kept]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(ids.astype(np.int64)), pa.array(nodes[a + rows]), pa.array(rest), pa.array(total[rows])],
+                names=["id", "node", "rest", "total"],
+            )
+
+    return work
+
+
+def _strays(held: DataFrame, buckets: DataFrame, labels: DataFrame, shingle: int, least: float, weights) -> DataFrame:
+    """Candidates that no star has linked: texts outside the largest component of a bucket, with any others.
+
+    Two similar texts share one of their rarest shingles (prefix filtering over one order of all shingles, which
+    is exact), and what follows it must weigh enough in both. The shingles that a large group has in common come
+    last in that order, so its members don't meet in them.
+    """
+    known = cut(buckets.join(labels, "node", "left").select("key", "node", F.coalesce("label", "node").alias("label")), "known")
     sizes = known.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n"))
-    main = cut(sizes.groupBy("key").agg(F.max_by("label", F.struct("n", "label")).alias("main"), F.count(F.lit(1)).alias("k")).where("k > 1").select("key", "main"), "main")
-    mixed = cut(known.join(main, "key").join(texts.select("node", "drawn"), "node"), "mixed")
-    x, y = mixed.where("label <> main").alias("x"), mixed.alias("y")
-    alike = F.size(F.filter(F.zip_with("x.drawn", "y.drawn", lambda p, q: p == q), lambda same: same))
+    main = sizes.groupBy("key").agg(F.max_by("label", F.struct("n", "label")).alias("main"), F.count(F.lit(1)).alias("k"))
+    main = cut(main.where("k > 1").select("key", "main"), "main")
+    nodes = known.join(main, "key").groupBy("node").agg(F.max("label").alias("label"), F.max(F.col("label") != F.col("main")).alias("stray"))
+    nodes = cut(nodes.withColumn("hash", F.xxhash64("node")), "mixed")
+    mixed = held.sparkSession.sparkContext.broadcast(Bitmap(nodes, "hash", 24))
+    rows = by_batch(
+        held.select("node", "text", F.xxhash64("node").alias("hash")),
+        "id bigint, node bigint, rest double, total double",
+        _prefixes(shingle, least, weights, mixed),
+    )
+    rows = cut(rows.join(nodes.select("node", "label", "stray"), "node"), "prefixes")
+    x = rows.where(F.col("rest") >= 2 * least / (1 + least) * F.col("total") - 1e-6).alias("x")
+    y = rows.alias("y")
     rule = (
-        (F.col("x.key") == F.col("y.key"))
+        (F.col("x.id") == F.col("y.id"))
         & (F.col("x.label") != F.col("y.label"))
-        & ((F.col("y.label") == F.col("y.main")) | (F.col("x.node") < F.col("y.node")))
-        & (F.col("x.node") != F.col("x.a"))
-        & (F.col("y.node") != F.col("y.a"))
-        & (alike * 2 >= n_samples)
+        & (F.col("x.stray") | F.col("y.stray"))
+        & ((F.col("x.total") < F.col("y.total")) | ((F.col("x.total") == F.col("y.total")) & (F.col("x.node") < F.col("y.node"))))
+        & (F.least("x.rest", "y.rest") * (1 + least) >= least * (F.col("x.total") + F.col("y.total")) - 1e-6)
     )
     pairs = x.join(y, rule).select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"))
     return cut(pairs.distinct(), "strays")
@@ -255,4 +297,4 @@ def _strays(texts: DataFrame, buckets: DataFrame, labels: DataFrame, n_samples:
 
 @query("op10_near_duplicates")
 def op10(spark, sf_dir):
-    return near_duplicates(table(spark, sf_dir, "documents"))
+    return near_duplicates(table(spark, sf_dir, "documents")).drop("text_md5")

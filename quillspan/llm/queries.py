@@ -1,6 +1,6 @@
 """Importing this module registers the queries of this folder."""
 
-from quillspan.llm import decontaminate, neardup, substrings  # noqa: F401
+from quillspan.llm import decontaminate, language, mixing, neardup, substrings  # noqa: F401
 from quillspan.llm.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

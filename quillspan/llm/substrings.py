@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from quillspan.llm import words as W
-from quillspan.llm.common import Bitmap, by_batch, cut, one_text
+from quillspan.llm.common import Bitmap, by_batch, cut
 from quillspan.llm.registry import query, table
 
 WINDOW, GRAM = 35, 8
@@ -89,6 +89,7 @@ def _repeated_paths(window: int, gram: int, repeated, branching):
 
 def _removed(batch):
     """The kept words of each text, after checking each span against the words at its place."""
+    kept_columns = [c for c in batch.schema.names if c.startswith("k_")]
     for a, b, words in W.chunks(batch.column("_text"), W.SPACED):
         part = batch.slice(a, b - a)
         spans = part.column("spans")
@@ -110,12 +111,12 @@ def _removed(batch):
         total = np.concatenate([[0], np.cumsum(gone)])
         yield pa.RecordBatch.from_arrays(
             [
-                part.column("_id"),
+                *(part.column(c) for c in kept_columns),
                 pa.array(words.counts, pa.int64()),
                 pa.array(np.diff(total[words.first]), pa.int64()),
                 pa.Array.from_buffers(pa.large_string(), b - a, [None, pa.py_buffer(offsets), pa.py_buffer(data)]).cast(pa.string()),
             ],
-            names=["_id", "n_words", "n_removed", "kept_text"],
+            names=[*kept_columns, "n_words", "n_removed", "kept_text"],
         )
 
 
@@ -137,10 +138,20 @@ def _within(sizes: np.ndarray) -> np.ndarray:
     return np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - sizes, sizes)
 
 
-def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, gram: int = GRAM) -> DataFrame:
-    """One row per document: ``id_col, n_words, n_removed, kept_text`` (kept words joined by one blank)."""
+def remove_repeats(
+    docs: DataFrame,
+    *,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    window: int = WINDOW,
+    gram: int = GRAM,
+    keep: list[str] | None = None,
+) -> DataFrame:
+    """One row per document: ``keep`` (the id), ``n_words, n_removed, kept_text`` (kept words joined by one blank)."""
     spark = docs.sparkSession
-    rows = one_text(docs, id_col, text_col).withColumn("_key", F.xxhash64("_id", "_text"))
+    keep = [id_col] if keep is None else keep
+    kept = [docs[c].alias(f"k_{c}") for c in keep]
+    rows = docs.select(F.xxhash64(docs[id_col], docs[text_col].cast("string")).alias("_key"), docs[text_col].cast("string").alias("_text"), *kept)
     paths = by_batch(rows.select("_text"), "anchor bigint, path bigint", _count_paths(window, gram))
     anchors = (
         paths.groupBy("anchor", "path")
@@ -164,13 +175,9 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     opened = edges.join(many, ["anchor", "whole"]).select("_key", (F.col("at") + F.col("i")).alias("at"), F.lit(window).alias("n"), "whole")
     spans = settled.unionByName(opened).groupBy("_key").agg(F.collect_set(F.struct("at", "n", "whole")).alias("spans"))
 
-    kinds = {f.name: f.dataType.simpleString() for f in rows.schema}
-    done = by_batch(
-        rows.join(spans, "_key", "left").select("_id", "_text", "spans"),
-        f"_id {kinds['_id']}, n_words bigint, n_removed bigint, kept_text string",
-        _removed,
-    )
-    return done.withColumnRenamed("_id", id_col)
+    types = ", ".join(f"`{c}` {t}" for c, t in rows.drop("_key", "_text").dtypes)
+    done = by_batch(rows.join(spans, "_key", "left").drop("_key"), f"{types}, n_words bigint, n_removed bigint, kept_text string", _removed)
+    return done.select(*(F.col(f"k_{c}").alias(c) for c in keep), "n_words", "n_removed", "kept_text")
 
 
 ORACLE = r"""
