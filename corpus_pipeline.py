@@ -1,8 +1,79 @@
-"""The corpus pipeline: stages that run one after the other over ``documents``."""
+"""The corpus pipeline over ``documents``: five stages, each over all that its predecessor kept.
+
+1. language: documents whose text no learned language explains are dropped; a missing ``lang`` is filled in.
+2. near_duplicates: one document of each class of near-duplicates stays.
+3. substrings: words of repeated sequences leave the texts; ``n_chars`` follows.
+4. decontamination: documents that hold a window of a benchmark item are dropped.
+5. mixing: documents are drawn so that sources, languages and kinds of text near their targets.
+
+The first four return the columns of ``documents``; the last adds what it has decided. SQL can't express the
+models of the first two stages, so tests hold the stages against brute force instead.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from quillspan.llm.common import cut
+from quillspan.llm.decontaminate import decontaminate
+from quillspan.llm.language import identify, train
+from quillspan.llm.mixing import mix, topic
+from quillspan.llm.neardup import near_duplicates
+from quillspan.llm.substrings import remove_repeats
+
+#: The share of all tokens that the last stage draws, and how far it flattens the present shares.
+BUDGET_SHARE, POWER = 0.9, 0.9
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    found = identify(docs, train(docs), keep=docs.columns)
+    lang = F.coalesce("lang", "lang_pred").alias("lang")
+    return found.where("not rejected").select(*(lang if c == "lang" else c for c in docs.columns))
+
+
+def near_duplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    found = cut(near_duplicates(docs), "classes")
+    kept = found.where("kept").select(F.col("doc_id").alias("_id"), F.col("text_md5").alias("_md5"))
+    left = docs.join(kept.hint("merge"), docs["doc_id"].eqNullSafe(F.col("_id")) & F.md5(docs["text"]).eqNullSafe(F.col("_md5")), "left_semi")
+    # A row that occurs twice as it is matches its own kept twin; only then are rows compared whole.
+    again = found.groupBy("doc_id", "text_md5").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    return left if again.isEmpty() else left.dropDuplicates(["doc_id", "text"])
+
+
+def substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    done = remove_repeats(docs, keep=[c for c in docs.columns if c not in ("text", "n_chars")])
+    done = done.withColumn("text", F.col("kept_text")).withColumn("n_chars", F.length("kept_text").cast("long"))
+    return done.select(*docs.columns)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    marked = docs.withColumn("_md5", F.md5("text"))
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    found = decontaminate(marked, items, keep=["doc_id", "_md5"]).where("contaminated")
+    found = cut(found.select(F.col("doc_id").alias("_id"), F.col("_md5").alias("_digest")), "contaminated")
+    same = marked["doc_id"].eqNullSafe(F.col("_id")) & marked["_md5"].eqNullSafe(F.col("_digest"))
+    return marked.join(found, same, "left_anti").select(*docs.columns)
+
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    dimensions = {"source": docs["source"], "lang": docs["lang"], "topic": topic(docs["text"])}
+    mixed = mix(docs, dimensions, power=POWER, budget_share=BUDGET_SHARE, keep=docs.columns)
+    return mixed.where("sampled").select(*docs.columns, "n_tokens", F.col("in_topic").alias("topic"), "probability")
+
+
+STAGES = [
+    ("language", language),
+    ("near_duplicates", near_duplicate),
+    ("substrings", substrings),
+    ("decontamination", decontamination),
+    ("mixing", mixing),
+]
 
-STAGES = []
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES[:-1]:
+        docs = cut(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)
