@@ -1,6 +1,17 @@
 """Importing this module registers the queries of this folder."""
 
-from quillspan.llm import decontaminate, language, mixing, neardup, substrings  # noqa: F401
+from quillspan.llm import (  # noqa: F401
+    decontaminate,
+    html_text,
+    language,
+    licenses,
+    lmscore,
+    mixing,
+    neardup,
+    quality,
+    substrings,
+    tokens,
+)
 from quillspan.llm.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
