@@ -174,7 +174,7 @@ def train(labelled: DataFrame, *, text_col: str = "text", lang_col: str = "lang"
     grams, contexts = [], []
     for k in range(order, 0, -1):
         ctx = F.expr(f"substring(gram, 1, {k - 1})")
-        discount = level.groupBy("lang").agg((F.count_if(F.col("n") == 1) / (F.count_if(F.col("n") == 1) + 2 * F.count_if(F.col("n") == 2))).alias("d"))
+        discount = level.groupBy("lang").agg(F.try_divide(F.count_if(F.col("n") == 1), F.count_if(F.col("n") == 1) + 2 * F.count_if(F.col("n") == 2)).alias("d"))
         discount = discount.select("lang", F.least(F.lit(0.95), F.greatest(F.lit(0.1), F.coalesce("d", F.lit(0.5)))).alias("d"))
         sums = level.groupBy("lang", ctx.alias("ctx")).agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("types"))
         joined = level.withColumn("ctx", ctx).join(sums, ["lang", "ctx"]).join(discount, "lang")

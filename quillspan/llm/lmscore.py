@@ -32,7 +32,7 @@ from quillspan.llm.common import by_batch, cut
 from quillspan.llm.language import bucket_of
 from quillspan.llm.registry import query, table
 
-HEAD, WORD_BITS, MAX_STATES, SEGMENT = 1 << 18, 14, 1 << 20, 256
+HEAD, WORD_BITS, MAX_STATES, SEGMENT = 1 << 18, 14, 1 << 19, 256
 N_WORDS = (1 << WORD_BITS) - 1
 #: The hash that stands for the end of a text.
 END = np.uint64(0x6A09E667F3BCC909)

@@ -20,6 +20,8 @@ ignored, whatever their names.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from quillspan.llm.common import cut
@@ -30,11 +32,11 @@ RISK, DELTA = 0.05, 0.05
 
 #: Rule -> its measure (the larger, the worse) and the grid of cut-offs, from strict to lenient.
 RULES = {
-    "symbols": ("n_symbols / n_words", [0.05, 0.1, 0.2, 0.3, 0.5, 0.75, 1.0, 1.5, 2.0, 3.0]),
-    "dup_lines": ("n_dup_lines / n_lines", [0.05, 0.1, 0.15, 0.2, 0.3, 0.4, 0.5, 0.6, 0.75, 0.9]),
-    "repeats": ("n_repeat_words / n_words", [0.05, 0.1, 0.15, 0.2, 0.25, 0.3, 0.35, 0.4, 0.45, 0.5]),
-    "long_words": ("word_chars / n_words", [6.0, 6.5, 7.0, 7.5, 8.0, 9.0, 10.0, 12.0, 15.0, 20.0]),
-    "short_words": ("-word_chars / n_words", [-5.0, -4.5, -4.0, -3.5, -3.0, -2.5, -2.0, -1.75, -1.5, -1.25]),
+    "symbols": ("n_symbols / nullif(n_words, 0)", [0.05, 0.1, 0.2, 0.3, 0.5, 0.75, 1.0, 1.5, 2.0, 3.0]),
+    "dup_lines": ("n_dup_lines / nullif(n_lines, 0)", [0.05, 0.1, 0.15, 0.2, 0.3, 0.4, 0.5, 0.6, 0.75, 0.9]),
+    "repeats": ("n_repeat_words / nullif(n_words, 0)", [0.05, 0.1, 0.15, 0.2, 0.25, 0.3, 0.35, 0.4, 0.45, 0.5]),
+    "long_words": ("word_chars / nullif(n_words, 0)", [6.0, 6.5, 7.0, 7.5, 8.0, 9.0, 10.0, 12.0, 15.0, 20.0]),
+    "short_words": ("-word_chars / nullif(n_words, 0)", [-5.0, -4.5, -4.0, -3.5, -3.0, -2.5, -2.0, -1.75, -1.5, -1.25]),
 }
 
 
@@ -97,7 +99,7 @@ def _cut_offs(held: DataFrame, risk: float, delta: float) -> DataFrame:
 
     def step(s, i):
         return F.struct(
-            (s["t"] + F.log((F.col("n") - i) / (i + 1.0)) + F.lit(_log(p / (1 - p)))).alias("t"), (s["sum"] + F.exp(s["t"])).alias("sum")
+            (s["t"] + F.log((F.col("n") - i) / (i + 1.0)) + F.lit(math.log(p / (1 - p)))).alias("t"), (s["sum"] + F.exp(s["t"])).alias("sum")
         )
 
     # Beyond the mean the probability is above any admissible error, so sums end there.
@@ -107,12 +109,6 @@ def _cut_offs(held: DataFrame, risk: float, delta: float) -> DataFrame:
     return passed.groupBy("stratum", "rule").agg(F.min("cutoff").alias("cutoff"))
 
 
-def _log(x: float) -> float:
-    import math
-
-    return math.log(x)
-
-
 def assess(
     docs: DataFrame,
     labels: DataFrame,
