@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -95,7 +95,7 @@ def mappings(tables: dict[str, DataFrame], indices: list[str] | None = None, typ
     rows = [
         (i, type_name, path, data_type) for i in names for path, data_type in _fields(tables[i].schema)
     ]
-    spark = next(iter(tables.values())).sparkSession
+    spark = next(iter(tables.values())).sparkSession if tables else SparkSession.active()
     return spark.createDataFrame(rows, "index string, type string, field string, data_type string")
 
 

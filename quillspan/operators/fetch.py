@@ -6,14 +6,13 @@ from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quillspan.operators.clauses import Clause
 from quillspan.operators.search import DEFAULT_SIZE, of_type, search, sort_columns
 from quillspan.plans.rowindex import with_row_index
 
 PAGE_SIZE = 100
-# Up to this many ids the lookup is an IN list that file statistics can prune with.
-IN_LIST_IDS = 10_000
 
 
 def get(df: DataFrame, id_value, id_col: str = "_id", type_col: str | None = "_type") -> DataFrame:
@@ -37,27 +36,28 @@ def multi_get(
     type_name: str | None = None,
     type_col: str = "_type",
 ) -> DataFrame:
-    """One row per distinct id, with ``found`` and an ``error`` for the missing ones.
+    """One row per distinct id, with ``found`` and an ``error`` for the missing ones; of several types the smallest.
 
     The collection is cut down to the asked ids first, so the outer join that keeps missing ids
     only sees documents that were asked for.  ``ids`` may be a list or a one-column DataFrame.
     """
     keep = [c for c in (fields if fields is not None else df.columns) if c != id_col]
-    docs = of_type(df, type_name, type_col).select(id_col, *keep)
+    docs = of_type(df, type_name, type_col)
     id_type = df.schema[id_col].dataType
     if isinstance(ids, DataFrame):
         asked = ids.select(F.col(ids.columns[0]).cast(id_type).alias(id_col)).where(F.col(id_col).isNotNull()).distinct()
-        small = False
+        docs = docs.join(asked, id_col, "left_semi")
     else:
-        wanted = list(dict.fromkeys(ids))
+        # Ids are compared as the column's own type, so file statistics can prune with them.
+        wanted = list(dict.fromkeys(str(i) if isinstance(id_type, T.StringType) else i for i in ids))
         rows = df.sparkSession.createDataFrame([(i,) for i in wanted], f"{id_col} {_literal_type(wanted)}")
         asked = rows.select(F.col(id_col).cast(id_type).alias(id_col)).distinct()
-        small = len(wanted) <= IN_LIST_IDS
-    if small:
         docs = docs.where(F.col(id_col).isin(wanted) if wanted else F.lit(False))
-    else:
-        docs = docs.join(asked, id_col, "left_semi")
-    found = asked.join(docs.withColumn("found", F.lit(True)), id_col, "left")
+    if type_name is None and type_col in df.columns:
+        # Several types may hold an id: the smallest is read, as in get().
+        first = F.min_by(F.struct(F.lit(True).alias("_held"), *keep), F.coalesce(type_col, F.lit("")))
+        docs = docs.groupBy(id_col).agg(first.alias("_doc")).select(id_col, *(F.col("_doc").getField(c).alias(c) for c in keep))
+    found = asked.join(docs.select(id_col, *keep).withColumn("found", F.lit(True)), id_col, "left")
     found_now = F.coalesce("found", F.lit(False))
     return found.select(
         id_col, found_now.alias("found"), *keep, F.when(~found_now, F.lit("not found")).alias("error")

@@ -66,7 +66,7 @@ def search(
     Several clauses of one kind must all match.  ``filter`` narrows without scoring;
     ``post_filter`` narrows hits and totals but not aggregations.  Hits come by score unless
     ``sort`` is given, in which case no score is computed.  ``size=None`` returns every hit,
-    unordered unless ``sort`` asks for an order.
+    unordered unless ``sort`` asks for an order; hits before ``from_`` then count by id.
     """
     base = of_type(df, type_name, type_col)
     asked = bool_(must=present(query)) or match_all()
@@ -105,7 +105,7 @@ def search(
     elif size is not None:
         order = [F.col("score").desc(), F.col(id_col).asc()]
     else:
-        order = []
+        order = [F.col(id_col).asc()] if from_ else []
     sort_only = [f for f, _ in sort or [] if f not in (fields or df.columns)]
     hits = wanted.select(*output, *[F.col(f) for f in sort_only])
     hits = _page(hits, order, from_, size).drop(*sort_only)
@@ -124,12 +124,15 @@ def _page(hits: DataFrame, order: list[Column], from_: int, size: int | None) ->
     """
     if not order:
         return hits
-    if size is None or from_ + size <= TOP_K_ROWS:
+    if size is None and not from_:
+        return hits.orderBy(*order)
+    if size is not None and from_ + size <= TOP_K_ROWS:
         hits = hits.orderBy(*order)
-        hits = hits.offset(from_) if from_ else hits
-        return hits if size is None else hits.limit(size)
-    numbered = with_row_index(hits, order, "_row")
-    return numbered.where((F.col("_row") >= from_) & (F.col("_row") < from_ + size)).orderBy("_row").drop("_row")
+        return (hits.offset(from_) if from_ else hits).limit(size)
+    # An offset alone would gather all rows in one partition.
+    place = F.col("_page_row")
+    numbered = with_row_index(hits, order, "_page_row").where(place >= from_)
+    return (numbered if size is None else numbered.where(place < from_ + size)).orderBy(place).drop("_page_row")
 
 
 def explanation(parts) -> Column:

@@ -35,7 +35,7 @@ BACK_PRESSURE_STATUS = 429
 RETRY_LIMIT = 5
 # Scripts of one document are applied this many per round, so no array grows with the batch.
 SCRIPTS_PER_ROUND = 100_000
-_BASE = -1
+_BASE = -(1 << 63)
 
 Script = Callable[[Column], dict[str, Column]]
 
@@ -82,9 +82,9 @@ def bulk_apply(
 ) -> BulkResult:
     """Apply a batch to typed documents ``_index, _type, _id, _version, <columns>``.
 
-    A document payload sets the columns it names; an explicit null overwrites.  An action XX  Keys of the batch may be skewed without limit: values and
-    versions run along a key in bounded pieces, and untouched documents pass by unshuffled
-    when the set of touched keys is small enough for Spark to broadcast it.
+    A document payload sets the columns it names; an explicit null overwrites.  ``seq`` may be any
+    number above the least bigint.  Values and versions run along a key in pieces by ``seq``; untouched
+    documents pass by unshuffled when the set of touched keys is small enough for Spark to broadcast it.
     """
     columns = [c for c in current.columns if c not in (*KEY, "_version")]
     shape = T.StructType([current.schema[c] for c in columns])

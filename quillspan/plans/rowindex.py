@@ -21,22 +21,22 @@ def with_row_index(df: DataFrame, order: list[Column], name: str = "row_index")
     """
     ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
     numbered = materialize(
-        ranged.withColumn("_at", F.monotonically_increasing_id()).select(
+        ranged.withColumn("_index_at", F.monotonically_increasing_id()).select(
             "*",
-            F.shiftright("_at", _ROW_BITS).alias("_part"),
-            F.col("_at").bitwiseAND(F.lit((1 << _ROW_BITS) - 1)).alias("_row"),
-        ).drop("_at"),
+            F.shiftright("_index_at", _ROW_BITS).alias("_index_part"),
+            F.col("_index_at").bitwiseAND(F.lit((1 << _ROW_BITS) - 1)).alias("_index_row"),
+        ).drop("_index_at"),
         "rowindex",
     )
-    before = W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
+    before = W.orderBy("_index_part").rowsBetween(W.unboundedPreceding, -1)
     starts = (
-        numbered.groupBy("_part")
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+        numbered.groupBy("_index_part")
+        .agg(F.count(F.lit(1)).alias("_index_n"))
+        .select("_index_part", F.coalesce(F.sum("_index_n").over(before), F.lit(0)).alias("_index_start"))
     )
     # One row per partition: bounded by the partition count, so it may always be broadcast.
     return (
-        numbered.join(F.broadcast(starts), "_part")
-        .withColumn(name, F.col("_start") + F.col("_row"))
-        .drop("_part", "_row", "_start")
+        numbered.join(F.broadcast(starts), "_index_part")
+        .withColumn(name, F.col("_index_start") + F.col("_index_row"))
+        .drop("_index_part", "_index_row", "_index_start")
     )

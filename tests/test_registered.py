@@ -5,10 +5,11 @@ import os
 import pytest
 
 import __spark_entry__ as entry
+from checks import registry
 from tests.oracle_compare import compare, open_tables
 
 FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLES = registry.QUERIES, registry.ORACLES
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no tables")
 
@@ -26,6 +27,7 @@ def test_query(spark, db, name):
 
 def test_every_query_has_a_twin():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry.queries())
 
 
 def test_entry(spark):
