@@ -23,7 +23,7 @@ def _canonical_udf():
                 return None
             try:
                 value = json.loads(text, parse_constant=reject)
-            except ValueError:
+            except (ValueError, RecursionError):
                 return None
             return json.dumps(value, sort_keys=True, separators=(",", ":"), ensure_ascii=False)
 

@@ -2,11 +2,11 @@
 
 Same batches and outcomes as :mod:`quillspan.operators.writes`, for documents
 ``_index, _type, _id, _version, _source``.  Objects merge recursively, scalars and arrays are
-replaced, an explicit null overwrites.
+replaced, an explicit null overwrites.  Numbers keep their spelling; lone surrogates become ``?``.
 
 Merging JSON trees is the one step without built-in functions.  It runs as a fold over sorted
 partitions, Arrow batch by Arrow batch, holding one document at a time.  A document with
-more than ``chunk`` actions is folded in ranges of ``chunk`` sequence numbers: each range is first
+more than ``chunk`` actions is folded in ranges of at most ``chunk`` of them: each range is first
 reduced to one combined patch, the patches give the state in which every range starts, then
 all ranges are replayed side by side.
 """
@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillspan.operators.writes import _BASE, KEY, BulkResult, _finish, _result, valid_action
-from quillspan.plans.runs import by_heat, running_sum, split_hot
+from quillspan.plans.runs import by_heat, chunked, running_sum, split_hot
 
 DOCUMENT_CHUNK = 50_000
 _KEY_DDL = "_index string, _type string, _id string"
@@ -62,14 +62,41 @@ def _sorted_fold(df: DataFrame, group: list[str], order: str, step, schema: str)
 def _tree_functions():
     """JSON helpers as one closure, so that workers need nothing installed."""
     import json
+    import sys
+    from decimal import Decimal, InvalidOperation
+
+    class Whole(str):
+        """A number as it is spelled."""
+
+    class Real(str):
+        """A number with a fraction or an exponent, as it is spelled."""
 
     def load(text):
-        return json.loads(text)
+        # Payloads nest up to 1000 levels, and a level takes up to two calls; this runs in the worker.
+        sys.setrecursionlimit(max(sys.getrecursionlimit(), 10_000))
+        return json.loads(text, parse_int=Whole, parse_float=Real)
+
+    def spelled(value):
+        if isinstance(value, (Whole, Real)):
+            return str(value)
+        if isinstance(value, dict):
+            return "{" + ",".join(f"{json.dumps(k, ensure_ascii=False)}:{spelled(v)}" for k, v in value.items()) + "}"
+        if isinstance(value, list):
+            return "[" + ",".join([spelled(v) for v in value]) + "]"
+        return json.dumps(value, ensure_ascii=False)
 
     def dump(value):
-        return json.dumps(value, separators=(",", ":"), ensure_ascii=False)
+        return spelled(value).encode("utf-8", "replace").decode()
+
+    def number(text):
+        try:
+            return Decimal(text)
+        except InvalidOperation:  # an exponent beyond any decimal
+            return str(text)
 
     def same(a, b):
+        if isinstance(a, (Whole, Real)):
+            return type(a) is type(b) and number(a) == number(b)
         if isinstance(a, dict) and isinstance(b, dict):
             return a.keys() == b.keys() and all(same(a[k], b[k]) for k in a)
         if isinstance(a, list) and isinstance(b, list):
@@ -108,11 +135,13 @@ def bulk_apply_json(
 ) -> BulkResult:
     """Apply a batch of actions to JSON documents; scripts see and set ``_source``."""
     load, dump, same, as_patch, patched, joined = _tree_functions()
-    checked = actions.withColumn("_valid", F.coalesce(valid_action(), F.lit(False)))
+    checked = actions.withColumn("_valid", F.coalesce(valid_action(), F.lit(False))).withColumn(
+        "_error", F.lit("invalid action")
+    )
     valid = checked.where("_valid")
     touched = valid.select(*KEY).distinct()
     documents = valid.where(F.col("op") == "index").select(
-        *KEY, F.floor(F.col("seq") / chunk).alias("_chunk"), "seq", "payload"
+        *KEY, "seq", "payload"
     )
     stored = current.join(touched, KEY, "left_semi")
 
@@ -142,17 +171,16 @@ def bulk_apply_json(
     replayed_ddl = f"{_KEY_DDL}, seq bigint, _created boolean, _changed boolean, _source string"
     patch_ddl = f"{_KEY_DDL}, _chunk bigint, payload string"
     opening = stored.select(
-        *KEY, F.lit(_BASE).cast("bigint").alias("_chunk"), F.lit(_BASE).cast("bigint").alias("seq"),
-        F.col("_source").alias("payload"),
+        *KEY, F.lit(_BASE).cast("bigint").alias("seq"), F.col("_source").alias("payload")
     )
 
     def follow(rows: DataFrame, pieces: int | None) -> DataFrame:
         if pieces is None:
             return _sorted_fold(rows, KEY, "seq", replay, replayed_ddl)
-        ours = rows.where(F.col("seq") != _BASE)
+        ours = chunked(rows.where(F.col("seq") != _BASE), KEY, "seq", pieces)
         combined = _sorted_fold(ours, [*KEY, "_chunk"], "seq", combine, patch_ddl)
         whole = F.concat(F.lit('{"set":'), "payload", F.lit("}")).alias("payload")
-        first = rows.where(F.col("seq") == _BASE).select(*KEY, "_chunk", whole)
+        first = rows.where(F.col("seq") == _BASE).select(*KEY, F.lit(_BASE).cast("bigint").alias("_chunk"), whole)
         starts = _sorted_fold(first.unionByName(combined), KEY, "_chunk", carry, patch_ddl).where(
             (F.col("_chunk") != _BASE) & F.col("payload").isNotNull()
         )

@@ -52,11 +52,24 @@ def filled(*columns: Column) -> Column:
     return reduce(lambda a, b: a & b, [F.coalesce(c != "", F.lit(False)) for c in columns])
 
 
+def _one_object(text: Column) -> Column:
+    """Whether ``text`` is one strict JSON object and nothing else.
+
+    Parsers stop after the first value, so text behind it only shows inside brackets: it would have
+    to continue both an array and an object.  Names that occur twice and nesting beyond Spark's
+    limit (1000 levels) are refused.
+    """
+    listed = F.concat(F.lit("["), text, F.lit("]"))
+    named = F.concat(F.lit('{"p":'), text, F.lit("}"))
+    alone = (F.json_array_length(listed) == 1) & (F.size(F.json_object_keys(named)) == 1)
+    return F.json_object_keys(text).isNotNull() & F.try_parse_json(listed).isNotNull() & alone
+
+
 def valid_action() -> Column:
     """Keys and, but for deletes, the payload are there; a document payload is a JSON object."""
     key = filled(*[F.col(k) for k in KEY])
     payload = filled(F.col("payload"))
-    document = payload & F.json_object_keys("payload").isNotNull()
+    document = payload & _one_object(F.col("payload"))
     return key & (
         (F.col("op") == "delete") | ((F.col("op") == "script") & payload) | ((F.col("op") == "index") & document)
     )
@@ -73,6 +86,55 @@ def _result(df: DataFrame, version: Column, status: Column, found=None, error=No
     )
 
 
+def _paths(shape: T.StructType, above: tuple = ()):
+    """Every field as ``(path, type)``, a struct before the fields in it."""
+    for field in shape:
+        path = (*above, field.name)
+        yield path, field.dataType
+        if isinstance(field.dataType, T.StructType):
+            yield from _paths(field.dataType, path)
+
+
+def _dig(path: tuple, root: Column | None = None) -> Column:
+    value, rest = (F.col(path[0]), path[1:]) if root is None else (root, path)
+    return reduce(lambda v, name: v.getField(name), rest, value)
+
+
+def _patches(shape: T.StructType) -> tuple[list[Column], Column, Column]:
+    """What a payload does to each path: ``struct<v>`` where it sets it, else NULL.
+
+    Objects merge field by field: the ``v`` of a struct says whether it is there, its fields have paths of their
+    own, and a null for a struct is a null for all of them.  Also whether a value does not fit its column, and
+    the names that are no columns.
+    """
+    as_map = lambda text: F.from_json(text, "map<string,string>")
+    parsed = F.from_json("payload", shape)
+    level = {(): as_map(F.col("payload"))}
+    emptied = {(): F.lit(False)}
+    patches, misfit = [], F.lit(False)
+
+    def strangers(path: tuple, fields: T.StructType) -> Column:
+        known = F.array(*map(F.lit, fields.names)).cast("array<string>")
+        names = F.coalesce(F.array_except(F.map_keys(level[path]), known), F.array().cast("array<string>"))
+        above = "".join(f"{name}." for name in path)
+        return F.transform(names, lambda n: F.concat(F.lit(above), n))
+
+    unknown = [strangers((), shape)]
+    for path, data_type in _paths(shape):
+        above, name = path[:-1], path[-1]
+        named = F.coalesce(F.map_contains_key(level[above], name), F.lit(False))
+        raw, value = level[above][name], _dig(path, parsed)
+        misfit = misfit | (named & raw.isNotNull() & value.isNull())
+        given = F.when(named, value)
+        if isinstance(data_type, T.StructType):
+            given = named & raw.isNotNull()
+            level[path] = as_map(raw)
+            emptied[path] = emptied[above] | (named & raw.isNull())
+            unknown.append(strangers(path, data_type))
+        patches.append(F.when(emptied[above] | named, F.struct(given.alias("v"))))
+    return patches, misfit, F.array_sort(F.concat(*unknown))
+
+
 def bulk_apply(
     current: DataFrame,
     actions: DataFrame,
@@ -82,28 +144,29 @@ def bulk_apply(
 ) -> BulkResult:
     """Apply a batch to typed documents ``_index, _type, _id, _version, <columns>``.
 
-    A document payload sets the columns it names; an explicit null overwrites.  ``seq`` may be any
+    A document payload sets the columns it names, fields of struct columns one by one; an explicit null
+    overwrites.  A value that does not fit its column rejects the action (status 400); names that are
+    no columns change nothing and are listed in ``error`` of the result.  ``seq`` may be any
     number above the least bigint.  Values and versions run along a key in pieces by ``seq``; untouched
     documents pass by unshuffled when the set of touched keys is small enough for Spark to broadcast it.
     """
     columns = [c for c in current.columns if c not in (*KEY, "_version")]
     shape = T.StructType([current.schema[c] for c in columns])
-    checked = actions.withColumn("_valid", F.coalesce(valid_action(), F.lit(False)))
+    paths = list(_paths(shape))
+    patches, misfit, unknown = _patches(shape)
+    fits = ~((F.col("op") == "index") & misfit)
+    checked = actions.withColumn("_well_formed", F.coalesce(valid_action(), F.lit(False)))
+    checked = checked.withColumn("_valid", F.col("_well_formed") & F.coalesce(fits, F.lit(True))).withColumn(
+        "_error", F.when(~F.col("_well_formed"), F.lit("invalid action")).otherwise(F.lit("value does not fit its column"))
+    )
     valid = checked.where("_valid")
-    parsed = F.from_json("payload", shape)
-    documents = (
-        valid.where(F.col("op") == "index")
-        .withColumns({"_doc": parsed, "_set": F.json_object_keys("payload")})
-        .select(
-            "seq",
-            *KEY,
-            F.lit(None).cast("bigint").alias("_version"),
-            F.lit(True).alias("_alive"),
-            *[
-                F.when(F.array_contains("_set", c), F.struct(F.col("_doc")[c].alias("v"))).alias(f"_p_{i}")
-                for i, c in enumerate(columns)
-            ],
-        )
+    documents = valid.where(F.col("op") == "index").select(
+        "seq",
+        *KEY,
+        F.lit(None).cast("bigint").alias("_version"),
+        F.lit(True).alias("_alive"),
+        F.when(F.size(unknown) > 0, F.concat(F.lit("unknown fields: "), F.array_join(unknown, ", "))).alias("_note"),
+        *[p.alias(f"_p_{i}") for i, p in enumerate(patches)],
     )
     touched = valid.select(*KEY).distinct()
     stored = current.join(touched, KEY, "left_semi").select(
@@ -111,9 +174,13 @@ def bulk_apply(
         *KEY,
         "_version",
         F.lit(True).alias("_alive"),
-        *[F.struct(F.col(c).alias("v")).alias(f"_p_{i}") for i, c in enumerate(columns)],
+        F.lit(None).cast("string").alias("_note"),
+        *[
+            F.struct((_dig(p).isNotNull() if isinstance(t, T.StructType) else _dig(p)).alias("v")).alias(f"_p_{i}")
+            for i, (p, t) in enumerate(paths)
+        ],
     )
-    values = [f"_p_{i}" for i in range(len(columns))]
+    values = [f"_p_{i}" for i in range(len(paths))]
     is_action = F.col("seq") != _BASE
     differs = [F.col(v).isNotNull() & ~F.col(v)["v"].eqNullSafe(F.col(f"_old{v}")["v"]) for v in values]
     changed = F.col("_was_alive").isNull() | reduce(lambda a, b: a | b, differs, F.lit(False))
@@ -127,21 +194,31 @@ def bulk_apply(
 
     hot = split_hot(valid, KEY, chunk)
     versioned = by_heat(stored.unionByName(documents), KEY, hot, chunk, follow).select(
-        "seq", *KEY, "_now", F.col("_was_alive").isNull().alias("_created"), *values
+        "seq", *KEY, "_now", F.col("_was_alive").isNull().alias("_created"), "_note", *values
     )
     versioned = cut(versioned) if cut else versioned
     created = F.col("_created")
     document_results = _result(
-        versioned.where(is_action), F.col("_now"), F.when(created, F.lit(201)).otherwise(F.lit(200))
+        versioned.where(is_action),
+        F.col("_now"),
+        F.when(created, F.lit(201)).otherwise(F.lit(200)),
+        error=F.col("_note"),
     )
 
     latest = versioned.groupBy(*KEY).agg(
         F.max("_now").alias("_version"),
-        *[
-            F.max_by(F.col(v), F.when(F.col(v).isNotNull(), F.col("seq")))["v"].alias(c)
-            for v, c in zip(values, columns)
-        ],
+        *[F.max_by(F.col(v), F.when(F.col(v).isNotNull(), F.col("seq")))["v"].alias(v) for v in values],
     )
+    place = {path: v for (path, _), v in zip(paths, values)}
+
+    def whole(data_type: T.DataType, path: tuple) -> Column:
+        if not isinstance(data_type, T.StructType):
+            return F.col(place[path])
+        return F.when(
+            F.col(place[path]), F.struct(*[whole(f.dataType, (*path, f.name)).alias(f.name) for f in data_type])
+        )
+
+    latest = latest.select(*KEY, "_version", *[whole(f.dataType, (f.name,)).alias(f.name) for f in shape])
     return _finish(current, checked, touched, latest, document_results, columns, scripts or {}, hot, chunk)
 
 
@@ -159,7 +236,7 @@ def _finish(
     """Deletes and scripts on ``latest``, the touched documents as they are after phase one."""
     valid = checked.where("_valid")
     rejected = _result(
-        checked.where(~F.col("_valid")), F.lit(None), F.lit(FIRST_ERROR_STATUS), error=F.lit("invalid action")
+        checked.where(~F.col("_valid")), F.lit(None), F.lit(FIRST_ERROR_STATUS), error=F.col("_error")
     )
     deletes = valid.where(F.col("op") == "delete")
     first_delete = deletes.groupBy(*KEY).agg(F.min("seq").alias("_first"))

@@ -1,10 +1,10 @@
 """Running values along the ordered rows of a key, safe for keys of any size.
 
 A window puts all rows of a key into one task.  That is the cheapest plan for keys of ordinary
-size; :func:`split_hot` sets apart the keys with more than ``chunk`` rows.  For those the order
-column, a unique integer, is cut into ranges of ``chunk`` numbers, so no (key, range) group can
-hold more than ``chunk`` rows: a window runs inside each group, one summary row per group is
-carried along the key, and the carried value is joined back to the group.
+size; :func:`split_hot` sets apart the keys with more than ``chunk`` rows.  Those rows are ranked by
+key and order, and the ranks cut into ranges of ``chunk``, so a (key, range) group holds at most
+``chunk`` rows however far apart the order's numbers are: a window runs inside each group, one
+summary row per group is carried along the key, and the carried value is joined back to the group.
 
 Keys and order must not be NULL.
 """
@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from quillspan.plans.rowindex import with_row_index
+
 CHUNK = 1_000_000
 
 
@@ -22,14 +24,16 @@ def split_hot(keyed: DataFrame, keys: list[str], chunk: int) -> DataFrame | None
     """The keys with more than ``chunk`` rows, or ``None`` if there are none.
 
     Counting is a partial aggregate over the key columns.  There are at most rows / ``chunk``
-    such keys, which bounds what a broadcast of them can cost.
+    such keys; whether they are broadcast is left to Spark, which sees their size.
     """
     hot = keyed.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > chunk).select(*keys)
     return None if hot.isEmpty() else hot
 
 
-def _chunked(df: DataFrame, order: str, chunk: int) -> DataFrame:
-    return df.withColumn("_chunk", F.floor(F.col(order) / F.lit(chunk)))
+def chunked(df: DataFrame, keys: list[str], order: str, chunk: int) -> DataFrame:
+    """Add ``_chunk``, a number that grows along ``order`` and that at most ``chunk`` rows share."""
+    ranked = with_row_index(df, [F.col(c) for c in (*keys, order)], "_rank")
+    return ranked.withColumn("_chunk", F.expr(f"_rank div {int(chunk)}")).drop("_rank")
 
 
 def last_before(
@@ -46,7 +50,7 @@ def last_before(
         return rows.withColumns({out: F.last(f"_v_{out}", ignorenulls=True).over(inside) for out in values}).drop(*held)
 
     groups = [*keys, "_chunk"]
-    rows = _chunked(df, order, chunk).withColumns(held)
+    rows = chunked(df, keys, order, chunk).withColumns(held)
     inside = W.partitionBy(*groups).orderBy(order).rowsBetween(W.unboundedPreceding, -1)
     rows = rows.withColumns({f"_in_{out}": F.last(f"_v_{out}", ignorenulls=True).over(inside) for out in values})
     ends = rows.groupBy(*groups).agg(
@@ -79,7 +83,7 @@ def running_sum(
         return rows.withColumns({out: F.sum(f"_v_{out}").over(inside) for out in values}).drop(*held)
 
     groups = [*keys, "_chunk"]
-    rows = _chunked(df, order, chunk).withColumns(held)
+    rows = chunked(df, keys, order, chunk).withColumns(held)
     inside = W.partitionBy(*groups).orderBy(order).rowsBetween(W.unboundedPreceding, W.currentRow)
     rows = rows.withColumns({f"_in_{out}": F.sum(f"_v_{out}").over(inside) for out in values})
     sums = rows.groupBy(*groups).agg(*[F.sum(f"_v_{out}").alias(f"_all_{out}") for out in values])
@@ -98,7 +102,7 @@ def by_heat(df: DataFrame, keys: list[str], hot: DataFrame | None, chunk: int, s
     """``scan(rows, chunk or None)`` over the ordinary keys and, apart from them, the hot ones."""
     if hot is None:
         return scan(df, None)
-    marked = F.broadcast(hot)
-    return scan(df.join(marked, keys, "left_anti"), None).unionByName(
-        scan(df.join(marked, keys, "left_semi"), chunk)
-    )
+    # Spark 4.1 may take a union of two joins on the same keys for partitioned by them, and an aggregate
+    # behind it then misses rows; without that shortcut it shuffles, as earlier versions do.
+    df.sparkSession.conf.set("spark.sql.unionOutputPartitioning", "false")
+    return scan(df.join(hot, keys, "left_anti"), None).unionByName(scan(df.join(hot, keys, "left_semi"), chunk))

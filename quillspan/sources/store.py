@@ -13,7 +13,7 @@ from pyspark.sql.utils import AnalysisException
 from quillspan.operators.writes import BulkResult, bulk_apply
 from quillspan.plans.durable import materialize
 
-_VERSIONS = "version bigint, rows bigint"
+_VERSIONS = "version bigint, rows bigint, stream string, batch bigint"
 _SNAPSHOTS = "entry bigint, snapshot string, indices array<string>, state string"
 
 
@@ -40,10 +40,22 @@ class Store:
         """The newest version, or ``None`` before the first commit."""
         return _manifest(self.spark, f"{self.path}/_manifest", _VERSIONS).agg(F.max("version")).first()[0]
 
-    def commit(self, df: DataFrame, version: int | None = None, partition_by: list[str] | None = None) -> int:
+    def has_batch(self, stream: str, batch: int) -> bool:
+        """Whether that micro-batch of that stream is in some version."""
+        rows = _manifest(self.spark, f"{self.path}/_manifest", _VERSIONS)
+        return not rows.where((F.col("stream") == stream) & (F.col("batch") == batch)).isEmpty()
+
+    def commit(
+        self,
+        df: DataFrame,
+        version: int | None = None,
+        partition_by: list[str] | None = None,
+        stream: str | None = None,
+        batch: int | None = None,
+    ) -> int:
         """Write ``df`` as the next version; a version that is already there is left alone.
 
-        Naming the version makes a repeated write, such as that of a restarted stream, harmless.
+        Naming the version makes a repeated write harmless; ``stream`` and ``batch`` note where it came from.
         """
         newest = self.latest()
         number = (newest or 0) + 1 if version is None else version
@@ -54,7 +66,7 @@ class Store:
             writer = writer.partitionBy(*partition_by)
         writer.parquet(self._folder(number))
         rows = self.spark.read.parquet(self._folder(number)).count()
-        entry = self.spark.createDataFrame([(number, rows)], _VERSIONS)
+        entry = self.spark.createDataFrame([(number, rows, stream, batch)], _VERSIONS)
         entry.coalesce(1).write.mode("append").parquet(f"{self.path}/_manifest")
         return number
 
@@ -65,7 +77,15 @@ class Store:
             raise ValueError(f"nothing has been committed under {self.path}")
         return self.spark.read.parquet(self._folder(number))
 
-    def apply(self, actions: DataFrame, version: int | None = None, scripts=None, apply=bulk_apply) -> BulkResult:
+    def apply(
+        self,
+        actions: DataFrame,
+        version: int | None = None,
+        scripts=None,
+        apply=bulk_apply,
+        stream: str | None = None,
+        batch: int | None = None,
+    ) -> BulkResult:
         """Apply a batch to the newest version and commit the outcome.
 
         The followed actions and the results are written down first, so that they are worked out
@@ -73,7 +93,7 @@ class Store:
         """
         outcome = apply(self.read(), actions, scripts=scripts, cut=materialize)
         results = materialize(outcome.results, "results")
-        number = self.commit(outcome.docs, version)
+        number = self.commit(outcome.docs, version, stream=stream, batch=batch)
         return BulkResult(self.read(number), results)
 
 

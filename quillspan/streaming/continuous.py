@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -19,14 +21,17 @@ def continuous_upsert(
 ) -> StreamingQuery:
     """Apply every micro-batch of write actions to the store.
 
-    The store holds version 1 when the stream first starts and has no other writer; batch n makes
-    version n + 2, so a batch that is run again after a failure changes nothing.
+    The store holds a version, which may be empty, before the stream starts.  Every batch makes the
+    next one and is noted with the stream's id, which its checkpoint keeps over restarts, so a batch that is
+    run again after a failure changes nothing and no other is passed over.
     """
+    if store.latest() is None:
+        raise ValueError(f"nothing has been committed under {store.path}")
 
     def apply_batch(batch: DataFrame, batch_id: int) -> None:
-        version = batch_id + 2
-        if store.latest() < version:
-            store.apply(batch, version=version, scripts=scripts, apply=apply)
+        stream = json.loads(store.spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
+        if not store.has_batch(stream, batch_id):
+            store.apply(batch, scripts=scripts, apply=apply, stream=stream, batch=batch_id)
 
     return (
         actions.writeStream.foreachBatch(apply_batch)

@@ -195,6 +195,21 @@ def test_continuous_upserts_can_be_repeated(spark, current, tmp_path, kind):
     assert versions == {"0": 1, "1": 2, "2": 1, "3": 1, "4": 1, "9": 1}
 
 
+def test_streams_pass_no_batch_over(spark, current, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    actions = spark.readStream.schema(ACTION_SCHEMA).json(str(folder))
+    store = q.Store(spark, str(tmp_path / "store"))
+    with pytest.raises(ValueError):
+        continuous_upsert(actions, store, str(tmp_path / "progress"))
+    for _ in range(3):
+        store.commit(current)
+    write_lines(folder, "1.json", [{"seq": 1, "op": "index", "_index": "i", "_type": "t", "_id": "9", "payload": '{"a": "x"}'}])
+    for name in ("progress", "other"):
+        continuous_upsert(actions, store, str(tmp_path / name)).awaitTermination()
+    assert store.latest() == 5 and store.read(4).count() == 6
+
+
 def test_standing_query_and_windows(spark, tmp_path):
     folder = tmp_path / "in"
     folder.mkdir()

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 import quillspan as q
 from quillspan.operators import writes
 from quillspan.operators.writes import ACTION_SCHEMA
-from quillspan.plans.runs import last_before, running_sum, split_hot
+from quillspan.plans.runs import chunked, last_before, running_sum, split_hot
 
 DOCS = "_index string, _type string, _id string, _version bigint, a string, n bigint"
 
@@ -112,6 +112,9 @@ def test_typed_batches(spark, monkeypatch, seed, chunk):
         "tail": lambda d: {"a": F.right(F.concat(F.coalesce(d["a"], F.lit("")), F.lit("!")), F.lit(5)), "n": F.lit(1)},
     }
     docs, out = fold(stored, actions, scripts, typed_merge)
+    for seq, op, *_, payload in actions:
+        if payload == '{"other": 3}' and out[seq][1] < 400:
+            out[seq] = (*out[seq][:3], "unknown fields: other")
     current = spark.createDataFrame([(*k, v, d["a"], d["n"]) for k, (v, d) in stored.items()], DOCS)
     done = q.bulk_apply(current, spark.createDataFrame(actions, ACTION_SCHEMA), spark_scripts, chunk=chunk)
     assert results_of(done.results.collect()) == out
@@ -142,6 +145,73 @@ def test_json_batches(spark, seed, chunk):
     assert got == {k: [v, json.dumps(d, sort_keys=True)] for k, (v, d) in docs.items()}
 
 
+def test_struct_columns_merge_field_by_field(spark):
+    ddl = "_index string, _type string, _id string, _version bigint, acc struct<a: int, b: int, in: struct<c: string>>"
+    current = spark.createDataFrame([("i", "t", "1", 1, (1, 2, ("x",))), ("i", "t", "2", 1, None), ("i", "t", "3", 1, (1, 2, ("x",)))], ddl)
+    batch = [
+        ("1", '{"acc": {"a": 9}}'), ("1", '{"acc": {"in": {"c": "y"}}}'), ("1", '{"acc": {"a": "abc"}}'), ("1", '{"acc": 5}'),
+        ("1", '{"acc": {"zz": 1, "in": {"yy": 2}}, "top": 0}'), ("2", '{"acc": {"in": {}}}'), ("3", '{"acc": null}'), ("3", '{"acc": {"b": 7}}'), ("4", "{}"),
+    ]
+    actions = spark.createDataFrame([(n, "index", "i", "t", i, p) for n, (i, p) in enumerate(batch)], ACTION_SCHEMA)
+    done = q.bulk_apply(current, actions)
+    got = {r["_id"]: (r["_version"], r["acc"] and r["acc"].asDict(True)) for r in done.docs.collect()}
+    assert got == {
+        "1": (3, {"a": 9, "b": 2, "in": {"c": "y"}}), "2": (2, {"a": None, "b": None, "in": {"c": None}}),
+        "3": (3, {"a": None, "b": 7, "in": None}), "4": (1, None),
+    }
+    out = results_of(done.results.collect())
+    misfit = (None, 400, None, "value does not fit its column")
+    assert out[2] == out[3] == misfit
+    assert out[4] == (3, 200, None, "unknown fields: acc.in.yy, acc.zz, top")
+    assert [out[n][1] for n in (0, 1, 5, 6, 7, 8)] == [200] * 5 + [201]
+
+
+ODD = [
+    '{"a": "x"} zz', "{'a': 1}", '{"a": "x"}],[3', '{"a": "x"}, "b": 3', '{"a": "x"}}', '{"n": NaN}', '{"a": "x", "a": "y"}',
+    '{"a":' * 1200 + "1" + "}" * 1200,
+]
+
+
+@pytest.mark.parametrize("kind", ["typed", "json"])
+def test_malformed_payloads_are_rejected_one_by_one(spark, kind):
+    apply = q.bulk_apply if kind == "typed" else q.bulk_apply_json
+    current = spark.createDataFrame([], DOCS if kind == "typed" else "_index string, _type string, _id string, _version bigint, _source string")
+    batch = [(n, "index", "i", "t", "1", p) for n, p in enumerate([*ODD, '{"a": "good"}'])]
+    done = apply(current, spark.createDataFrame(batch, ACTION_SCHEMA))
+    out = results_of(done.results.collect())
+    assert out == {n: (None, 400, None, "invalid action") for n in range(len(ODD))} | {len(ODD): (1, 201, None, None)}
+
+
+def test_misfits_of_typed_columns_keep_the_stored_value(spark):
+    current = spark.createDataFrame([("i", "t", "1", 3, "a", 1)], DOCS)
+    done = q.upsert(current, "i", "t", "1", '{"n": "abc", "a": "new"}')
+    assert results_of(done.results.collect()) == {0: (None, 400, None, "value does not fit its column")}
+    assert done.docs.collect() == current.collect()
+
+
+def test_json_numbers_and_deep_documents_keep_their_spelling(spark):
+    stored = '{"x":0.12345678901234567890123,"y":1e400,"z":' + "9" * 5000 + ',"s":"\\ud800"}'
+    deep = '{"a":' * 990 + "1" + "}" * 990
+    current = spark.createDataFrame([("i", "t", "1", 1, stored)], "_index string, _type string, _id string, _version bigint, _source string")
+    batch = [(0, "index", "i", "t", "1", '{"k":1.50}'), (1, "index", "i", "t", "1", '{"k":1.5}'), (2, "index", "i", "t", "2", deep), (3, "index", "i", "t", "1", '{"y":1e500}')]
+    done = q.bulk_apply_json(current, spark.createDataFrame(batch, ACTION_SCHEMA))
+    docs = {r["_id"]: (r["_version"], r["_source"]) for r in done.docs.collect()}
+    assert docs["2"] == (1, deep)
+    assert docs["1"] == (3, '{"x":0.12345678901234567890123,"y":1e500,"z":' + "9" * 5000 + ',"s":"?","k":1.5}')
+
+
+@pytest.mark.parametrize("kind", ["typed", "json"])
+def test_hot_keys_with_sparse_sequence_numbers_are_cut(spark, kind):
+    rows = spark.createDataFrame([("h", n * 10_000_000, 1) for n in range(200)], "k string, seq bigint, v int")
+    assert chunked(rows, ["k"], "seq", 50).groupBy("_chunk").count().where("count <= 50").count() == 4
+    apply = q.bulk_apply if kind == "typed" else q.bulk_apply_json
+    current = spark.createDataFrame([], DOCS if kind == "typed" else "_index string, _type string, _id string, _version bigint, _source string")
+    batch = [(n * 10_000_000 - 10**9, "index", "i", "t", "hot", json.dumps({"n": n})) for n in range(200)]
+    done = apply(current, spark.createDataFrame(batch, ACTION_SCHEMA), chunk=50)
+    assert [r["_version"] for r in done.docs.collect()] == [200]
+    assert sorted(r["_version"] for r in done.results.collect()) == list(range(1, 201))
+
+
 def test_empty_batch_changes_nothing(spark):
     current = spark.createDataFrame([("i", "t", "1", 3, "a", 1)], DOCS)
     done = q.bulk_apply(current, spark.createDataFrame([], ACTION_SCHEMA))
