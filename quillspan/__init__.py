@@ -1,5 +1,6 @@
 """quillspan: searching, counting and maintaining collections of documents on Spark."""
 
+from quillspan.functions.fields import mapped
 from quillspan.operators.aggs import (
     agg_ranges,
     agg_terms,

@@ -8,19 +8,39 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from quillspan.functions.fields import field_column, is_array
 from quillspan.functions.rows import unnest
 
 DEFAULT_BUCKETS = 10
+RANK_PARTS = 64
+ORDERS = [(by, way) for by in ("count", "key") for way in ("asc", "desc")]
 
 
 @dataclass(frozen=True)
 class TermsAgg:
-    """One bucket per value of ``field``, largest first; an array counts once per distinct value."""
+    """One bucket per value of ``field``, largest first; an array counts once per distinct value.
+
+    ``order`` is ``("count" | "key", "asc" | "desc")``, equal counts by key; ``include`` and ``exclude`` list values.
+    """
 
     field: str
     size: int = DEFAULT_BUCKETS
+    order: tuple[str, str] = ("count", "desc")
+    min_doc_count: int = 1
+    include: tuple | None = None
+    exclude: tuple = ()
+
+    def __post_init__(self):
+        if self.order not in ORDERS:
+            raise ValueError(f"order must be one of {ORDERS}")
+
+    def wants(self, value: Column) -> Column | None:
+        """Whether a value may be a bucket; ``None`` if all may."""
+        if self.include is None and not self.exclude:
+            return None
+        among = value.isin(list(self.include)) if self.include is not None else F.lit(True)
+        return among & ~value.isin(list(self.exclude)) if self.exclude else among
 
 
 @dataclass(frozen=True)
@@ -56,16 +76,32 @@ class RangesAgg:
         object.__setattr__(self, "buckets", tuple(b for b in self.buckets if b is not None))
 
 
-def agg_terms(field: str, size: int = DEFAULT_BUCKETS) -> TermsAgg:
-    return TermsAgg(field, size)
+def agg_terms(
+    field: str, size: int = DEFAULT_BUCKETS, order=("count", "desc"), min_doc_count: int = 1, include=None, exclude=()
+) -> TermsAgg:
+    return TermsAgg(field, size, tuple(order), min_doc_count, None if include is None else tuple(include), tuple(exclude))
 
 
 def agg_ranges(field: str, buckets: list[Bucket | None]) -> RangesAgg:
     return RangesAgg(field, tuple(buckets))
 
 
-def is_array(df: DataFrame, field: str) -> bool:
-    return isinstance(df.select(field).schema[0].dataType, T.ArrayType)
+def _first(df: DataFrame, by: list[str], order: list[Column], key: str, size: int) -> DataFrame:
+    """The ``size`` first rows of each group with their ``_rank``.
+
+    Every group is ranked in ``RANK_PARTS`` parts dealt by ``key``, then the best of the parts among each other, so the
+    last task of a group sees ``size`` rows a part, however many keys the group has.
+    """
+    part = F.pmod(F.xxhash64(key), F.lit(RANK_PARTS))
+    rank = F.row_number().over(W.partitionBy(*by, "_part").orderBy(*order))
+    best = df.withColumn("_part", part).withColumn("_rank", rank).where(F.col("_rank") <= size).drop("_part")
+    return best.withColumn("_rank", F.row_number().over(W.partitionBy(*by).orderBy(*order))).where(F.col("_rank") <= size)
+
+
+def _bucket_order(order: tuple[str, str], count: str, key: str) -> list[Column]:
+    by, way = order
+    last = F.col(key).desc() if order == ("key", "desc") else F.col(key).asc()
+    return [last] if by == "key" else [F.col(count).asc() if way == "asc" else F.col(count).desc(), last]
 
 
 def distinct_values(field: str) -> Column:
@@ -77,7 +113,7 @@ def run_aggs(df: DataFrame, aggs: dict[str, TermsAgg | RangesAgg]) -> DataFrame:
     """All aggregations in one pass and one shuffle: rows ``agg, key, doc_count``.
 
     Each document lists the buckets it falls into; the list is counted with partial sums
-    before the shuffle.  Keys are shown as text; ties go to the smaller key.
+    before the shuffle.  Keys are shown as text and ordered so; ties go to the smaller key.
     """
     entries = F.concat(*[_entries(df, name, agg) for name, agg in aggs.items()])
     counted = unnest(df.select(entries.alias("_a")), "_a", "_e").select(
@@ -90,8 +126,18 @@ def run_aggs(df: DataFrame, aggs: dict[str, TermsAgg | RangesAgg]) -> DataFrame:
         counted = counted.union(df.sparkSession.createDataFrame(empty, "agg string, key string, n bigint"))
     sums = counted.groupBy("agg", "key").agg(F.sum("n").alias("doc_count"))
     sizes = {name: agg.size if isinstance(agg, TermsAgg) else len(agg.buckets) for name, agg in aggs.items()}
-    rank = F.row_number().over(W.partitionBy("agg").orderBy(F.col("doc_count").desc(), F.col("key").asc()))
-    top = sums.withColumn("_rank", rank).where(F.col("_rank") <= max(sizes.values()))
+    bars = {n: a.min_doc_count for n, a in aggs.items() if isinstance(a, TermsAgg) and a.min_doc_count > 1}
+    for name, least in bars.items():
+        sums = sums.where((F.col("agg") != name) | (F.col("doc_count") >= least))
+    # One order for all: counts with the sign of their direction, then keys that run down, then keys.
+    place, down = -F.col("doc_count"), F.lit(None).cast("string")
+    for name, agg in aggs.items():
+        order = agg.order if isinstance(agg, TermsAgg) else ("count", "desc")
+        if order != ("count", "desc"):
+            here = F.col("agg") == name
+            place = F.when(here, F.col("doc_count") if order[0] == "count" else F.lit(0)).otherwise(place)
+            down = F.when(here, F.col("key")).otherwise(down) if order == ("key", "desc") else down
+    top = _first(sums, ["agg"], [place.asc(), down.desc(), F.col("key").asc()], "key", max(sizes.values()))
     if len(set(sizes.values())) > 1:
         limit = F.lit(None).cast("int")
         for name, size in sizes.items():
@@ -106,10 +152,14 @@ def _entries(df: DataFrame, name: str, agg: TermsAgg | RangesAgg) -> Column:
         return F.struct(F.lit(name).alias("agg"), key.cast("string").alias("key"))
 
     if isinstance(agg, RangesAgg):
-        value = F.col(agg.field)
+        value = _number(df, agg.field, agg.buckets)
         held = [F.when(b.holds(value), entry(F.lit(b.key))) for b in agg.buckets]
         return F.array_compact(F.array(*held)) if held else F.array().cast("array<struct<agg:string,key:string>>")
-    values = distinct_values(agg.field) if is_array(df, agg.field) else F.array_compact(F.array(F.col(agg.field)))
+    values = (
+        distinct_values(agg.field) if is_array(df, agg.field) else F.array_compact(F.array(field_column(df, agg.field)))
+    )
+    if agg.wants(F.lit(0)) is not None:
+        values = F.filter(values, agg.wants)
     return F.coalesce(
         F.transform(values, entry), F.array().cast("array<struct<agg:string,key:string>>")
     )
@@ -122,58 +172,73 @@ def terms_agg(
     metrics: dict[str, Column] | None = None,
     sub: TermsAgg | None = None,
     sum_other: bool = False,
+    order: tuple[str, str] = ("count", "desc"),
+    min_doc_count: int = 1,
+    include=None,
+    exclude=(),
 ) -> DataFrame:
-    """Buckets ``key, doc_count`` of one field with its own type.
+    """Buckets ``key, doc_count`` of one field with its own type; options as of :class:`TermsAgg`.
 
     ``metrics`` adds aggregate columns per bucket; ``sub`` splits each top bucket again
     (``sub_key, sub_doc_count``, metrics then per sub-bucket); ``sum_other`` adds the number of
-    documents counted in buckets that did not make the list.
+    documents counted in buckets that did not make the list, of the values that may be buckets.
     """
     metrics = {k: v for k, v in (metrics or {}).items()}
-    rows = _keyed(df, field, "key")
+    agg = agg_terms(field, size, order, min_doc_count, include, exclude)
+    rows = _keyed(df, agg, "key")
+    enough = F.col("doc_count") >= agg.min_doc_count
+    ranked = _bucket_order(agg.order, "doc_count", "key")
     if sub is None:
         counted = rows.groupBy("key").agg(
             F.count(F.lit(1)).alias("doc_count"), *[m.alias(n) for n, m in metrics.items()]
         )
-        top = counted.orderBy(F.col("doc_count").desc(), F.col("key").asc()).limit(size)
+        top = (counted.where(enough) if agg.min_doc_count > 1 else counted).orderBy(*ranked).limit(size)
         if not sum_other:
             return top
         weight = F.size(distinct_values(field)) if is_array(df, field) else F.lit(1)
-        everything = df.where(F.col(field).isNotNull()).agg(F.sum(weight.cast("bigint")).alias("n")).scalar()
+        if agg.wants(F.lit(0)) is None:
+            given = df.where(field_column(df, field).isNotNull())
+        else:
+            given, weight = rows, F.lit(1)
+        everything = given.agg(F.sum(weight.cast("bigint")).alias("n")).scalar()
         listed = F.sum("doc_count").over(W.rowsBetween(W.unboundedPreceding, W.unboundedFollowing))
         return top.withColumn("sum_other_doc_count", everything - listed)
 
     heads = (
         rows.groupBy("key")
         .agg(F.count(F.lit(1)).alias("doc_count"))
-        .orderBy(F.col("doc_count").desc(), F.col("key").asc())
+        .where(enough)
+        .orderBy(*ranked)
         .limit(size)
     )
-    cells = _keyed(rows, sub.field, "sub_key").groupBy("key", "sub_key").agg(
+    cells = _keyed(rows, sub, "sub_key").groupBy("key", "sub_key").agg(
         F.count(F.lit(1)).alias("sub_doc_count"), *[m.alias(n) for n, m in metrics.items()]
     )
-    rank = F.row_number().over(
-        W.partitionBy("key").orderBy(F.col("sub_doc_count").desc(), F.col("sub_key").asc())
-    )
-    # At most ``size`` heads, so this side of the join is bounded whatever the data.
-    return (
-        cells.join(F.broadcast(heads), "key")
-        .withColumn("_rank", rank)
-        .where(F.col("_rank") <= sub.size)
-        .select("key", "doc_count", "sub_key", "sub_doc_count", *metrics)
-    )
+    of_heads = cells.join(heads, "key").where(F.col("sub_doc_count") >= sub.min_doc_count)
+    first = _first(of_heads, ["key"], _bucket_order(sub.order, "sub_doc_count", "sub_key"), "sub_key", sub.size)
+    return first.select("key", "doc_count", "sub_key", "sub_doc_count", *metrics)
+
+
+def _keyed(df: DataFrame, agg: TermsAgg, name: str) -> DataFrame:
+    if is_array(df, agg.field):
+        rows = unnest(df, distinct_values(agg.field), name)
+    else:
+        value = field_column(df, agg.field)
+        rows = df.where(value.isNotNull()).withColumn(name, value)
+    wanted = agg.wants(F.col(name))
+    return rows if wanted is None else rows.where(wanted)
 
 
-def _keyed(df: DataFrame, field: str, name: str) -> DataFrame:
-    if is_array(df, field):
-        return unnest(df, distinct_values(field), name)
-    return df.where(F.col(field).isNotNull()).withColumn(name, F.col(field))
+def _number(df: DataFrame, field: str, buckets) -> Column:
+    """A field to be put into ranges; one inside JSON documents is read as the bounds' type."""
+    bounds = [v for b in buckets for v in (b.from_, b.to) if v is not None]
+    return field_column(df, field, bounds[0] if bounds else None)
 
 
 def ranges_agg(df: DataFrame, field: str, buckets: list[Bucket | None]) -> DataFrame:
     """Rows ``key, doc_count`` for every range, all counted in one global aggregate."""
     kept = [b for b in buckets if b is not None]
-    value = F.col(field)
+    value = _number(df, field, kept)
     counts = df.agg(*[F.count_if(b.holds(value)).alias(f"c{i}") for i, b in enumerate(kept)])
     rows = F.array(
         *[F.struct(F.lit(b.key).alias("key"), F.col(f"c{i}").alias("doc_count")) for i, b in enumerate(kept)]

@@ -86,11 +86,18 @@ def worth(bound: Bound) -> Column:
     return F.when(bound.matches, bound.score).otherwise(F.lit(0.0))
 
 
-def _predicate(label: str, make: Callable[[Collection], Column], name: str | None) -> Clause:
+def boosted(bound: Bound, boost: float) -> Bound:
+    """The same matches with score and contributions times ``boost``."""
+    if boost == 1.0:
+        return bound
+    return replace(bound, score=bound.score * boost, parts=tuple((label, v * boost) for label, v in bound.parts))
+
+
+def _predicate(label: str, make: Callable[[Collection], Column], name: str | None, boost: float = 1.0) -> Clause:
     def bind(collection):
         matches = make(collection)
-        one = F.lit(1.0)
-        return Bound(matches, one, parts=((label, F.when(matches, one).otherwise(F.lit(0.0))),))
+        score = F.lit(float(boost))
+        return Bound(matches, score, parts=((label, F.when(matches, score).otherwise(F.lit(0.0))),))
 
     return Clause(bind).named(name)
 
@@ -99,17 +106,17 @@ def match_all(name: str | None = None) -> Clause:
     return _predicate("match_all", lambda c: F.lit(True), name)
 
 
-def term(field: str, value, name: str | None = None) -> Clause:
-    """The field equals ``value``; an array field holds it."""
+def term(field: str, value, name: str | None = None, boost: float = 1.0) -> Clause:
+    """The field equals ``value``; an array field holds it.  A match is worth ``boost``."""
 
     def make(c):
-        return F.array_contains(c.column(field), value) if c.is_array(field) else c.column(field) == F.lit(value)
+        return F.array_contains(c.column(field), value) if c.is_array(field) else c.column(field, value) == F.lit(value)
 
-    return _predicate(f"term({field})", make, name)
+    return _predicate(f"term({field})", make, name, boost)
 
 
-def terms(field: str, values: Iterable, name: str | None = None) -> Clause:
-    """The field equals one of ``values``; no values match nothing."""
+def terms(field: str, values: Iterable, name: str | None = None, boost: float = 1.0) -> Clause:
+    """The field equals one of ``values``; no values match nothing.  A match is worth ``boost``."""
     wanted = list(dict.fromkeys(values))
 
     def make(c):
@@ -117,9 +124,9 @@ def terms(field: str, values: Iterable, name: str | None = None) -> Clause:
             return F.lit(False)
         if c.is_array(field):
             return F.arrays_overlap(c.column(field), F.array(*[F.lit(v) for v in wanted]))
-        return c.column(field).isin(wanted)
+        return c.column(field, wanted[0]).isin(wanted)
 
-    return _predicate(f"terms({field})", make, name)
+    return _predicate(f"terms({field})", make, name, boost)
 
 
 def range_(field: str, lower: tuple[str, object], upper: tuple[str, object] | None = None, name: str | None = None) -> Clause:
@@ -130,7 +137,7 @@ def range_(field: str, lower: tuple[str, object], upper: tuple[str, object] | No
         raise ValueError(f"unknown comparison {sorted(unknown)}; use {sorted(COMPARISONS)}")
 
     def make(c):
-        return all_of([COMPARISONS[op](c.column(field), F.lit(v)) for op, v in bounds.items()])
+        return all_of([COMPARISONS[op](c.column(field, v), F.lit(v)) for op, v in bounds.items()])
 
     return _predicate(f"range({field})", make, name)
 
@@ -147,7 +154,7 @@ def geo_distance(field: str, lat, lon, distance: str, name: str | None = None) -
     lat0, lon0, reach = float(lat), float(lon), geo.metres(distance)
 
     def make(c):
-        at = c.column(f"{field}.lat"), c.column(f"{field}.lon")
+        at = c.column(f"{field}.lat", lat0), c.column(f"{field}.lon", lon0)
         return geo.bounding_box(*at, lat0, lon0, reach) & (geo.haversine_m(*at, lat0, lon0) <= reach)
 
     return _predicate(f"geo_distance({field})", make, name)
@@ -189,12 +196,14 @@ def required_matches(minimum, count: int) -> int:
     return int(minimum)
 
 
-def bool_(must=None, should=None, must_not=None, minimum_should_match=None, name: str | None = None) -> Clause | None:
+def bool_(
+    must=None, should=None, must_not=None, minimum_should_match=None, name: str | None = None, boost: float = 1.0
+) -> Clause | None:
     """All of ``must``, enough of ``should`` and none of ``must_not``; nothing asked gives ``None``.
 
     Without a stated minimum one ``should`` clause has to match if there is no ``must`` clause,
     else none.  The score is the sum over matching ``must`` and ``should`` clauses, and 1 if
-    there are neither.
+    there are neither, each times ``boost``.
     """
     musts, shoulds, nots = present(must), present(should), present(must_not)
     if not (musts or shoulds or nots):
@@ -215,7 +224,8 @@ def bool_(must=None, should=None, must_not=None, minimum_should_match=None, name
         conditions += [~b.sure for b in n]
         scored = [*m, *s]
         score = total([b.score for b in m] + [worth(b) for b in s]) if scored else F.lit(1.0)
-        return Bound(all_of(conditions), score, names_of([*m, *s, *n]), tuple(p for b in scored for p in b.parts))
+        bound = Bound(all_of(conditions), score, names_of([*m, *s, *n]), tuple(p for b in scored for p in b.parts))
+        return boosted(bound, boost)
 
     return Clause(bind, all_terms([*musts, *shoulds])).named(name)
 

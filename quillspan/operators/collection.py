@@ -4,9 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from quillspan.functions import text
+from quillspan.functions import fields, text
 from quillspan.functions.logic import all_of
 
 K1 = 1.2
@@ -48,11 +47,12 @@ class Collection:
         """The same collection for clauses whose score nobody reads."""
         return Unscored(self.df, token_columns=self.token_columns)
 
-    def column(self, field: str) -> Column:
-        return F.col(field)
+    def column(self, field: str, like=None) -> Column:
+        """A field to be compared with ``like``; one that is no column is looked up in the JSON documents."""
+        return fields.field_column(self.df, field, like)
 
     def is_array(self, field: str) -> bool:
-        return isinstance(self.df.select(field).schema[0].dataType, T.ArrayType)
+        return fields.is_array(self.df, field)
 
     def tokens(self, field: str) -> Column:
         if field in self.token_columns:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quillspan.functions.fields import field_column, in_source
 from quillspan.operators.clauses import Clause
 from quillspan.operators.search import DEFAULT_SIZE, of_type, search, sort_columns
 from quillspan.plans.rowindex import with_row_index
@@ -39,10 +40,12 @@ def multi_get(
     """One row per distinct id, with ``found`` and an ``error`` for the missing ones; of several types the smallest.
 
     The collection is cut down to the asked ids first, so the outer join that keeps missing ids
-    only sees documents that were asked for.  ``ids`` may be a list or a one-column DataFrame.
+    only sees documents that were asked for.  ``ids`` may be a list or a one-column DataFrame.  Fields that are
+    no columns are read from the JSON documents of ``_source``.
     """
     keep = [c for c in (fields if fields is not None else df.columns) if c != id_col]
-    docs = of_type(df, type_name, type_col)
+    inside = {f: field_column(df, f) for f in keep if in_source(df, f)}
+    docs = of_type(df, type_name, type_col).withColumns(inside)
     id_type = df.schema[id_col].dataType
     if isinstance(ids, DataFrame):
         asked = ids.select(F.col(ids.columns[0]).cast(id_type).alias(id_col)).where(F.col(id_col).isNotNull()).distinct()
@@ -77,7 +80,8 @@ def hits_count(df: DataFrame, query: Clause | list | None, filter: Clause | list
     """All documents that match, not only those on a page."""
     first = df.columns[0]
     # Sorting by a field means that no score is computed.
-    return search(df, first, query=query, filter=filter, sort=[(first, "asc")]).summary.select("total")
+    found = search(df, first, query, filter, sort=[(first, "asc")], fields=[first])
+    return found.summary.select("total")
 
 
 def unlimited_search(df: DataFrame, id_col: str = "_id", **sections) -> DataFrame:

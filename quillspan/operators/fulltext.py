@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from quillspan.functions import text as ta
 from quillspan.functions.logic import any_of, total
-from quillspan.operators.clauses import Bound, Clause, all_terms, bool_, names_of, present, required_matches, worth
+from quillspan.operators.clauses import Bound, Clause, all_terms, bool_, boosted, names_of, present, required_matches, worth
 
 
 def match(
@@ -17,17 +17,18 @@ def match(
     minimum_should_match=None,
     type: str = "boolean",
     name: str | None = None,
+    boost: float = 1.0,
 ) -> Clause | None:
     """Documents whose analyzed field holds the terms of ``text``; an empty text asks for nothing.
 
-    ``operator`` is "or" or "and"; ``type`` may be "phrase" or "phrase_prefix".
+    ``operator`` is "or" or "and"; ``type`` may be "phrase" or "phrase_prefix".  Scores count times ``boost``.
     """
     if not text:
         return None
     if type == "phrase":
-        return phrase(field, text, name=name)
+        return phrase(field, text, name=name, boost=boost)
     if type == "phrase_prefix":
-        return phrase_prefix(field, text, name=name)
+        return phrase_prefix(field, text, name=name, boost=boost)
     if type != "boolean" or operator not in ("or", "and"):
         raise ValueError(f"unknown match type {type!r} or operator {operator!r}")
     wanted = ta.distinct_in_order(ta.query_tokens(text))
@@ -37,26 +38,26 @@ def match(
     def bind(c):
         if minimum_should_match is None:
             held = c.holds_any(field, wanted) if operator == "or" else c.holds_every(field, wanted)
-            return _scored(c, field, wanted, held)
+            return boosted(_scored(c, field, wanted, held), boost)
         held = [c.holds_any(field, [t]) for t in wanted]
         need = max(1, required_matches(minimum_should_match, len(wanted)))
         found = total([F.coalesce(h, F.lit(False)).cast("int") for h in held])
-        return _scored(c, field, wanted, found >= need)
+        return boosted(_scored(c, field, wanted, found >= need), boost)
 
     return Clause(bind, frozenset((field, t) for t in wanted)).named(name)
 
 
-def phrase(field: str, text: str, name: str | None = None) -> Clause | None:
+def phrase(field: str, text: str, name: str | None = None, boost: float = 1.0) -> Clause | None:
     """The terms of ``text`` stand next to each other in that order."""
-    return _run("phrase", field, text, False, name)
+    return _run("phrase", field, text, False, name, boost)
 
 
-def phrase_prefix(field: str, text: str, name: str | None = None) -> Clause | None:
+def phrase_prefix(field: str, text: str, name: str | None = None, boost: float = 1.0) -> Clause | None:
     """As :func:`phrase`, with the last term standing for any token it begins."""
-    return _run("phrase_prefix", field, text, True, name)
+    return _run("phrase_prefix", field, text, True, name, boost)
 
 
-def _run(label: str, field: str, text: str, last_is_prefix: bool, name: str | None) -> Clause | None:
+def _run(label: str, field: str, text: str, last_is_prefix: bool, name: str | None, boost: float) -> Clause | None:
     if not text:
         return None
     wanted = ta.query_tokens(text)
@@ -67,8 +68,8 @@ def _run(label: str, field: str, text: str, last_is_prefix: bool, name: str | No
     def bind(c):
         matches = c.holds_run(field, wanted, last_is_prefix)
         if not whole:
-            return Bound(matches, F.lit(1.0), parts=((f"{label}({field})", F.lit(1.0)),))
-        return _scored(c, field, whole, matches)
+            return boosted(Bound(matches, F.lit(1.0), parts=((f"{label}({field})", F.lit(1.0)),)), boost)
+        return boosted(_scored(c, field, whole, matches), boost)
 
     return Clause(bind, frozenset((field, t) for t in whole)).named(name)
 
@@ -85,16 +86,21 @@ def multi_match(
     type: str = "best_fields",
     tie_breaker: float = 0.0,
     name: str | None = None,
+    minimum_should_match=None,
+    boost: float = 1.0,
 ) -> Clause:
     """:func:`match` over several fields; the best field counts, the others by ``tie_breaker``.
 
-    An empty text matches nothing.
+    ``"title^2"`` counts a field twice; the minimum holds in each field by itself.  An empty text matches nothing.
     """
     kind = "boolean" if type == "best_fields" else type
-    inner = present([match(f, text, operator=operator, type=kind) for f in fields])
+    weighted = [(f, float(weight or 1)) for f, _, weight in (f.partition("^") for f in fields)]
+    inner = present(
+        [match(f, text, operator, minimum_should_match, type=kind, boost=weight) for f, weight in weighted]
+    )
     if not inner:
         return Clause(lambda c: Bound(F.lit(False), F.lit(0.0))).named(name)
-    return dis_max(inner, tie_breaker=tie_breaker).named(name)
+    return dis_max(inner, tie_breaker=tie_breaker, boost=boost).named(name)
 
 
 def text_query(

@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quillspan.functions.fields import field_column, in_source
 from quillspan.operators.aggs import run_aggs
 from quillspan.operators.clauses import Clause, bool_, filtered, match_all, present
 from quillspan.operators.collection import Collection, Unscored
@@ -66,7 +67,8 @@ def search(
     Several clauses of one kind must all match.  ``filter`` narrows without scoring;
     ``post_filter`` narrows hits and totals but not aggregations.  Hits come by score unless
     ``sort`` is given, in which case no score is computed.  ``size=None`` returns every hit,
-    unordered unless ``sort`` asks for an order; hits before ``from_`` then count by id.
+    unordered unless ``sort`` asks for an order; hits before ``from_`` then count by id.  A field that is
+    no column is looked up in the JSON documents of ``_source``, as text; see ``mapped`` for types.
     """
     base = of_type(df, type_name, type_col)
     asked = bool_(must=present(query)) or match_all()
@@ -88,9 +90,10 @@ def search(
     wanted = worded.where(late.matches) if late else worded
 
     score = F.round(bound.score, SCORE_DIGITS) if scored else F.lit(None).cast("double")
-    output = [F.col(f) for f in (fields if fields is not None else df.columns)]
-    if id_col not in (fields if fields is not None else df.columns):
-        output.insert(0, F.col(id_col))
+    listed = list(fields if fields is not None else df.columns)
+    if id_col not in listed:
+        listed.insert(0, id_col)
+    output = [field_column(df, f).alias(f) if in_source(df, f) else F.col(f) for f in listed]
     output.append(score.alias("score"))
     names = [*bound.named, *(late.named if late else ())]
     if names:
@@ -100,14 +103,19 @@ def search(
     if explain:
         output.append(explanation(bound.parts).alias("explanation"))
 
+    added = {"score", *(["matched_queries"] if names else []), *(["explanation"] if explain else [])}
+    if added & {f.lower() for f in listed}:
+        raise ValueError(f"hits get columns {sorted(added)}; rename those of the collection or leave them out of fields")
+    # Sort keys that are not shown travel under names of their own.
+    keys = [(f if f in listed and not in_source(df, f) else f"_sort_{i}", way) for i, (f, way) in enumerate(sort or [])]
     if sort:
-        order = sort_columns(sort, id_col)
+        order = sort_columns(keys, id_col)
     elif size is not None:
         order = [F.col("score").desc(), F.col(id_col).asc()]
     else:
         order = [F.col(id_col).asc()] if from_ else []
-    sort_only = [f for f, _ in sort or [] if f not in (fields or df.columns)]
-    hits = wanted.select(*output, *[F.col(f) for f in sort_only])
+    sort_only = {key: field_column(df, f).alias(key) for (key, _), (f, _) in zip(keys, sort or []) if key != f}
+    hits = wanted.select(*output, *sort_only.values())
     hits = _page(hits, order, from_, size).drop(*sort_only)
 
     summary = wanted.select(score.alias("score")).agg(

@@ -13,8 +13,8 @@ from pyspark.sql.utils import AnalysisException
 from quillspan.operators.writes import BulkResult, bulk_apply
 from quillspan.plans.durable import materialize
 
-_VERSIONS = "version bigint, rows bigint, stream string, batch bigint"
-_SNAPSHOTS = "entry bigint, snapshot string, indices array<string>, state string"
+_VERSIONS = "version bigint, rows bigint, stream string, batch bigint, folder string"
+_SNAPSHOTS = "entry bigint, snapshot string, indices array<string>, state string, folders map<string,string>"
 
 
 def _manifest(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -33,7 +33,16 @@ class Store:
         self.spark = spark
         self.path = path.rstrip("/")
 
-    def _folder(self, version: int) -> str:
+    def folder(self, version: int | None = None) -> str:
+        """Where a version, by default the newest, has its files; they are never written again."""
+        number = self.latest() if version is None else version
+        if number is None:
+            raise ValueError(f"nothing has been committed under {self.path}")
+        rows = _manifest(self.spark, f"{self.path}/_manifest", _VERSIONS)
+        named = rows.where((F.col("version") == number) & F.col("folder").isNotNull()).first()
+        return named["folder"] if named else self._own_folder(number)
+
+    def _own_folder(self, version: int) -> str:
         return f"{self.path}/v={version}"
 
     def latest(self) -> int | None:
@@ -64,18 +73,24 @@ class Store:
         writer = df.write.mode("overwrite")
         if partition_by:
             writer = writer.partitionBy(*partition_by)
-        writer.parquet(self._folder(number))
-        rows = self.spark.read.parquet(self._folder(number)).count()
-        entry = self.spark.createDataFrame([(number, rows, stream, batch)], _VERSIONS)
-        entry.coalesce(1).write.mode("append").parquet(f"{self.path}/_manifest")
+        writer.parquet(self._own_folder(number))
+        self._publish(number, self._own_folder(number), stream, batch)
+        return number
+
+    def adopt(self, folder: str) -> int:
+        """Make the files of a folder, such as an older version's, the next version without copying them."""
+        number = (self.latest() or 0) + 1
+        self._publish(number, folder)
         return number
 
+    def _publish(self, number: int, folder: str, stream: str | None = None, batch: int | None = None) -> None:
+        rows = self.spark.read.parquet(folder).count()
+        entry = self.spark.createDataFrame([(number, rows, stream, batch, folder)], _VERSIONS)
+        entry.coalesce(1).write.mode("append").parquet(f"{self.path}/_manifest")
+
     def read(self, version: int | None = None) -> DataFrame:
         """One version, by default the newest."""
-        number = self.latest() if version is None else version
-        if number is None:
-            raise ValueError(f"nothing has been committed under {self.path}")
-        return self.spark.read.parquet(self._folder(number))
+        return self.spark.read.parquet(self.folder(version))
 
     def apply(
         self,
@@ -98,47 +113,45 @@ class Store:
 
 
 class SnapshotRepository:
-    """Named copies of stores under one base path."""
+    """Named states of stores: a snapshot names the folders of versions, which no later write changes."""
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
         self.path = path.rstrip("/")
 
-    def _log(self, snapshot: str, indices: list[str], state: str) -> None:
+    def _log(self, snapshot: str, indices: list[str], state: str, folders: dict[str, str] | None = None) -> None:
         number = (_manifest(self.spark, f"{self.path}/_manifest", _SNAPSHOTS).agg(F.max("entry")).first()[0] or 0) + 1
-        entry = self.spark.createDataFrame([(number, snapshot, indices, state)], _SNAPSHOTS)
+        entry = self.spark.createDataFrame([(number, snapshot, indices, state, folders)], _SNAPSHOTS)
         entry.coalesce(1).write.mode("append").parquet(f"{self.path}/_manifest")
 
-    def list(self) -> DataFrame:
-        """Rows ``snapshot, indices, state`` with the latest state of each snapshot."""
+    def _latest(self) -> DataFrame:
         entries = _manifest(self.spark, f"{self.path}/_manifest", _SNAPSHOTS)
         return (
             entries.groupBy("snapshot")
-            .agg(F.max_by(F.struct("indices", "state"), "entry").alias("s"))
-            .select("snapshot", "s.indices", "s.state")
+            .agg(F.max_by(F.struct("indices", "state", "folders"), "entry").alias("s"))
+            .select("snapshot", "s.*")
         )
 
+    def list(self) -> DataFrame:
+        """Rows ``snapshot, indices, state`` with the latest state of each snapshot."""
+        return self._latest().drop("folders")
+
     def _state(self, snapshot: str):
-        return self.list().where(F.col("snapshot") == snapshot).first()
+        return self._latest().where(F.col("snapshot") == snapshot).first()
 
     def create(self, snapshot: str, stores: dict[str, Store], indices: list[str] | None = None) -> None:
-        """Copy the newest version of the named stores, or of all if none is named."""
+        """Note the newest version of the named stores, or of all if none is named; nothing is copied."""
         if self._state(snapshot) is not None:
             raise ValueError(f"snapshot {snapshot!r} exists")
         names = indices or list(stores)
-        for name in names:
-            stores[name].read().write.mode("overwrite").parquet(f"{self.path}/{snapshot}/{name}")
-        self._log(snapshot, names, "SUCCESS")
+        self._log(snapshot, names, "SUCCESS", {name: stores[name].folder() for name in names})
 
     def restore(self, snapshot: str, stores: dict[str, Store]) -> dict[str, int]:
         """Commit every index of a snapshot as the next version of its store."""
         entry = self._state(snapshot)
         if entry is None or entry["state"] != "SUCCESS":
             raise ValueError(f"no complete snapshot {snapshot!r}")
-        return {
-            name: stores[name].commit(self.spark.read.parquet(f"{self.path}/{snapshot}/{name}"))
-            for name in entry["indices"]
-        }
+        return {name: stores[name].adopt(entry["folders"][name]) for name in entry["indices"]}
 
     def delete(self, snapshot: str) -> None:
         """Mark a snapshot as deleted; it can no longer be restored."""
