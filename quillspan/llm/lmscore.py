@@ -1,17 +1,21 @@
 """Language-model scores by a weighted backoff automaton over word n-grams.
 
-Learning counts all words of all learning texts (the end of a text is a word too), and all bigrams and trigrams of
-the ``N_WORDS`` most frequent of them. Counting is partial sums in the tasks and one shuffle per order, which grow
-with the corpus. N-grams become states: the most frequent ``MAX_STATES`` of each order are kept, whose least count
-therefore grows with the corpus, and their probabilities are interpolated absolute discounting, so that the
-weights a state gives to its arcs and to its failure arc add up to one whatever was pruned. The automaton and the
-``HEAD`` most frequent words are what is broadcast: sizes fixed by parameters.
-
-Scoring goes once from left to right through each text: a state takes its arc for the next word, or fails to the
-next shorter context at the failure arc's weight until one has the arc, and log-probabilities add up. All texts of
-a chunk move together, one word a step; texts are laid out as segments of ``SEGMENT`` words, each entered through the
-two words before it, which are all that a state remembers. Words below the head have no states; their unigram
-weights are joined to them by a shuffle, so no vocabulary has to fit anywhere.
+Learning counts all words of all learning texts (the end of a text is a word too), and all their bigrams and trigrams,
+whatever the words. Counting is partial sums in the tasks and one shuffle per order, which grow with the corpus.
+N-grams that occur twice at least become states and arcs, however many there are; their probabilities are interpolated
+absolute discounting, so that the weights a state gives to its arcs and to its failure arc add up to one. An n-gram
+can occur twice only if its parts do, so n-grams with another part never leave the scan; how many occur once, which the
+discount asks for, is what the others leave of all positions.
+
+A position takes its state's arc, or fails to the next shorter context at the failure arc's weight until one has the
+arc. So a text's log-probability is a sum over its words (the weight from the root and the failure weight of the
+word as a context), its bigrams that are states (what their arc has beyond failing to the root, and their failure
+weight) and its trigrams that are arcs (what they have beyond failing to the bigram). States, arcs and weights are
+Spark tables; the weights are joined to the words and n-grams of the texts. Only the ``HEAD`` most frequent words and the
+``GRAM_HEAD`` most frequent n-grams of each order are broadcast, which keeps hot keys out of the joins; the joined
+tables have all others, so neither size changes a result. Bitmaps only keep rows from leaving a scan.
+
+Words and n-grams are known by 63 and 64 bits of hash.
 
 Defined results: a null or empty text is its end alone; texts that are not learned from still count as held out or
 not by their id, a null id being held out never and learned from never; without learning texts all scores
@@ -28,20 +32,25 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from quillspan.llm import words as W
-from quillspan.llm.common import by_batch, cut
+from quillspan.llm.common import Bitmap, by_batch, cut
 from quillspan.llm.language import bucket_of
 from quillspan.llm.registry import query, table
 
-HEAD, WORD_BITS, MAX_STATES, SEGMENT = 1 << 18, 14, 1 << 19, 256
-N_WORDS = (1 << WORD_BITS) - 1
+HEAD, GRAM_HEAD, BITS = 1 << 18, 1 << 17, 27
+#: Hashes of words have this bit, so as numbers they are below all places of the head.
+_TOP = np.uint64(1 << 63)
 #: The hash that stands for the end of a text.
-END = np.uint64(0x6A09E667F3BCC909)
+END = np.uint64(0x6A09E667F3BCC909) | _TOP
+#: Stands where a word does in the row that counts all positions.
+_ALL = 1 << 40
+_BASE = np.uint64(0x9E3779B97F4A7C15)
+_LEAST = 1e-12
 
 
 def _tokens(words: W.Words):
     """Hashes of all words with an end after each text, and the texts they belong to."""
     n = len(words.first) - 1
-    hashes = np.insert(words.hashes, words.first[1:], END)
+    hashes = np.insert(words.hashes | _TOP, words.first[1:], END)
     rows = np.repeat(np.arange(n), words.counts + 1)
     return hashes, rows
 
@@ -68,66 +77,71 @@ class Head:
         return np.where(self.hashes[at] == hashes, self.places[at], -1)
 
 
-def _count_grams(order: int, head):
-    """Counts of ``order`` successive frequent words, packed into a number."""
+def _codes(head: Head, hashes: np.ndarray) -> np.ndarray:
+    """The place of a word of the head, else its hash, which is negative."""
+    places = head.find(hashes)
+    return np.where(places >= 0, places, hashes.view(np.int64))
+
+
+def _pair(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The hash of two successive words, or of an n-gram's hash and the next word."""
+    return W.mix(a.view(np.uint64) * _BASE + W.mix(b.view(np.uint64) + _BASE))
+
+
+def _count_bigrams(head, often):
+    """Counts of two successive words that both may occur twice; the row of ``_ALL`` counts all positions."""
 
     def work(batch):
         for _, _, words in W.chunks(batch.column("_text"), W.SPACED_FOLDED):
             hashes, rows = _tokens(words)
-            ids = head.value.find(hashes)
-            m = max(0, len(ids) - order + 1)
-            ok = rows[:m] == rows[order - 1 :]
-            packed = np.zeros(m, np.int64)
-            for j in range(order):
-                part = ids[j : j + m]
-                ok &= (part >= 0) & (part < N_WORDS)
-                packed = (packed << WORD_BITS) | part
-            grams, counts = np.unique(packed[ok], return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(grams), pa.array(counts.astype(np.int64))], names=["gram", "n"])
+            same = rows[:-1] == rows[1:]
+            twice = often.value.has(hashes)
+            at = np.flatnonzero(same & twice[:-1] & twice[1:])
+            codes = _codes(head.value, hashes)
+            _, first, counts = np.unique(_pair(codes[at], codes[at + 1]), return_index=True, return_counts=True)
+            at = at[first]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.append(codes[at], _ALL)), pa.array(np.append(codes[at + 1], _ALL)), pa.array(np.append(counts, same.sum()).astype(np.int64))],
+                names=["v", "w", "n"],
+            )
 
     return work
 
 
-@dataclass
-class Automaton:
-    """States 0 (root), words, then bigrams; arcs are sorted by ``state << WORD_BITS | word``."""
-
-    arcs: np.ndarray
-    weights: np.ndarray  # log10 of the probability along the arc
-    targets: np.ndarray
-    fails: np.ndarray  # the state of the next shorter context
-    fail_weights: np.ndarray
-
-    def run(self, ids: np.ndarray, root_weights: np.ndarray):
-        """Log10 weights of the columns of ``ids`` (texts by steps; -1 has no states), from the root."""
-        state = np.zeros(len(ids), np.int64)
-        out = np.zeros(ids.shape)
-        for step in range(ids.shape[1]):
-            word = ids[:, step]
-            weight = np.zeros(len(ids))
-            known = word >= 0
-            open_ = np.arange(len(ids))
-            target = np.zeros(len(ids), np.int64)
-            while len(open_):
-                key = (state[open_] << WORD_BITS) | word[open_]
-                at = np.minimum(np.searchsorted(self.arcs, key), max(0, len(self.arcs) - 1))
-                hit = known[open_] & (self.arcs[at] == key) if len(self.arcs) else np.zeros(len(open_), bool)
-                took = open_[hit]
-                weight[took] += self.weights[at[hit]]
-                target[took] = self.targets[at[hit]]
-                rest = open_[~hit]
-                at_root = state[rest] == 0
-                weight[rest[at_root]] += root_weights[rest[at_root], step]
-                open_ = rest[~at_root]
-                weight[open_] += self.fail_weights[state[open_]]
-                state[open_] = self.fails[state[open_]]
-            out[:, step] = weight
-            state = target
-        return out
-
-
-def _frequent(counted: DataFrame, most: int, least: int = 1) -> DataFrame:
-    """The rows with a count of ``least`` at least, or of as much more as leaves no more than ``most`` rows.
+def _count_trigrams(head, often):
+    """Counts of three successive words whose two bigrams may be states; the row of ``_ALL`` counts all positions."""
+
+    def work(batch):
+        for _, _, words in W.chunks(batch.column("_text"), W.SPACED_FOLDED):
+            hashes, rows = _tokens(words)
+            codes = _codes(head.value, hashes)
+            state = often.value.has(_pair(codes[:-1], codes[1:])) & (rows[:-1] == rows[1:])
+            at = np.flatnonzero(state[:-1] & state[1:])
+            grams = _pair(_pair(codes[at], codes[at + 1]), codes[at + 2])
+            _, first, counts = np.unique(grams, return_index=True, return_counts=True)
+            at, n = at[first], int((rows[2:] == rows[:-2]).sum())
+            yield pa.RecordBatch.from_arrays(
+                [*(pa.array(np.append(codes[at + j], _ALL)) for j in range(3)), pa.array(np.append(counts, n).astype(np.int64))],
+                names=["u", "v", "w", "n"],
+            )
+
+    return work
+
+
+def _name_bigrams(batch):
+    v, w = batch.column("v").to_numpy(), batch.column("w").to_numpy()
+    yield pa.RecordBatch.from_arrays([batch.column("v"), batch.column("w"), pa.array(W.signed(_pair(v, w))), batch.column("n")], names=["v", "w", "gram", "n"])
+
+
+def _name_trigrams(batch):
+    u, v, w = (batch.column(c).to_numpy() for c in "uvw")
+    context = _pair(u, v)
+    hashes = [pa.array(W.signed(x)) for x in (context, _pair(v, w), _pair(context, w))]
+    yield pa.RecordBatch.from_arrays([*hashes, batch.column("n")], names=["context", "inner", "gram", "n"])
+
+
+def _split(counted: DataFrame, most: int) -> tuple[DataFrame, DataFrame]:
+    """The rows with a count that no more than ``most`` rows reach, and the others.
 
     Counts are compared by their first two digits, so a few thousand sums reach the driver at most.
     """
@@ -137,124 +151,102 @@ def _frequent(counted: DataFrame, most: int, least: int = 1) -> DataFrame:
     floor, left = None, most
     for row in sorted(sizes, key=lambda r: -r["floor"]):
         left -= row["k"]
-        if left < 0 or row["floor"] < least:
+        if left < 0:
             break
         floor = row["floor"]
-    return counted.where(F.col("n") >= floor) if floor is not None else counted.limit(0)
-
-
-def _kept(grams: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """The most frequent n-grams, sorted, and their counts."""
-    rows = _frequent(grams, MAX_STATES, least=2).toArrow()
-    packed, n = rows["gram"].to_numpy(), rows["n"].to_numpy()
-    order = np.argsort(packed)
-    return packed[order], n[order]
-
-
-def _discount(counts: DataFrame) -> float:
-    r = counts.agg(F.count_if(F.col("n") == 1).alias("a"), F.count_if(F.col("n") == 2).alias("b")).first()
-    return min(0.95, max(0.1, r["a"] / (r["a"] + 2 * r["b"]))) if r["a"] else 0.5
-
-
-def _build(unigram: np.ndarray, counts: np.ndarray, bigrams, trigrams, d2: float, d3: float) -> Automaton:
-    """``unigram``: probabilities of the frequent words; ``counts``: of them; n-grams as sorted numbers with counts."""
-    n_words = len(unigram)
-    mask = (1 << WORD_BITS) - 1
-    (b, nb), (t, nt) = bigrams, trigrams
-    first, second = b >> WORD_BITS, b & mask
-    total = counts.astype(float)  # of each context word
-    share2 = np.maximum(nb - d2, 0) / total[first]
-    left2 = 1 - np.bincount(first, share2, n_words)
-    p2 = share2 + left2[first] * unigram[second]
-    # A trigram needs its context as a state.
-    context = np.searchsorted(b, t >> WORD_BITS)
-    there = (context < len(b)) & (b[np.minimum(context, max(0, len(b) - 1))] == t >> WORD_BITS) if len(b) else np.zeros(len(t), bool)
-    t, nt, context = t[there], nt[there], context[there]
-    word, middle = t & mask, (t >> WORD_BITS) & mask
-    share3 = np.maximum(nt - d3, 0) / nb[context] if len(t) else np.zeros(0)
-    left3 = 1 - np.bincount(context, share3, len(b)) if len(b) else np.zeros(0)
-    inner = (middle << WORD_BITS) | word
-    at = np.minimum(np.searchsorted(b, inner), max(0, len(b) - 1))
-    has2 = b[at] == inner if len(b) else np.zeros(0, bool)
-    lower = np.where(has2, p2[at], left2[middle] * unigram[word]) if len(t) else np.zeros(0)
-    p3 = share3 + left3[context] * lower
-    words = np.arange(n_words)
-    state2 = 1 + n_words + np.arange(len(b))
-    target3 = np.where(has2, 1 + n_words + at, 1 + word)  # the longest suffix that is a state
-    arcs = np.concatenate([words, ((1 + first) << WORD_BITS) | second, ((1 + n_words + context) << WORD_BITS) | word])
-    weights = np.log10(np.concatenate([unigram, p2, p3]))
-    targets = np.concatenate([1 + words, state2, target3])
-    order = np.argsort(arcs)
-    fails = np.concatenate([[0], np.zeros(n_words, np.int64), 1 + second])
-    with np.errstate(divide="ignore"):
-        fail_weights = np.log10(np.maximum(np.concatenate([[1.0], left2, left3]), 1e-12))
-    return Automaton(arcs[order], weights[order], targets[order].astype(np.int64), fails.astype(np.int64), fail_weights)
-
-
-def _score(shared, total: int, distinct: int, discount: float):
-    """Per text: tokens, known ones, base and model scores of the head; the hashes below it."""
+    return (counted.limit(0), counted) if floor is None else (counted.where(F.col("n") >= floor), counted.where(F.col("n") < floor))
+
+
+def _discount(once: int, twice: int) -> float:
+    return min(0.95, max(0.1, once / (once + 2 * twice))) if once else 0.5
+
+
+def _repeated(counted: DataFrame, name: str) -> tuple[DataFrame, float]:
+    """The n-grams that occur twice at least, and the discount of their order."""
+    kept = cut(counted.where("n > 1 or w = %d" % _ALL), name)
+    is_all = F.col("w") == _ALL
+    r = kept.agg(
+        F.sum(F.when(is_all, F.col("n"))).alias("positions"), F.sum(F.when(~is_all, F.col("n"))).alias("n"), F.count_if(~is_all & (F.col("n") == 2)).alias("twice")
+    ).first()
+    return kept.where(~is_all), _discount((r["positions"] or 0) - (r["n"] or 0), r["twice"])
+
+
+def _attach(rows: DataFrame, key: str, head: DataFrame, rest: DataFrame, **values: str) -> DataFrame:
+    """``rows`` with the ``values`` (new name = column) that ``head``, which is small, or ``rest`` has for their ``key``."""
+    id_col = rest.columns[0]
+    few, many = (t.select(F.col(id_col).alias(key), *(F.col(c).alias(k) for k, c in values.items())) for t in (head, rest))
+    of_head = rows.join(F.broadcast(few), key)  # at most HEAD or GRAM_HEAD rows
+    return of_head.unionByName(rows.join(F.broadcast(few.select(key)), key, "left_anti").join(many, key))
+
+
+@dataclass
+class Weights:
+    """What n-grams of the head add to a score, by hash; which others may add something."""
+
+    hashes: np.ndarray
+    weights: np.ndarray
+    others: Bitmap
+
+
+def _folded(rows: np.ndarray, keys: np.ndarray, n: int) -> list:
+    """For each text its different keys, and how often it has each."""
+    order = np.lexsort((keys, rows))
+    rows, keys = rows[order], keys[order]
+    first = np.flatnonzero(np.append(True, (rows[1:] != rows[:-1]) | (keys[1:] != keys[:-1]))) if len(keys) else np.zeros(0, np.int64)
+    counts = np.diff(np.append(first, len(keys)))
+    return [W.ragged(pa.array(W.signed(keys[first])), rows[first], n), W.ragged(pa.array(counts.astype(np.int64)), rows[first], n)]
+
+
+def _score(shared):
+    """Per text: tokens, known ones, base and model scores of the head; words and n-grams below it with their counts."""
 
     def work(batch):
-        head, automaton = shared.value
-        base_of = np.append(np.log10((head.counts + 1) / (total + distinct + 1)), 0.0)  # the last for -1
-        uni_of = np.append(np.log10(np.maximum(head.counts - discount, 1e-300) / total) if total else head.counts * 0.0, 0.0)
+        head, base_of, root_of, grams = shared.value
+        names = [c for c in batch.schema.names if c != "_text"]
         for a, b, words in W.chunks(batch.column("_text"), W.SPACED_FOLDED):
             hashes, rows = _tokens(words)
             places = head.find(hashes)
+            codes = np.where(places >= 0, places, hashes.view(np.int64))
             n = b - a
-            ids = np.where(places < N_WORDS, places, -1)
-            weights = uni_of[places]
-            # Segments of SEGMENT tokens, entered two tokens early.
-            sizes = np.bincount(rows, minlength=n)
-            starts = np.cumsum(sizes) - sizes
-            pieces = (sizes + SEGMENT - 1) // SEGMENT
-            of = np.repeat(np.arange(n), pieces)
-            nth = np.arange(len(of)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
-            begin = starts[of] + nth * SEGMENT
-            end = np.minimum(begin + SEGMENT, starts[of] + sizes[of])
-            early = np.where(nth > 0, np.minimum(2, nth * SEGMENT), 0)
-            model = np.zeros(n)
-            order = np.argsort(end - begin, kind="stable")
-            for group in np.array_split(order, max(1, len(order) // 4096)):  # like lengths together
-                if not len(group):
-                    continue
-                width = int((end[group] - begin[group]).max()) + 2
-                at = begin[group][:, None] - 2 + np.arange(width)[None, :]
-                live = (at >= (begin[group] - early[group])[:, None]) & (at < end[group][:, None])
-                at = np.clip(at, 0, len(ids) - 1)
-                got = automaton.run(np.where(live, ids[at], -1), np.where(live, weights[at], 0.0))
-                got[:, :2] = 0  # the early steps only set the state
-                got *= live
-                model += np.bincount(of[group], got.sum(axis=1), n)
+            model = np.bincount(rows, root_of[places], n)
+            two = _pair(codes[:-1], codes[1:])
+            inside = rows[:-1] == rows[1:]
+            three = _pair(two[:-1], codes[2:])[inside[:-1] & inside[1:]]
+            of = np.concatenate([rows[:-1][inside], rows[:-2][inside[:-1] & inside[1:]]])
+            found = np.concatenate([two[inside], three])
+            if len(grams.hashes):
+                at = np.minimum(np.searchsorted(grams.hashes, found), len(grams.hashes) - 1)
+                hit = grams.hashes[at] == found
+                model += np.bincount(of[hit], grams.weights[at[hit]], n)
+                found, of = found[~hit], of[~hit]
+            maybe = grams.others.has(found)
             low = np.flatnonzero(places < 0)
             part = batch.slice(a, n)
             yield pa.RecordBatch.from_arrays(
                 [
-                    *(part.column(c) for c in batch.schema.names if c != "_text"),
-                    pa.array(sizes.astype(np.int64)),
+                    *(part.column(c) for c in names),
+                    pa.array(np.bincount(rows, minlength=n).astype(np.int64)),
                     pa.array(np.bincount(rows, places >= 0, n).astype(np.int64)),
                     pa.array(np.bincount(rows, base_of[places], n)),
                     pa.array(model),
-                    W.ragged(pa.array(W.signed(hashes[low])), rows[low], n),
+                    *_folded(rows[low], hashes[low], n),
+                    *_folded(of[maybe], found[maybe], n),
                 ],
-                names=[*(c for c in batch.schema.names if c != "_text"), "n_tokens", "known", "base", "model", "rare"],
+                names=[*names, "n_tokens", "known", "base", "model", "rare", "rare_n", "grams", "grams_n"],
             )
 
     return work
 
 
-def score(docs: DataFrame, learned: DataFrame, *, text_col: str = "text", keep: list[str]) -> DataFrame:
-    """The columns ``keep`` of each document with ``n_tokens, n_known, train_tokens, base_score, score``.
-
-    ``learned`` holds the learning texts in the column ``text_col``.
-    """
-    sc = docs.sparkSession.sparkContext
-    texts = learned.select(learned[text_col].cast("string").alias("_text"))
+def _learn(texts: DataFrame):
+    """The words with counts and failure weights below the head, what is broadcast, the n-grams' weights below the head, and sums."""
+    spark = texts.sparkSession
+    sc = spark.sparkContext
     words = cut(by_batch(texts, "word bigint, n bigint", _count_words).groupBy("word").agg(F.sum("n").alias("n")), "words")
-    sums = words.agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("distinct")).first()
-    total, distinct = sums["total"] or 0, sums["distinct"]
-    d1 = _discount(words)
-    top = _frequent(words, HEAD).toArrow()
+    sums = words.agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("distinct"), F.count_if(F.col("n") == 1).alias("once"), F.count_if(F.col("n") == 2).alias("twice")).first()
+    total, distinct, d1 = sums["total"] or 0, sums["distinct"], _discount(sums["once"], sums["twice"])
+    top, low_words = _split(words, HEAD)
+    top = top.toArrow()
     hashes, counts = top["word"].to_numpy().view(np.uint64), top["n"].to_numpy()
     by_count = np.lexsort((top["word"].to_numpy(), -counts))
     hashes, counts = hashes[by_count], counts[by_count]
@@ -262,31 +254,79 @@ def score(docs: DataFrame, learned: DataFrame, *, text_col: str = "text", keep:
     head = Head(hashes[by_hash], by_hash, counts)
     shared_head = sc.broadcast(head)
 
-    grams = []
-    for order in (2, 3):
-        counted = by_batch(texts, "gram bigint, n bigint", _count_grams(order, shared_head))
-        counted = cut(counted.groupBy("gram").agg(F.sum("n").alias("n")), f"grams{order}")
-        grams.append((_kept(counted), _discount(counted)))
-    frequent = counts[:N_WORDS]
-    (two, d2), (three, d3) = grams
-    automaton = _build((frequent - d1) / max(total, 1), frequent, two, three, d2, d3)
-    shared = sc.broadcast((head, automaton))
+    often = sc.broadcast(Bitmap(words.where("n > 1"), "word", BITS))
+    counted = by_batch(texts, "v bigint, w bigint, n bigint", _count_bigrams(shared_head, often)).groupBy("v", "w").agg(F.sum("n").alias("n"))
+    bigrams, d2 = _repeated(counted, "grams2")
+    bigrams = by_batch(bigrams, "v bigint, w bigint, gram bigint, n bigint", _name_bigrams)
+    often = sc.broadcast(Bitmap(bigrams, "gram", BITS))
+    counted = by_batch(texts, "u bigint, v bigint, w bigint, n bigint", _count_trigrams(shared_head, often)).groupBy("u", "v", "w").agg(F.sum("n").alias("n"))
+    trigrams, d3 = _repeated(counted, "grams3")
+    trigrams = by_batch(trigrams, "context bigint, inner bigint, gram bigint, n bigint", _name_trigrams)
+
+    # Failure weights of words.
+    taken = cut(bigrams.groupBy("v").agg(F.sum(F.col("n") - d2).alias("taken")), "taken")
+    of_head = taken.where("v >= 0").toArrow()  # at most HEAD rows
+    left = np.ones(len(counts))
+    left[of_head["v"].to_numpy()] -= of_head["taken"].to_numpy() / counts[of_head["v"].to_numpy()]
+    left = np.maximum(left, _LEAST)
+    failing = F.greatest(1 - F.coalesce("taken", F.lit(0.0)) / F.col("n"), F.lit(_LEAST))
+    low_words = cut(low_words.join(taken.withColumnRenamed("v", "word"), "word", "left").select("word", "n", failing.alias("left")), "low_words")
+    few = spark.createDataFrame(pa.table({"word": np.arange(len(counts)), "n": counts.astype(np.int64), "left": left}))
+
+    # What bigrams add, and their failure weights.
+    states = _attach(bigrams, "v", few, low_words, n_v="n", left2="left")
+    states = _attach(states, "w", few, low_words, n_w="n")
+    alone = F.col("left2") * (F.col("n_w") - d1) / float(max(total, 1))
+    states = states.select("gram", "n", alone.alias("alone"), ((F.col("n") - d2) / F.col("n_v") + alone).alias("p"))
+    taken = trigrams.groupBy(F.col("context").alias("gram")).agg(F.sum(F.col("n") - d3).alias("taken"))
+    states = states.join(taken, "gram", "left").select("gram", "n", "p", failing.alias("left"), F.log10(F.col("p") / F.col("alone") * failing).alias("weight"))
+    states = cut(states, "states")
+
+    # What trigrams add.
+    few, many = _split(states, GRAM_HEAD)
+    few = cut(few, "few_states")
+    arcs = _attach(trigrams, "context", few, many, n_c="n", left3="left")
+    arcs = _attach(arcs, "inner", few, many, p2="p")
+    lower = F.col("left3") * F.col("p2")
+    arcs = cut(arcs.select("gram", "n", F.log10(((F.col("n") - d3) / F.col("n_c") + lower) / lower).alias("weight")), "arcs")
+    few_arcs, many_arcs = _split(arcs, GRAM_HEAD)
+    grams = few.select("gram", "weight").union(few_arcs.select("gram", "weight")).toArrow()
+    low_grams = many.select("gram", "weight").union(many_arcs.select("gram", "weight"))
+    hashes = grams["gram"].to_numpy().view(np.uint64)
+    order = np.argsort(hashes)
+    weights = Weights(hashes[order], grams["weight"].to_numpy()[order], Bitmap(low_grams, "gram", BITS))
+    base_of = np.append(np.log10((counts + 1) / (total + distinct + 1)), 0.0)  # the last for -1
+    root_of = np.append(np.log10((counts - d1) / max(total, 1) * left), 0.0)
+    return low_words, sc.broadcast((head, base_of, root_of, weights)), low_grams, (total, distinct, d1)
+
+
+def score(docs: DataFrame, learned: DataFrame, *, text_col: str = "text", keep: list[str]) -> DataFrame:
+    """The columns ``keep`` of each document with ``n_tokens, n_known, train_tokens, base_score, score``.
+
+    ``learned`` holds the learning texts in the column ``text_col``.
+    """
+    low_words, shared, low_grams, (total, distinct, d1) = _learn(learned.select(learned[text_col].cast("string").alias("_text")))
 
     rows = docs.select(F.monotonically_increasing_id().alias("_row"), *(docs[c].alias(f"k_{c}") for c in keep), docs[text_col].cast("string").alias("_text"))
     types = ", ".join(f"`{c}` {t}" for c, t in rows.drop("_text").dtypes)
-    found = by_batch(rows, f"{types}, n_tokens bigint, known bigint, base double, model double, rare array<bigint>", _score(shared, total, distinct, d1))
+    lists = "rare array<bigint>, rare_n array<bigint>, grams array<bigint>, grams_n array<bigint>"
+    found = by_batch(rows, f"{types}, n_tokens bigint, known bigint, base double, model double, {lists}", _score(shared))
     found = cut(found, "scored")
-    rare = found.select("_row", F.explode("rare").alias("word")).groupBy("_row", "word").agg(F.count(F.lit(1)).alias("k"))
+    rare = found.select("_row", F.explode(F.arrays_zip("rare", "rare_n")).alias("x")).select("_row", F.col("x.rare").alias("word"), F.col("x.rare_n").alias("k"))
     # The one unknown word has what the discount leaves of the words that are known.
     unknown = d1 * distinct / total if total else 1.0
     c = F.coalesce("n", F.lit(0))
-    chance = F.when(c > 0, (c - d1) / float(max(total, 1))).otherwise(unknown)
-    sums = rare.join(words, "word", "left").groupBy("_row").agg(
-        F.sum(F.when(c > 0, F.col("k")).otherwise(0)).alias("more"),
-        F.sum(F.col("k") * F.log10((c + 1) / float(total + distinct + 1))).alias("more_base"),
-        F.sum(F.col("k") * F.log10(chance)).alias("more_model"),
+    chance = F.when(c > 0, (c - d1) / float(max(total, 1)) * F.col("left")).otherwise(unknown)
+    of_words = rare.join(low_words, "word", "left").select(
+        "_row",
+        F.when(c > 0, F.col("k")).otherwise(0).alias("more"),
+        (F.col("k") * F.log10((c + 1) / float(total + distinct + 1))).alias("more_base"),
+        (F.col("k") * F.log10(chance)).alias("more_model"),
     )
-    return found.drop("rare").join(sums, "_row", "left").select(
+    grams = found.select("_row", F.explode(F.arrays_zip("grams", "grams_n")).alias("x")).select("_row", F.col("x.grams").alias("gram"), F.col("x.grams_n").alias("k"))
+    of_grams = grams.join(low_grams, "gram").select("_row", F.lit(0).cast("long").alias("more"), F.lit(0.0).alias("more_base"), (F.col("k") * F.col("weight")).alias("more_model"))
+    sums = of_words.union(of_grams).groupBy("_row").agg(*(F.sum(x).alias(x) for x in ("more", "more_base", "more_model")))
+    return found.drop("rare", "rare_n", "grams", "grams_n").join(sums, "_row", "left").select(
         *(F.col(f"k_{c}").alias(c) for c in keep),
         "n_tokens",
         (F.col("known") + F.coalesce("more", F.lit(0))).cast("long").alias("n_known"),

@@ -259,6 +259,48 @@ def test_lm_automaton_equals_direct_interpolation(spark):
         assert got[i]["score"] == pytest.approx(expected, rel=1e-6)
 
 
+def test_lm_counts_grams_of_all_words(spark, monkeypatch):
+    common = [" ".join(f"c{i}" for i in range(17000))] * 3  # more words, and more frequent ones, than the cap once left
+    texts = common + ["rare pair of words", "a rare pair of words", "one rare pair"]
+    query = [(1, "rare pair of words"), (2, "a rare pair c5 c6 c7 of unheard words"), (3, None), (4, "pair pair rare"), (4, "pair pair rare")]
+    streams = [WORD.findall(t) + ["\x00"] for t in texts]
+    c = [collections.Counter(tuple(s[i : i + n]) for s in streams for i in range(len(s) - n + 1)) for n in (1, 2, 3)]
+    once, twice = ([sum(v == k for v in x.values()) for x in c] for k in (1, 2))
+    d = [min(0.95, max(0.1, a / (a + 2 * b))) if a else 0.5 for a, b in zip(once, twice)]
+    total, taken = sum(c[0].values()), collections.Counter()
+    for n in (1, 2):
+        for k, v in c[n].items():
+            if v > 1:
+                taken[k[:-1]] += v - d[n]
+
+    def p(history, w):
+        n = len(history)
+        if not n:
+            return (c[0][(w,)] - d[0]) / total if c[0][(w,)] else d[0] * len(c[0]) / total
+        if c[n - 1][history] < n:  # contexts of two words are states if they occur twice
+            return p(history[1:], w)
+        v = c[n][(*history, w)]
+        return (v - d[n] if v > 1 else 0) / c[n - 1][history] + (1 - taken[history] / c[n - 1][history]) * p(history[1:], w)
+
+    rows = spark.createDataFrame([(t,) for t in texts], "text string").repartition(3)
+    asked = spark.createDataFrame(query, "doc_id long, text string")
+    for head, gram_head, join in ((1 << 18, 1 << 17, "10m"), (17000, 17000, "-1"), (1, 1, "-1")):
+        monkeypatch.setattr(lmscore, "HEAD", head)
+        monkeypatch.setattr(lmscore, "GRAM_HEAD", gram_head, raising=False)
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", join)
+        try:
+            got = lmscore.score(asked, rows, keep=["doc_id"]).collect()
+        finally:
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        assert len(got) == len(query)
+        for i, text in query:
+            s = WORD.findall(text or "") + ["\x00"]
+            expected = sum(math.log10(p(tuple(s[max(0, j - 2) : j]), w)) for j, w in enumerate(s))
+            for r in got:
+                if r["doc_id"] == i:
+                    assert r["score"] == pytest.approx(expected, rel=1e-9) and r["n_known"] == sum(c[0][(w,)] > 0 for w in s)
+
+
 def test_lm_of_odd_texts(odd, none):
     assert lmscore.score(odd, odd, keep=["doc_id", "word"]).count() == len(ODD)
     untaught = lmscore.score(odd, none, keep=["doc_id"]).collect()
