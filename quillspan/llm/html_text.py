@@ -2,11 +2,13 @@
 
 The standard library's parser streams events over the whole page. Block elements cut it into lines; a line knows
 its text, its tags, its links and the elements around it. Lines inside elements that never hold the article (by
-element, or by a word of their class, id or role) are left out from the start. The ratio of text to tags of the
-other lines is smoothed by a Gaussian over neighbouring lines, and one-dimensional two-means clustering finds the
-threshold above which lines are content. The region is the innermost element that holds nearly all content, and all
-its lines are the text: short paragraphs between long ones are not lost. Where that element says nothing about
-itself (neither article nor main), lines that are mostly links are left out.
+element, or by a word of their class, id or role) are left out from the start; such a word says nothing on an element
+that holds more than half of the page's text, unless an article or main with text lies beside it. The ratio of text to
+tags of the other lines is smoothed by a Gaussian over neighbouring lines, and one-dimensional two-means clustering
+finds the threshold above which lines are content. The innermost element that holds nearly all content leads to the
+region: the nearest article or main around it, or else the innermost element that holds all content. All lines of the
+region are the text: titles and short paragraphs beside long ones are not lost. Where no article or main is around
+them, lines that are mostly links are left out.
 
 Pages are handled one by one inside Spark's tasks; a worker holds one page's lines at a time.
 
@@ -53,10 +55,13 @@ _CUT_TAG = re.compile(r"<[A-Za-z/!?][^>]*\Z")
 class _Lines(HTMLParser):
     """Collects lines as ``[text parts, tags, link characters, element]``."""
 
-    def __init__(self):
+    def __init__(self, trusted: frozenset = frozenset()):
         super().__init__(convert_charrefs=True)
+        self.trusted = trusted  # hinted elements, by their order, whose hint is ignored
+        self.size = 0  # of the text so far, without what is in elements that never hold the article
+        self.hinted, self.named = [], []  # [from, to] in that text
         self.parents, self.names = [-1], ["#page"]  # by element
-        self.stack = [("#page", 0, False)]  # name, element, left out
+        self.stack = [("#page", 0, False, False, None)]  # name, element, left out, by an element's name, span
         self.links = 0
         self.lines = []
         self.fresh = True
@@ -73,14 +78,22 @@ class _Lines(HTMLParser):
             self.lines[-1][1] += 1
         if tag in _VOID:
             return
-        left_out = self.stack[-1][2] or tag in _NEVER or (tag not in _OPEN and self._hinted(attrs))
+        never, span = self.stack[-1][3] or tag in _NEVER, None
+        left_out = self.stack[-1][2] or never
+        if tag in ("article", "main"):
+            span = [self.size, None]
+            self.named.append(span)
+        elif tag not in _OPEN and not never and self._hinted(attrs):
+            left_out |= len(self.hinted) not in self.trusted
+            span = [self.size, None]
+            self.hinted.append(span)
         element = self.stack[-1][1]
         if tag not in _INLINE:
             element = len(self.parents)
             self.parents.append(self.stack[-1][1])
             self.names.append(tag)
         self.links += tag == "a"
-        self.stack.append((tag, element, left_out))
+        self.stack.append((tag, element, left_out, never, span))
 
     def handle_startendtag(self, tag, attrs):
         if tag not in _INLINE:
@@ -97,7 +110,9 @@ class _Lines(HTMLParser):
                 return
 
     def handle_data(self, data):
-        _, element, left_out = self.stack[-1]
+        _, element, left_out, never, _ = self.stack[-1]
+        if not never:
+            self.size += sum(map(len, data.split()))
         if left_out or not data:
             return
         if self.fresh or self.lines[-1][3] != element:
@@ -120,9 +135,23 @@ class _Lines(HTMLParser):
                 return
 
     def _pop(self, i):
-        self.links -= sum(name == "a" for name, _, _ in self.stack[i:])
+        self.links -= sum(x[0] == "a" for x in self.stack[i:])
+        for *_, span in self.stack[i:]:
+            if span:
+                span[1] = self.size
         del self.stack[i:]
 
+    def close(self):
+        super().close()
+        self._pop(1)
+
+    def misleading(self) -> frozenset:
+        """The hinted elements that hold more than half of the text, with no article or main beside them."""
+        named = [x for x in self.named if x[0] < x[1]]
+        return frozenset(
+            i for i, (a, b) in enumerate(self.hinted) if 2 * (b - a) > self.size and not any(y <= a or x >= b for x, y in named)
+        )
+
     @staticmethod
     def _hinted(attrs) -> bool:
         said = " ".join(v for k, v in attrs if v and k in ("class", "id", "role"))
@@ -151,9 +180,14 @@ def main_text(html: str | None) -> str:
     """The text of the page's main content, blocks joined by one blank."""
     if not html:
         return ""
+    html = _CUT_TAG.sub("", html)
     parser = _Lines()
-    parser.feed(_CUT_TAG.sub("", html))
+    parser.feed(html)
     parser.close()
+    if misleading := parser.misleading():
+        parser = _Lines(misleading)
+        parser.feed(html)
+        parser.close()
     lines = [(" ".join("".join(parts).split()), tags, links, element) for parts, tags, links, element in parser.lines]
     lines = [x for x in lines if x[0]]
     if not lines:
@@ -166,6 +200,13 @@ def main_text(html: str | None) -> str:
         weight[parser.parents[e]] += weight[e]
     enough = SHARE * weight[0]
     region = int(np.flatnonzero(weight >= enough)[-1]) if weight[0] else 0
+    named = region
+    while named and parser.names[named] not in ("article", "main"):
+        named = parser.parents[named]
+    if named:
+        region = named
+    elif weight[0]:
+        region = int(np.flatnonzero(weight >= weight[0])[-1])
     # The innermost element that is no single block of text: a lone long paragraph stands for its parent.
     while region and parser.names[region] in ("p", "h1", "h2", "h3", "h4", "h5", "h6", "li", "pre", "blockquote", "td", "dd", "dt", "tr", "ul", "ol"):
         region = parser.parents[region]
@@ -173,9 +214,6 @@ def main_text(html: str | None) -> str:
     inside[region] = True
     for e in range(region + 1, len(inside)):
         inside[e] = inside[parser.parents[e]]
-    named = region
-    while named and parser.names[named] not in ("article", "main"):
-        named = parser.parents[named]
     return " ".join(text for text, _, links, element in lines if inside[element] and (named or links <= LINKS * len(text)))
 
 

@@ -323,6 +323,20 @@ def test_page_text():
     assert html_text.main_text("<div>" * 3000 + "deep") == "deep"
 
 
+def test_page_text_keeps_the_whole_article():
+    words = lambda n, x: " ".join([x] * n)
+    a, b, lead = words(500, "abc"), words(75, "def"), words(25, "ghi")
+    parts = f"<h1>T</h1><p>{lead}</p><section><p>{a}</p></section><section><p>{b}</p></section>"
+    whole = f"T {lead} {a} {b}"
+    menu = "<ul><li><a href=1>Home</a></li><li><a href=2>About</a></li></ul>"
+    for page in (f"<body>{menu}<article>{parts}</article></body>", f"<body>{menu}<main><div>{parts}</div></main></body>", f"<body>{menu}<div><div>{parts}</div></div></body>"):
+        assert html_text.main_text(page) == whole
+    for name in ("content layout-sidebar-right", "post-header"):
+        assert html_text.main_text(f"<body>{menu}<div class='{name}'>{parts}</div></body>") == whole
+        assert html_text.main_text(f"<body>{menu}<div class='{name}'>{parts}") == whole
+        assert html_text.main_text(f"<body><article>{parts}</article><div class='{name}'><p>{words(900, 'xyz')}</p></div></body>") == whole
+
+
 def test_page_text_of_the_table(spark):
     import html as h
 
