@@ -1,80 +1,185 @@
 """Licence scans: sparse TF-IDF cosine of files to licence templates, then inheritance along paths.
 
-A file's candidates are its lines that speak of a licence (the header of a source file, a whole licence file);
-each line and each template is a sparse vector of words weighted by TF-IDF, with the inverse document frequencies
-of the templates. Words meet in a join, products are summed per line and template, and the best template of a file
-is its own licence if the cosine reaches ``cosine``. A licence file (or the first licensed file of a directory,
-where ``licence_file`` says so) gives its licence to its directory. Every file without one of its own inherits from the
-nearest ancestor directory that has one, by one join of the file's ancestor paths.
-
-Only DataFrame functions run. The scan keeps lines with a word of a licence and nothing else, distinct lines are
-scored once, and joins are by word (of the templates alone), by line and by path, each with partial sums; what is
-large is never broadcast by hint.
-
-Defined results: null and empty texts have no licence of their own; a null path is the root; ties of cosine go to the
+A template is a notice, the header of a source file, or a licence's text (of the long licences their title and opening).
+A file's words are one sequence, whatever its lines and comment marks. Wherever it has a word that speaks of a licence
+and that a template has, too, the window of the template's length that lines the two words up is a candidate; so
+wrapped headers, whole licence files and notices inside long lines are met as a whole and nothing dilutes them. Each
+window and its template are sparse vectors of words weighted by TF-IDF, with the inverse document frequencies of the
+templates. Words meet in a join, products are summed per window and template, and of the templates whose cosine
+reaches ``cosine`` the one with the most matched weight (its length times the cosine to the power of ``CLOSENESS``) is
+the file's own licence: a whole text outweighs a lone "All rights reserved". A licence file (or the first licensed file
+of a directory, where ``licence_file`` says so) gives its licence to its directory. Every file without one of its own
+inherits from the nearest ancestor directory that has one, by one join of the file's ancestor paths.
+
+Only DataFrame functions run. The scan keeps files with such a word and nothing else, distinct windows are scored once,
+and joins are by word (of the templates alone), by window and by path, each with partial sums; what is large is never
+broadcast by hint, templates are.
+
+Defined results: null and empty texts have no licence of their own; a null path is the root; ties go to the
 smaller licence name, ties of directory files to the smaller path; repeated files each have a result; without
 templates no file has a licence; an empty table gives no rows; other columns are ignored or kept by ``keep``.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from quillspan.llm.common import cut
 from quillspan.llm.registry import query, table
 
-COSINE = 0.6
-
-# Short forms of licence notices, as their texts ask for.
+COSINE, CLOSENESS = 0.6, 4
+
+# Notices, headers and texts of licences, as they ask for.
+_AS_IS = (
+    'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, '
+    "THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE "
+    "LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR "
+    "SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR "
+    "TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+)
+_BSD = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: "
+    "1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. "
+    "2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation "
+    "and/or other materials provided with the distribution. "
+)
+_GNU = (
+    "This program is free software: you can redistribute it and/or modify it under the terms of the GNU {0} as published by the Free Software Foundation, "
+    "either version {1} of the License, or (at your option) any later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY "
+    "WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU {0} for more details."
+)
+_VERBATIM = "Everyone is permitted to copy and distribute verbatim copies of this license document, but changing it is not allowed."
+_CC = (
+    "Creative Commons {0} 4.0 International Public License By exercising the Licensed Rights (defined below), You accept and agree to be bound by the terms "
+    'and conditions of this Creative Commons {0} 4.0 International Public License ("Public License").'
+)
 TEMPLATES = {
-    "Apache-2.0": "Licensed under the Apache License, Version 2.0.",
-    "BSD-3-Clause": "Redistribution and use in source and binary forms, with or without modification, are permitted.",
-    "CC-BY-4.0": "Licensed under CC BY 4.0.",
-    "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0.",
-    "CC-BY-SA-4.0": "Licensed under CC BY-SA 4.0.",
-    "CC0-1.0": "To the extent possible under law, the author has waived all copyright. CC0 1.0 Universal.",
-    "GPL-2.0": "This work is licensed under the GNU General Public License, version 2.",
-    "GPL-3.0": "This work is licensed under the GNU General Public License, version 3.",
-    "LGPL-3.0": "This work is licensed under the GNU Lesser General Public License, version 3.",
-    "MIT": "Released under the MIT License.",
-    "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
-    "Proprietary": "All rights reserved.",
+    "Apache-2.0": [
+        "Licensed under the Apache License, Version 2.0.",
+        'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may obtain a copy of '
+        "the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, software distributed under the License "
+        'is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language '
+        "governing permissions and limitations under the License.",
+        "Apache License Version 2.0, January 2004 http://www.apache.org/licenses/ TERMS AND CONDITIONS FOR USE, REPRODUCTION, AND DISTRIBUTION 1. Definitions. "
+        '"License" shall mean the terms and conditions for use, reproduction, and distribution as defined by Sections 1 through 9 of this document.',
+    ],
+    "BSD-2-Clause": [_BSD + _AS_IS],
+    "BSD-3-Clause": [
+        "Redistribution and use in source and binary forms, with or without modification, are permitted.",
+        _BSD + "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software "
+        "without specific prior written permission. " + _AS_IS,
+    ],
+    "CC-BY-4.0": ["Licensed under CC BY 4.0.", _CC.format("Attribution")],
+    "CC-BY-NC-4.0": ["Licensed under CC BY-NC 4.0.", _CC.format("Attribution-NonCommercial")],
+    "CC-BY-SA-4.0": ["Licensed under CC BY-SA 4.0.", _CC.format("Attribution-ShareAlike")],
+    "CC0-1.0": [
+        "To the extent possible under law, the author has waived all copyright. CC0 1.0 Universal.",
+        "To the extent possible under law, the author(s) have dedicated all copyright and related and neighboring rights to this software to the public domain "
+        "worldwide. This software is distributed without any warranty.",
+        "Creative Commons Legal Code CC0 1.0 Universal CREATIVE COMMONS CORPORATION IS NOT A LAW FIRM AND DOES NOT PROVIDE LEGAL SERVICES.",
+    ],
+    "GPL-2.0": [
+        "This work is licensed under the GNU General Public License, version 2.",
+        _GNU.format("General Public License", 2),
+        "GNU GENERAL PUBLIC LICENSE Version 2, June 1991 Copyright (C) 1989, 1991 Free Software Foundation, Inc. " + _VERBATIM,
+    ],
+    "GPL-3.0": [
+        "This work is licensed under the GNU General Public License, version 3.",
+        _GNU.format("General Public License", 3),
+        "GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007 Copyright (C) 2007 Free Software Foundation, Inc. " + _VERBATIM,
+    ],
+    "LGPL-3.0": [
+        "This work is licensed under the GNU Lesser General Public License, version 3.",
+        _GNU.format("Lesser General Public License", 3),
+        "GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007 Copyright (C) 2007 Free Software Foundation, Inc. " + _VERBATIM,
+    ],
+    "MIT": [
+        "Released under the MIT License.",
+        'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in '
+        "the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of "
+        "the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this "
+        "permission notice shall be included in all copies or substantial portions of the Software. THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, "
+        "EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE "
+        "AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR "
+        "IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.",
+    ],
+    "MPL-2.0": [
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain "
+        "one at http://mozilla.org/MPL/2.0/.",
+        "Mozilla Public License Version 2.0 1. Definitions 1.1. Contributor means each individual or legal entity that creates, contributes to the creation of, or owns "
+        "Covered Software.",
+    ],
+    "Proprietary": ["All rights reserved."],
 }
-_SPEAKS = r"(?i)licen[sc]|copyright|rights reserved|redistribution|public domain|cc0|spdx"
+_SPEAKS = r"licen[sc]|copyright|rights|redistribution|public domain|cc0|spdx"
+_WORD = "[a-z0-9]+(?:[.-][a-z0-9]+)*"
 
 
 def _words(text: Column) -> Column:
-    return F.regexp_extract_all(F.lower(text), F.lit("[a-z0-9]+(?:[.-][a-z0-9]+)*"), F.lit(0))
+    return F.regexp_extract_all(F.lower(text), F.lit(_WORD), F.lit(0))
 
 
-def _vectors(lines: DataFrame, idf: DataFrame | None, key: str) -> DataFrame:
-    """``key, word, weight`` with weights of length 1; words outside ``idf`` count with the largest one."""
-    counts = lines.select(key, F.explode(_words(F.col("line"))).alias("word")).groupBy(key, "word").agg(F.count(F.lit(1)).alias("tf"))
-    weighted = counts.join(idf, "word", "left").withColumn("weight", F.col("tf") * F.coalesce("idf", F.lit(1.0)))
-    norms = weighted.groupBy(key).agg(F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("norm"))
-    return weighted.where("idf is not null").join(norms, key).select(key, "word", (F.col("weight") / F.col("norm")).alias("weight"))
+def _vectors(counts: DataFrame, idf: DataFrame, keys: list[str]) -> DataFrame:
+    """``keys, word, weight`` with weights of length 1, and that ``norm``; words outside ``idf`` count with 1."""
+    weighted = counts.join(F.broadcast(idf), "word", "left").withColumn("weight", F.col("tf") * F.coalesce("idf", F.lit(1.0)))
+    norms = weighted.groupBy(keys).agg(F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("norm"))
+    return weighted.where("idf is not null").join(norms, keys).select(*keys, "word", (F.col("weight") / F.col("norm")).alias("weight"), "norm")
 
 
-def template_table(spark: SparkSession, templates: dict[str, str] | None = None) -> DataFrame:
-    rows = [(k, v) for k, v in (TEMPLATES if templates is None else templates).items()]
+def template_table(spark: SparkSession, templates: dict[str, str | list[str]] | None = None) -> DataFrame:
+    given = (TEMPLATES if templates is None else templates).items()
+    rows = [(k, line) for k, v in given for line in ([v] if isinstance(v, str) else v)]
     return spark.createDataFrame(rows, "licence string, line string")
 
 
-def line_licences(lines: DataFrame, templates: DataFrame, cosine: float = COSINE) -> DataFrame:
-    """``line, licence, cosine``: the best template of each distinct line that reaches ``cosine``."""
-    words = templates.select("licence", F.explode(F.array_distinct(_words(F.col("line")))).alias("word"))
-    n = templates.count()
-    idf = words.groupBy("word").agg((1 + F.log((1.0 + n) / (1.0 + F.count(F.lit(1))))).alias("idf"))
-    given = _vectors(templates, idf, "licence").withColumnRenamed("weight", "w")
+def _anchors(texts: list[str]) -> list[tuple[str, int, int, int]]:
+    """``(word, place, template, words)``: where each template first has the words that speak of a licence (its first word if none does)."""
+    out = []
+    for i, text in enumerate(texts):
+        words = re.findall(_WORD, text.lower())
+        for word in {w for w in words if re.search(_SPEAKS, w)} or set(words[:1]):
+            out.append((word, words.index(word), i, len(words)))
+    return out
+
+
+def own_licences(files: DataFrame, templates: DataFrame, cosine: float = COSINE) -> DataFrame:
+    """``_row, own, own_cosine`` of the files (``_row, text``) in which a template reaches ``cosine``."""
+    spark = files.sparkSession
+    given = sorted({(r["licence"], r["line"]) for r in templates.collect() if r["licence"] is not None and r["line"]})
+    anchors = _anchors([line for _, line in given])
+    if not anchors:
+        return files.select("_row", F.lit(None).cast("string").alias("own"), F.lit(None).cast("double").alias("own_cosine")).limit(0)
+    numbered = spark.createDataFrame([(i, licence, line) for i, (licence, line) in enumerate(given)], "template int, licence string, line string")
+    counts = numbered.select("template", F.explode(_words(F.col("line"))).alias("word")).groupBy("template", "word").agg(F.count(F.lit(1)).alias("tf"))
+    counts = cut(counts, "template_words")
+    idf = counts.groupBy("word").agg((1 + F.log((1.0 + len(given)) / (1.0 + F.count(F.lit(1))))).alias("idf"))
+    vectors = _vectors(counts, idf, ["template"]).withColumnRenamed("weight", "w").withColumnRenamed("norm", "size")
+
+    speaking = sorted({a[0] for a in anchors})
+    said = files.where(F.col("text").rlike("(?i)" + "|".join(map(re.escape, speaking)))).select("_row", _words(F.col("text")).alias("words"))
+    places = F.filter(F.transform("words", lambda w, i: F.struct(w.alias("word"), i.alias("at"))), lambda x: x["word"].isin(speaking))
+    said = said.select("_row", "words", F.explode(places).alias("x")).select("_row", "words", "x.word", "x.at")
+    lined_up = said.join(F.broadcast(spark.createDataFrame(anchors, "word string, place int, template int, n int")), "word")
+    start = F.greatest(F.col("at") - F.col("place"), F.lit(0))
+    windows = lined_up.select("_row", "template", F.slice("words", start + 1, F.col("n")).alias("window"))
+    windows = cut(windows.withColumn("key", F.unhex(F.md5(F.concat_ws(" ", "window")))), "windows")
+    tf = windows.groupBy("template", "key").agg(F.first("window").alias("window"))
+    tf = tf.select("template", "key", F.explode("window").alias("word")).groupBy("template", "key", "word").agg(F.count(F.lit(1)).alias("tf"))
     scored = (
-        _vectors(lines.withColumn("at", F.col("line")), idf, "at")
-        .join(given, "word")
-        .groupBy("at", "licence")
-        .agg(F.sum(F.col("weight") * F.col("w")).alias("cosine"))
+        _vectors(tf, idf, ["template", "key"])
+        .join(F.broadcast(vectors), ["template", "word"])
+        .groupBy("template", "key")
+        .agg(F.round(F.sum(F.col("weight") * F.col("w")), 9).alias("cosine"), F.first("size").alias("size"))
         .where(F.col("cosine") >= cosine)
+        .join(F.broadcast(numbered.select("template", "licence")), "template")
     )
-    best = scored.groupBy("at").agg(F.min(F.struct((-F.round("cosine", 9)).alias("c"), "licence")).alias("b"))
-    return best.select(F.col("at").alias("line"), "b.licence", (-F.col("b.c")).alias("cosine"))
+    known = cut(scored.withColumn("matched", F.round(F.col("size") * F.pow("cosine", F.lit(CLOSENESS)), 6)), "known")
+    best = F.min(F.struct((-F.col("matched")).alias("m"), "licence", "cosine")).alias("b")
+    own = windows.select("_row", "template", "key").join(known, ["template", "key"]).groupBy("_row").agg(best)
+    return own.select("_row", F.col("b.licence").alias("own"), F.col("b.cosine").alias("own_cosine"))
 
 
 def scan_licences(
@@ -96,20 +201,19 @@ def scan_licences(
     templates = template_table(spark) if templates is None else templates
     path = F.coalesce(path.cast("string"), F.lit(""))
     speaks = F.coalesce(licence_file, F.lit(False)) if licence_file is not None else path.rlike(r"(?i)(^|/)(licen[sc]e|copying)[^/]*$")
-    lines = F.filter(F.split(F.coalesce(files[text_col].cast("string"), F.lit("")), "\n"), lambda x: x.rlike(_SPEAKS))
+    text = files[text_col].cast("string")
+    # Only texts with a word that some template is found by; equal to what ``own_licences`` looks at.
+    speaking = sorted({a[0] for a in _anchors([r["line"] for r in templates.select("line").collect() if r["line"]])})
     rows = files.select(
         F.monotonically_increasing_id().alias("_row"),
         *(files[c].alias(f"k_{c}") for c in keep),
         path.alias("path"),
         speaks.alias("speaks"),
-        F.array_distinct(lines).alias("lines"),
+        F.when(text.rlike("(?i)" + "|".join(map(re.escape, speaking)) if speaking else "(?!)"), text).alias("text"),
     )
-    rows = cut(rows, "lines")
-    said = rows.select("_row", F.explode("lines").alias("line"))
-    known = cut(line_licences(said.select("line").distinct(), templates, cosine), "known")
-    own = said.join(known, "line").groupBy("_row").agg(F.min(F.struct((-F.col("cosine")).alias("c"), "licence")).alias("b"))
-    own = own.select("_row", F.col("b.licence").alias("own"), (-F.col("b.c")).alias("own_cosine"))
-    rows = cut(rows.drop("lines").join(own, "_row", "left"), "own")
+    rows = cut(rows, "files")
+    own = own_licences(rows.select("_row", "text"), templates, cosine)
+    rows = cut(rows.drop("text").join(own, "_row", "left"), "own")
 
     parent = F.regexp_replace("path", "/?[^/]*$", "")
     speakers = rows.where("speaks and own is not null").groupBy(parent.alias("dir"))
@@ -139,9 +243,10 @@ def scan_licences(
 @query("op2_licences")
 def op2(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
-    # The corpus as a tree of source / thousand ids / ten ids / document, where the first document with a notice
-    # speaks for its directory.
+    # The corpus as a tree of source / thousand ids / ten ids. A third of the documents lies at each of its levels, and
+    # the first document with a notice speaks for its directory, so those below search their ancestors.
     folder = lambda n: F.floor(docs["doc_id"] / n).cast("string")
-    path = F.concat_ws("/", docs["source"], folder(1000), folder(10), docs["doc_id"].cast("string"))
+    level = F.crc32(docs["doc_id"].cast("string").cast("binary")) % 3
+    path = F.concat_ws("/", docs["source"], F.when(level > 0, folder(1000)), F.when(level > 1, folder(10)), docs["doc_id"].cast("string"))
     found = scan_licences(docs, path=path, licence_file=docs["doc_id"].isNotNull(), keep=["doc_id"])
     return found.withColumn("own_cosine", F.round("own_cosine", 6))

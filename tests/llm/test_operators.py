@@ -4,6 +4,7 @@ import collections
 import hashlib
 import math
 import re
+import textwrap
 import zlib
 
 import numpy as np
@@ -414,6 +415,40 @@ def test_licences_and_inheritance(spark, odd, none):
     assert licenses.scan_licences(none, path=none["source"], keep=["doc_id"]).count() == 0
 
 
+def test_licences_of_wrapped_headers_whole_files_and_long_lines(spark):
+    def wrapped(text, mark="# ", width=60):
+        return "\n".join(mark + x for x in textwrap.wrap(text, width))
+
+    gpl = (
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the "
+        "Free Software Foundation, either version {} of the License, or (at your option) any later version.\n\nThis program is distributed in the hope that it will "
+        "be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the GNU General "
+        "Public License for more details.\n\nYou should have received a copy of the GNU General Public License along with this program."
+    )
+    mit, bsd2, bsd3 = licenses.TEMPLATES["MIT"][1], licenses.TEMPLATES["BSD-2-Clause"][0], licenses.TEMPLATES["BSD-3-Clause"][1]
+    holder = "Copyright (c) 2020, Some Body. All rights reserved.\n\n"
+    code = "\n".join(f"x{i} = f{i}(y{i})" for i in range(300))
+    files = {
+        "gpl3.py": (wrapped("Tool of ours. Copyright (C) 2020 Some Body") + "\n#\n" + wrapped(gpl.format(3)) + "\n" + code, "GPL-3.0"),
+        "gpl2.c": (wrapped(gpl.format(2), " * ", 70) + "\n" + code, "GPL-2.0"),
+        "mit/LICENSE": ("MIT License\n\nCopyright (c) 2020 Some Body\n\n" + wrapped(mit, "", 75), "MIT"),
+        "grant.js": (wrapped(mit, "// ") + "\n" + code, "MIT"),
+        "bsd3/LICENSE": (holder + wrapped(bsd3, "", 75), "BSD-3-Clause"),
+        "bsd2/LICENSE": (holder + wrapped(bsd2, "", 75), "BSD-2-Clause"),
+        "long.txt": (prose(400, 1) + " Released under the MIT License. " + prose(400, 2), "MIT"),
+        "owned.py": ("# Copyright Some Body. All rights reserved.\n" + code, "Proprietary"),
+        "none.py": (code + "\n# the licence of the driver and its copyright are not known", None),
+    }
+    rows = spark.createDataFrame([(k, v[0]) for k, v in files.items()], "path string, text string")
+    got = {r["path"]: r["own"] for r in licenses.scan_licences(rows, path=rows["path"], keep=[]).collect()}
+    assert got == {k: v[1] for k, v in files.items()}
+
+
+def test_licence_query_searches_ancestors(spark):
+    rows = QUERIES["op2_licences"](spark, "/root/testdata/sf0.01").where("own is null and licence is not null").collect()
+    assert any(r["licence_from"] != r["path"].rpartition("/")[0] for r in rows)
+
+
 def test_pipeline_stages(spark, tmp_path):
     source = spark.read.parquet(f"{SMALL}/documents.parquet")
     columns, ids = source.columns, source.count()
