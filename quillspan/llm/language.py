@@ -9,8 +9,10 @@ different gram of a chunk is evaluated once, and a text's cross-entropies are su
 
 A second sample, disjoint from the first, calibrates: ``score`` is the softmax of the negative length-normalised
 cross-entropies at the sharpness that fits its labels best, and a text is ``rejected`` when its cross-entropy in
-the chosen language is further above that language's median than twice any calibration text of like length
-was. ``rejected`` never changes ``lang_pred``.
+the chosen language is further above that language's median, in relation to it, than ``MARGIN`` times the conformal
+``KEPT`` quantile of calibration texts of like length (within a factor of four). Languages with fewer than ``ENOUGH``
+such texts share the quantile of all languages, and lengths with fewer the one of the nearest length, which grows with
+the square root as texts get shorter. With fewer in every length, twice the largest but for one in a hundred stands for the quantile. ``rejected`` never changes ``lang_pred``.
 
 Defined results: a null text, or one without a letter, is ``und`` with score 0 and is rejected; without labelled
 rows every text is ``und``; ties go to the smaller language name; a null id is passed on and never learned from;
@@ -32,6 +34,7 @@ from quillspan.llm.common import by_batch, cut
 from quillspan.llm.registry import query, table
 
 ORDER, SAMPLE, MAX_LANGUAGES = 5, 2000, 200
+KEPT, ENOUGH, MARGIN, CLASSES = 0.995, 400, 1.25, 20
 UNKNOWN = "und"
 _BLANK = 32
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -95,7 +98,7 @@ class Model:
     floor: np.ndarray  # probability of a character by order 0
     sharpness: float = 10.0
     medians: np.ndarray | None = None  # of the cross-entropy by language
-    limits: np.ndarray | None = None  # how far above, times the square root of the length
+    limits: np.ndarray | None = None  # how far above, in medians, by language and class of length
 
     def log_probability(self, grams: np.ndarray) -> np.ndarray:
         p = np.repeat(self.floor[None, :], len(grams), axis=0)
@@ -214,14 +217,48 @@ def _calibrated(model: Model, held: DataFrame) -> Model:
         return np.mean(np.log(np.exp(-sharpness * (h - own[:, None])).sum(axis=1))) if len(lang) else sharpness
 
     model.sharpness = float(min((1.0, 2.0, 4.0, 8.0, 16.0, 32.0), key=loss))
-    model.medians, model.limits = np.full(n_languages, np.inf), np.full(n_languages, np.inf)
-    for i in range(n_languages):
-        if (mine := lang == i).any():
-            model.medians[i] = np.median(own[mine])
-            model.limits[i] = 2 * max(0.5, np.max((own[mine] - model.medians[i]) * np.sqrt(n[mine])))
+    if not len(lang):
+        return model
+    present = np.unique(lang)
+    medians = np.array([np.median(own[lang == i]) for i in present])
+    model.medians = np.full(n_languages, np.median(medians))
+    model.medians[present] = medians
+    model.limits = _limits(lang, n, own / model.medians[lang] - 1, n_languages)
     return model
 
 
+def _class_of(n: np.ndarray) -> np.ndarray:
+    """Lengths within a factor of four."""
+    return np.minimum(np.log2(np.maximum(n, 1)).astype(np.int64) // 2, CLASSES - 1)
+
+
+def _quantile(values: np.ndarray) -> float:
+    """The conformal quantile: a further value is above it with a chance of ``1 - KEPT`` at most, if there are enough."""
+    return max(0.0, float(np.sort(values)[min(len(values), int(np.ceil((len(values) + 1) * KEPT))) - 1]))
+
+
+def _limits(lang: np.ndarray, n: np.ndarray, above: np.ndarray, n_languages: int) -> np.ndarray:
+    """By language and class of length, from calibration texts that are ``above`` their language's median."""
+    of = _class_of(n)
+    classes = np.arange(CLASSES)
+    sizes = np.bincount(of, minlength=CLASSES)
+    known = np.flatnonzero(sizes >= ENOUGH)
+    if len(known):
+        nearest = known[np.abs(known[None, :] - classes[:, None]).argmin(axis=1)]
+        pooled = {c: _quantile(above[of == c]) for c in known}
+        shared = np.array([pooled[c] for c in nearest]) * 2.0 ** np.maximum(nearest - classes, 0)
+    else:  # too few at all: twice the largest but for one in a hundred, as for the shorter texts among them
+        typical = 2 * max(0.1, float(np.sort(above)[len(above) - 1 - len(above) // 100]))
+        shared = typical * 2.0 ** np.maximum(int(np.sort(of)[len(of) // 4]) - classes, 0)
+    limits = np.repeat(shared[None, :], n_languages, axis=0)
+    for i in range(n_languages):
+        for c in known:
+            mine = (lang == i) & (of == c)
+            if mine.sum() >= ENOUGH:
+                limits[i, c] = _quantile(above[mine])
+    return MARGIN * limits
+
+
 def identify(docs: DataFrame, model: Model, *, text_col: str = "text", keep: list[str]) -> DataFrame:
     """The columns ``keep`` of each document with ``lang_pred, score, cross_entropy, rejected``."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
@@ -247,7 +284,7 @@ def identify(docs: DataFrame, model: Model, *, text_col: str = "text", keep: lis
                 own = np.where(known, low, 0.0)
                 odd = ~known
                 if model.limits is not None:
-                    odd |= (low - model.medians[top]) * np.sqrt(n) > model.limits[top]
+                    odd |= low / model.medians[top] - 1 > model.limits[top, _class_of(n)]
             yield pa.RecordBatch.from_arrays(
                 [*(part.column(c) for c in kept), pa.array(names[best], pa.string()), pa.array(score), pa.array(own), pa.array(odd)],
                 names=[*kept, "lang_pred", "score", "cross_entropy", "rejected"],

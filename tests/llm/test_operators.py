@@ -189,6 +189,36 @@ def test_language_scores_on_held_out_texts(spark):
     assert sum(r["rejected"] for r in rows) <= 0.01 * len(rows)
 
 
+def test_language_rejects_foreign_and_random_texts(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = language.train(docs.where(language.bucket_of(F.col("doc_id"), 5) != 0))
+    rng = np.random.default_rng(1)
+    random = lambda n: " ".join("".join(chr(97 + c) for c in rng.integers(0, 26, 7)) for _ in range(n))
+    polish = (
+        "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. Są oni obdarzeni rozumem i sumieniem i powinni postępować "
+        "wobec innych w duchu braterstwa."
+    )
+    italian = (
+        "Tutti gli esseri umani nascono liberi ed eguali in dignità e diritti. Essi sono dotati di ragione e di coscienza e devono agire gli uni verso "
+        "gli altri in spirito di fratellanza."
+    )
+    texts = [random(10), random(30), random(300), polish, italian]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert [r["rejected"] for r in language.identify(rows, model, keep=["doc_id"]).orderBy("doc_id").collect()] == [True] * len(texts)
+    held = language.identify(docs.where(language.bucket_of(F.col("doc_id"), 5) == 0), model, keep=["doc_id"])
+    assert held.where("rejected").count() <= 0.01 * held.count()
+
+
+def test_language_limits_withstand_outliers_and_few_texts():
+    rng = np.random.default_rng(2)
+    n = rng.integers(300, 900, 2000)
+    lang, above = np.arange(2000) % 2, np.abs(rng.normal(0, 0.1, 2000))
+    clean = language._limits(lang, n, above, 3)
+    spoilt = language._limits(lang, n, np.where(np.arange(2000) == 7, 50.0, above), 3)
+    assert np.isfinite(clean).all() and (spoilt < 2 * clean).all()
+    assert np.isfinite(language._limits(lang[:5], n[:5], above[:5], 3)).all()
+
+
 def test_language_of_odd_texts(spark, odd, none):
     model = language.train(odd, lang_col="lang")
     by = by_id(language.identify(odd, model, keep=["doc_id", "kept"]))
