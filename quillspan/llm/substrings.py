@@ -1,4 +1,9 @@
-"""Removal of word sequences that occur more than once, by compaction of a De Bruijn graph.
+"""Removal of word sequences that occur more than once, by anchored paths of edges of a De Bruijn graph.
+
+Paths are not the maximal nonbranching paths of the graph: anchors (minimizers) replace the degrees of its nodes. A
+path is a run of edges of one text with the same anchor, cut inside that text, and "branching" means that one anchor
+has different paths. Joining edges on shared nodes would shuffle every edge of the corpus, again and again along a
+path; paths by anchors shuffle a few rows a text, and opening those that differ keeps the result exact.
 
 Edges are the k-mers of the token sequence: ``window`` consecutive words. Edges that follow each other in a
 document and share their anchor (the smallest hash of a ``gram``-word gram inside the edge, the first of
