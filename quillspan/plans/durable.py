@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import weakref
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 _scratch: dict[str, str] = {}
+_folders: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -32,4 +34,20 @@ def materialize(df: DataFrame, label: str = "cut") -> DataFrame:
     """Write ``df`` to the shared folder and read it back; the result has no lineage to lose."""
     folder = new_folder(df.sparkSession, label)
     df.write.parquet(folder)
-    return df.sparkSession.read.schema(df.schema).parquet(folder)
+    out = df.sparkSession.read.schema(df.schema).parquet(folder)
+    _folders[out] = folder
+    return out
+
+
+def delete_folder(spark: SparkSession, folder: str) -> None:
+    """Delete a folder by the file system that its path names."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def release(*frames: DataFrame) -> None:
+    """Delete the folders of results of :func:`materialize` that nothing unwritten is derived from any more."""
+    for frame in frames:
+        folder = _folders.pop(frame, None)
+        if folder is not None:
+            delete_folder(frame.sparkSession, folder)
