@@ -1,6 +1,7 @@
 """Importing this module registers the queries of this folder."""
 
 from quillspan.llm import (  # noqa: F401
+    codes,
     decontaminate,
     html_text,
     language,
@@ -8,7 +9,9 @@ from quillspan.llm import (  # noqa: F401
     lmscore,
     mixing,
     neardup,
+    pieces,
     quality,
+    resample,
     substrings,
     tokens,
 )
