@@ -23,6 +23,7 @@ table gives no rows; other columns are ignored, whatever their names.
 
 from __future__ import annotations
 
+import codecs
 import re
 import struct
 from dataclasses import dataclass, field
@@ -36,7 +37,8 @@ from quillspan.llm import words as W
 from quillspan.llm.common import by_batch
 from quillspan.llm.registry import query, table
 
-REMEMBERED = 400_000
+REMEMBERED = 200_000
+_CHUNK = W.CHUNK // 4
 _NONE = np.iinfo(np.int64).max
 
 # Fixed values of the model format: kinds of pieces, the mark of white space, and numbers of fields.
@@ -316,18 +318,20 @@ def _by_byte(error: UnicodeDecodeError):
     return "�" * (error.end - error.start), error.end
 
 
-def _encode(shared):
+def _encode(shared, decoded: bool):
     def work(batch):
+        codecs.register_error("by_byte", _by_byte)
         texts = batch.column("_text")
         names = [c for c in batch.schema.names if c != "_text"]
         totals = np.concatenate([[0], np.cumsum(np.diff(W.buffers(texts)[1]))])
         done = 0
         while done < batch.num_rows:
-            to = max(done + 1, int(np.searchsorted(totals, totals[done] + W.CHUNK // 2, side="right")) - 1)
+            to = max(done + 1, int(np.searchsorted(totals, totals[done] + _CHUNK, side="right")) - 1)
             part = batch.slice(done, to - done)
             ids, sizes = shared.value.of_texts([t or "" for t in part.column("_text").to_pylist()])
             lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)), pa.array(ids))
-            yield pa.RecordBatch.from_arrays([*(part.column(c) for c in names), lists], names=[*names, "ids"])
+            said = [pa.array(shared.value.decode(ids, sizes), pa.string())] if decoded else []
+            yield pa.RecordBatch.from_arrays([*(part.column(c) for c in names), lists, *said], names=[*names, "ids", *["decoded"] * decoded])
             done = to
 
     return work
@@ -335,8 +339,6 @@ def _encode(shared):
 
 def _decode(shared):
     def work(batch):
-        import codecs
-
         codecs.register_error("by_byte", _by_byte)
         names = [c for c in batch.schema.names if c != "_ids"]
         lists = batch.column("_ids")
@@ -355,12 +357,15 @@ def _load(df: DataFrame, model_path: str):
     return df.sparkSession.sparkContext.broadcast(Model.load(model_path))
 
 
-def encode(docs: DataFrame, model_path: str, *, text_col: str = "text", keep: list[str]) -> DataFrame:
-    """The columns ``keep`` of each document with ``ids``, the pieces of its text and the end id."""
+def encode(docs: DataFrame, model_path: str, *, text_col: str = "text", keep: list[str], decoded: bool = False) -> DataFrame:
+    """The columns ``keep`` of each document with ``ids``, the pieces of its text and the end id.
+
+    With ``decoded``, the text that these ids decode to as well, in the same pass.
+    """
     rows = docs.select(*(docs[c].alias(f"k_{c}") for c in keep), docs[text_col].cast("string").alias("_text"))
     types = ", ".join(f"`{c}` {t}" for c, t in rows.drop("_text").dtypes)
-    found = by_batch(rows, f"{types}{', ' if keep else ''}ids array<int>", _encode(_load(docs, model_path)))
-    return found.select(*(F.col(f"k_{c}").alias(c) for c in keep), "ids")
+    found = by_batch(rows, f"{types}{', ' if keep else ''}ids array<int>{', decoded string' * decoded}", _encode(_load(docs, model_path), decoded))
+    return found.select(*(F.col(f"k_{c}").alias(c) for c in keep), "ids", *["decoded"] * decoded)
 
 
 def decode(rows: DataFrame, model_path: str, *, ids_col: str = "ids", keep: list[str]) -> DataFrame:
@@ -376,7 +381,10 @@ def op13(spark, sf_dir):
     import public_tokenizers
 
     path = public_tokenizers.path("piece_bpe_32k.model")
-    found = encode(table(spark, sf_dir, "documents"), path, keep=["doc_id"])
-    found = found.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"), "ids")
-    said = decode(found, path, keep=["doc_id", "n_tokens", "ids_sha256"])
-    return said.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
+    found = encode(table(spark, sf_dir, "documents"), path, keep=["doc_id"], decoded=True)
+    return found.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
