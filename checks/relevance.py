@@ -18,6 +18,7 @@ from checks.registry import (
 from quillspan.functions import text as ta
 from quillspan.functions.rows import unnest
 from quillspan.plans.durable import new_folder
+from quillspan.plans.positions import Positions, match_positions, phrase_positions, read_positions, top_positions, write_positions
 from quillspan.plans.postings import match_postings, read_postings, write_postings
 from quillspan.sources.readers import spread
 
@@ -171,6 +172,38 @@ def phrase_prefix(table):
     return scored(table, q.phrase_prefix("text", "of th"))
 
 
+def positions(table) -> Positions:
+    folder = new_folder(table.spark, "positions")
+    write_positions(texts(table), ID, "text", folder, buckets=8, block_chars=1 << 16)
+    return read_positions(table.spark, folder)
+
+
+@check("q_match_positions", scored_sql(THREE, bm25_sql(THREE), all_sql(THREE)))
+def match_by_positions(table):
+    return match_positions(positions(table), "the of les", operator="and").withColumnRenamed("_id", ID)
+
+
+@check("q_top_positions", scored_sql(THREE, bm25_sql(THREE), any_sql(THREE)) + " ORDER BY score DESC, doc_id LIMIT 25")
+def top_by_positions(table):
+    return top_positions(positions(table), "the of les", 25).withColumnRenamed("_id", ID)
+
+
+@check(
+    "q_phrase_positions",
+    scored_sql(["of", "the"], bm25_sql(["of", "the"]), "contains(' ' || array_to_string(t, '  ') || ' ', ' of  the ')"),
+)
+def phrase_by_positions(table):
+    return phrase_positions(positions(table), "of the").withColumnRenamed("_id", ID)
+
+
+@check(
+    "q_phrase_prefix_positions",
+    scored_sql(["of"], bm25_sql(["of"]), "contains(' ' || array_to_string(t, '  ') || ' ', ' of  th')"),
+)
+def phrase_prefix_by_positions(table):
+    return phrase_positions(positions(table), "of th", last_is_prefix=True).withColumnRenamed("_id", ID)
+
+
 @check(
     "q_text_all_any_none",
     scored_sql(
