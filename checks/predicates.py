@@ -312,6 +312,27 @@ def terms_lookup_named(table):
     return hits.select("c_custkey", F.array_join("matched_queries", ",").alias("matched"))
 
 
+def baskets(table):
+    """Orders with the parts they hold."""
+    lines = table("lineitem").groupBy("l_orderkey").agg(F.sort_array(F.collect_set("l_partkey")).alias("parts"))
+    return lines.withColumn("parts", F.when(F.col("l_orderkey") % 7 != 0, F.col("parts")))
+
+
+HOLDS_SMALL = "l_orderkey % 7 <> 0 AND bool_or(l_partkey IN (SELECT p_partkey FROM part WHERE p_size <= 3))"
+
+
+@check("q_terms_lookup_array", f"SELECT l_orderkey, 1.0::DOUBLE AS score FROM lineitem GROUP BY l_orderkey HAVING {HOLDS_SMALL}")
+def terms_lookup_array(table):
+    small = q.terms_lookup("parts", table("part").where("p_size <= 3"), "p_partkey")
+    return q.search(baskets(table), "l_orderkey", filter=small, size=None, fields=["l_orderkey"]).hits
+
+
+@check("q_terms_lookup_array_not", f"SELECT l_orderkey, 1.0::DOUBLE AS score FROM lineitem GROUP BY l_orderkey HAVING NOT ({HOLDS_SMALL})")
+def terms_lookup_array_not(table):
+    small = q.terms_lookup("parts", table("part").where("p_size <= 3"), "p_partkey")
+    return q.search(baskets(table), "l_orderkey", filter=q.bool_(must_not=small), size=None, fields=["l_orderkey"]).hits
+
+
 @check(
     "q_sort_multi",
     "SELECT doc_id, toxic, n_chars FROM documents LEFT JOIN labels USING (doc_id) "

@@ -8,6 +8,7 @@ import quillspan as q
 from checks.registry import check
 from quillspan.operators.writes import KEY
 from quillspan.plans.durable import new_folder
+from quillspan.sources.buckets import BucketStore
 from quillspan.sources.store import SnapshotRepository, Store
 from quillspan.streaming.continuous import continuous_upsert
 
@@ -319,3 +320,33 @@ def stream_upsert(table):
     store.commit(customers(table))
     continuous_upsert(upsert_actions(table.stream), store, new_folder(spark, "progress")).awaitTermination()
     return store.read().select("_id", "_version", "segment", "grade", "balance")
+
+
+@check(
+    "q_stream_upsert_buckets",
+    f"WITH {UPSERTS} SELECT l.id AS _id, now AS _version, s.segment, l.grade, l.balance FROM l "
+    "LEFT JOIN e s ON s.id = l.id AND s.seq = l.seg_at",
+)
+def stream_upsert_buckets(table):
+    spark = table.spark
+    store = BucketStore(spark, new_folder(spark, "customers"), buckets=16)
+    store.commit(customers(table))
+    continuous_upsert(upsert_actions(table.stream), store, new_folder(spark, "progress")).awaitTermination()
+    return store.read().select("_id", "_version", "segment", "grade", "balance")
+
+
+# Only the customers of some segments are written to; the buckets of the others keep their files.
+@check(
+    "q_upsert_buckets",
+    "SELECT c_custkey::VARCHAR AS _id, (c_nationkey + 1 + coalesce(o.n, 0))::BIGINT AS _version, c_mktsegment AS segment, "
+    "CASE WHEN o.n > 0 THEN 'late' END AS grade, c_acctbal AS balance "
+    "FROM customer LEFT JOIN (SELECT o_custkey, 1 AS n FROM orders WHERE o_totalprice > 300000 GROUP BY 1) o ON o_custkey = c_custkey",
+)
+def upsert_buckets(table):
+    spark = table.spark
+    store = BucketStore(spark, new_folder(spark, "customers"), buckets=64)
+    store.commit(customers(table))
+    late = as_actions(table("orders").where("o_totalprice > 300000"), F.lit("index"), F.lit('{"grade": "late"}'))
+    docs = store.apply(late).docs
+    store.vacuum()
+    return docs.select("_id", F.col("_version"), "segment", "grade", "balance")

@@ -48,6 +48,7 @@ from quillspan.operators.writes import (
     merge_attempts,
     upsert,
 )
+from quillspan.sources.buckets import BucketStore
 from quillspan.sources.store import SnapshotRepository, Store, create_index, delete_index
 
 __all__ = [name for name in dir() if not name.startswith("_")]

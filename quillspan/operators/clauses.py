@@ -164,16 +164,21 @@ def terms_lookup(field: str, lookup: DataFrame, path: str, name: str | None = No
     """The field equals a value found at ``path`` of the lookup documents (a scalar or an array).
 
     The lookup rows become a set of values; membership is an EXISTS subquery, which Spark runs
-    as a semi, anti or existence join and broadcasts only if the set is small.
+    as a semi, anti or existence join and broadcasts only if the set is small. An array field matches
+    if one of its elements is such a value: the elements of its different arrays meet the set in a semi join, and
+    documents are then matched by their arrays, so no pair of a document and a value is ever tried.
     """
     shape = lookup.select(path).schema[0].dataType
     value = F.explode(F.col(path)) if isinstance(shape, T.ArrayType) else F.col(path)
     wanted = lookup.select(value.alias("_wanted")).where(F.col("_wanted").isNotNull()).distinct()
 
     def make(c):
-        if c.is_array(field):
-            raise ValueError("terms_lookup needs a scalar field")
-        return wanted.where(F.col("_wanted") == c.column(field).outer()).exists()
+        if not c.is_array(field):
+            return wanted.where(F.col("_wanted") == c.column(field).outer()).exists()
+        arrays = c.df.select(c.column(field).alias("_array")).distinct()
+        elements = arrays.select("_array", F.explode("_array").alias("_element")).distinct()
+        holding = elements.join(wanted, F.col("_element") == F.col("_wanted"), "left_semi").select("_array").distinct()
+        return holding.where(F.col("_array") == c.column(field).outer()).exists()
 
     return _predicate(f"terms_lookup({field})", make, name)
 

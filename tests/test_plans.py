@@ -55,6 +55,20 @@ def test_lookups_are_equi_joins(spark, plan):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_lookups_of_array_fields_are_equi_joins(spark, plan):
+    rows = [(1, ["a", None]), (2, []), (3, None), (4, ["b", "c"]), (5, [None]), (6, ["c", "b"]), (6, ["c", "b"]), (7, ["d"])]
+    docs = spark.createDataFrame(rows, "id int, tags array<string>")
+    for values, found in ((["a", "c", None], [1, 4, 6, 6]), ([], []), ([None], [])):
+        for lookup in (spark.createDataFrame([(v,) for v in values], "v string"), spark.createDataFrame([(values,)], "v array<string>")):
+            clause = q.terms_lookup("tags", lookup, "v", name="hit")
+            assert sorted(r["id"] for r in q.matching(docs, clause).collect()) == found
+            rest = q.matching(docs, q.bool_(must_not=clause))
+            assert sorted(r["id"] for r in rest.collect()) == sorted(i for i, _ in rows if i not in found)
+            assert "NestedLoop" not in plan(rest) and "Cartesian" not in plan(rest)
+    named = q.search(docs, "id", query=q.bool_(must=q.match_all(), should=q.terms_lookup("tags", spark.createDataFrame([("d",)], "v string"), "v", name="d")), size=None)
+    assert [r["id"] for r in named.hits.where(F.array_contains("matched_queries", "d")).collect()] == [7]
+
+
 def test_corpus_statistics_are_no_join(spark, plan):
     hits = q.search(read(spark, "documents"), "doc_id", query=q.match("text", "the of"), fields=["doc_id"]).hits
     text = plan(hits)
