@@ -27,7 +27,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from quillspan.llm import words as W
 from quillspan.llm.common import by_batch, cut
@@ -37,20 +37,24 @@ ORDER, SAMPLE, MAX_LANGUAGES = 5, 2000, 200
 KEPT, ENOUGH, MARGIN, CLASSES = 0.995, 400, 1.25, 20
 UNKNOWN = "und"
 _BLANK = 32
+_CHUNK = W.CHUNK // 4
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
 @lru_cache(maxsize=1)
-def _letters() -> np.ndarray:
-    """For each code point its lower-case letter or mark, or a blank."""
-    out = np.full(0x110000, _BLANK, np.uint32)
+def _letters() -> tuple[np.ndarray, np.ndarray]:
+    """For each code point its lower-case letter or mark, or a blank; whether it is a letter, not a mark."""
+    out, is_letter = np.full(0x110000, _BLANK, np.uint32), np.zeros(0x110000, bool)
     for c in range(0x80, 0x110000):
-        if unicodedata.category(chr(c))[0] in "LM":
+        kind = unicodedata.category(chr(c))[0]
+        if kind in "LM":
             low = chr(c).lower()
             out[c] = ord(low) if len(low) == 1 else c
+            is_letter[c] = kind == "L"
     for c in range(26):
         out[65 + c] = out[97 + c] = 97 + c
-    return out
+        is_letter[65 + c] = is_letter[97 + c] = True
+    return out, is_letter
 
 
 def _stream(data: np.ndarray, offsets: np.ndarray, order: int):
@@ -58,7 +62,8 @@ def _stream(data: np.ndarray, offsets: np.ndarray, order: int):
     data = data[offsets[0] : offsets[-1]]
     points = np.frombuffer(data.tobytes().decode("utf-8").encode("utf-32-le"), np.uint32)
     heads = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])[offsets - offsets[0]]
-    letters = _letters()[points]
+    lower, counted = _letters()
+    letters = lower[points]
     is_letter = letters != _BLANK
     before = np.concatenate([[False], is_letter[:-1]]) if len(letters) else is_letter
     before[heads[:-1][heads[:-1] < len(letters)]] = False
@@ -67,7 +72,7 @@ def _stream(data: np.ndarray, offsets: np.ndarray, order: int):
     out = np.full(len(kept) + (order - 1) * (len(offsets) - 1), _BLANK, np.uint32)
     at = np.arange(len(kept)) + (order - 1) * (rows + 1)
     out[at] = letters[kept]
-    return out, at, rows, np.bincount(rows[letters[kept] != _BLANK], minlength=len(offsets) - 1)
+    return out, at, rows, np.bincount(rows[counted[points[kept]]], minlength=len(offsets) - 1)
 
 
 def _hash(grams: np.ndarray) -> np.ndarray:
@@ -262,8 +267,11 @@ def _limits(lang: np.ndarray, n: np.ndarray, above: np.ndarray, n_languages: int
 def identify(docs: DataFrame, model: Model, *, text_col: str = "text", keep: list[str]) -> DataFrame:
     """The columns ``keep`` of each document with ``lang_pred, score, cross_entropy, rejected``."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    rows = docs.select(*(docs[c].alias(f"k_{c}") for c in keep), docs[text_col].cast("string").alias("_text"))
-    kept = [f"k_{c}" for c in keep]
+    # A text that is kept passes through the tasks once.
+    whole = docs.schema[text_col].dataType == T.StringType()
+    other = [c for c in keep if not (whole and c == text_col)]
+    rows = docs.select(*(docs[c].alias(f"k_{c}") for c in other), docs[text_col].cast("string").alias("_text"))
+    kept = [f"k_{c}" for c in other] + ["_text"] * (len(other) < len(keep))
 
     def work(batch):
         model = shared.value
@@ -271,7 +279,7 @@ def identify(docs: DataFrame, model: Model, *, text_col: str = "text", keep: lis
         data, offsets = W.buffers(batch.column("_text"))
         a = 0
         while a < batch.num_rows:
-            b = min(max(a + 1, int(np.searchsorted(offsets, offsets[a] + W.CHUNK // 2, side="right")) - 1), a + W.CHUNK_ROWS, batch.num_rows)
+            b = min(max(a + 1, int(np.searchsorted(offsets, offsets[a] + _CHUNK, side="right")) - 1), a + W.CHUNK_ROWS, batch.num_rows)
             part = batch.slice(a, b - a)
             best, score, own, odd = np.full(b - a, len(model.languages)), np.zeros(b - a), np.zeros(b - a), np.ones(b - a, bool)
             if model.languages:
@@ -291,9 +299,9 @@ def identify(docs: DataFrame, model: Model, *, text_col: str = "text", keep: lis
             )
             a = b
 
-    types = ", ".join(f"`{c}` {t}" for c, t in rows.drop("_text").dtypes)
+    types = ", ".join(f"`{c}` {t}" for c, t in rows.select(*kept).dtypes)
     found = by_batch(rows, f"{types}, lang_pred string, score double, cross_entropy double, rejected boolean", work)
-    return found.select(*(F.col(f"k_{c}").alias(c) for c in keep), "lang_pred", "score", "cross_entropy", "rejected")
+    return found.select(*(F.col(f"k_{c}" if c in other else "_text").alias(c) for c in keep), "lang_pred", "score", "cross_entropy", "rejected")
 
 
 def bucket_of(id_column, parts: int):

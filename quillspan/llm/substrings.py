@@ -92,7 +92,22 @@ def _repeated_paths(window: int, gram: int, repeated, branching):
     return work
 
 
-def _removed(batch):
+def _cut(texts: pa.Array, words: W.Words, gone: np.ndarray) -> pa.Array:
+    """The texts without the bytes of the words that are gone and the white space behind each."""
+    _, offsets = W.buffers(texts)
+    offsets = offsets - offsets[0]
+    last = np.append(words.rows[1:] != words.rows[:-1], True) if len(words.starts) else np.zeros(0, bool)
+    ends = np.where(last, words.ends, np.append(words.starts[1:], 0)[: len(last)])
+    depth = np.zeros(len(words.data) + 1, np.int8)
+    depth[words.starts[gone]] += 1
+    np.subtract.at(depth, ends[gone], 1)
+    stays = np.cumsum(depth[:-1]) == 0
+    left = np.concatenate([[0], np.cumsum(stays)])[offsets]
+    data = words.data[stays]
+    return pa.Array.from_buffers(pa.large_string(), len(texts), [None, pa.py_buffer(left.astype(np.int64)), pa.py_buffer(data)]).cast(pa.string())
+
+
+def _removed(batch, in_place: bool = False):
     """The kept words of each text, after checking each span against the words at its place."""
     kept_columns = [c for c in batch.schema.names if c.startswith("k_")]
     for a, b, words in W.chunks(batch.column("_text"), W.SPACED):
@@ -112,14 +127,18 @@ def _removed(batch):
         gone = np.cumsum(depth[:-1]) > 0
         kept = np.flatnonzero(~gone)
         kept_first = np.searchsorted(kept, words.first)
-        data, offsets = _joined(words, kept, kept_first)
+        if in_place:
+            left = _cut(part.column("_text"), words, gone)
+        else:
+            data, offsets = _joined(words, kept, kept_first)
+            left = pa.Array.from_buffers(pa.large_string(), b - a, [None, pa.py_buffer(offsets), pa.py_buffer(data)]).cast(pa.string())
         total = np.concatenate([[0], np.cumsum(gone)])
         yield pa.RecordBatch.from_arrays(
             [
                 *(part.column(c) for c in kept_columns),
                 pa.array(words.counts, pa.int64()),
                 pa.array(np.diff(total[words.first]), pa.int64()),
-                pa.Array.from_buffers(pa.large_string(), b - a, [None, pa.py_buffer(offsets), pa.py_buffer(data)]).cast(pa.string()),
+                left,
             ],
             names=[*kept_columns, "n_words", "n_removed", "kept_text"],
         )
@@ -151,8 +170,13 @@ def remove_repeats(
     window: int = WINDOW,
     gram: int = GRAM,
     keep: list[str] | None = None,
+    in_place: bool = False,
 ) -> DataFrame:
-    """One row per document: ``keep`` (the id), ``n_words, n_removed, kept_text`` (kept words joined by one blank)."""
+    """One row per document: ``keep`` (the id), ``n_words, n_removed, kept_text`` (kept words joined by one blank).
+
+    With ``in_place``, ``kept_text`` is the text without the removed words and the white space behind each of
+    them, otherwise as it was.
+    """
     spark = docs.sparkSession
     keep = [id_col] if keep is None else keep
     kept = [docs[c].alias(f"k_{c}") for c in keep]
@@ -181,7 +205,7 @@ def remove_repeats(
     spans = settled.unionByName(opened).groupBy("_key").agg(F.collect_set(F.struct("at", "n", "whole")).alias("spans"))
 
     types = ", ".join(f"`{c}` {t}" for c, t in rows.drop("_key", "_text").dtypes)
-    done = by_batch(rows.join(spans, "_key", "left").drop("_key"), f"{types}, n_words bigint, n_removed bigint, kept_text string", _removed)
+    done = by_batch(rows.join(spans, "_key", "left").drop("_key"), f"{types}, n_words bigint, n_removed bigint, kept_text string", lambda batch: _removed(batch, in_place))
     return done.select(*(F.col(f"k_{c}").alias(c) for c in keep), "n_words", "n_removed", "kept_text")
 
 
