@@ -35,16 +35,21 @@ from quillspan.llm import words as W
 from quillspan.llm.common import Bitmap, by_batch, cut
 from quillspan.llm.language import bucket_of
 from quillspan.llm.registry import query, table
+from quillspan.plans.durable import release
 
-HEAD, GRAM_HEAD, BITS = 1 << 18, 1 << 17, 27
+HEAD, GRAM_HEAD, BITS = 1 << 17, 1 << 17, 26
 #: Hashes of words have this bit, so as numbers they are below all places of the head.
 _TOP = np.uint64(1 << 63)
 #: The hash that stands for the end of a text.
 END = np.uint64(0x6A09E667F3BCC909) | _TOP
 #: Stands where a word does in the row that counts all positions.
 _ALL = 1 << 40
-_BASE = np.uint64(0x9E3779B97F4A7C15)
 _LEAST = 1e-12
+# The primes and the seed of the 64-bit xxHash, as Spark's xxhash64 uses them.
+_P1, _P2, _P3, _P4, _P5 = (
+    np.uint64(p) for p in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5)
+)
+_SEED = np.uint64(42)
 
 
 def _tokens(words: W.Words):
@@ -83,9 +88,20 @@ def _codes(head: Head, hashes: np.ndarray) -> np.ndarray:
     return np.where(places >= 0, places, hashes.view(np.int64))
 
 
+def _turned(x: np.ndarray, by: int) -> np.ndarray:
+    return (x << np.uint64(by)) | (x >> np.uint64(64 - by))
+
+
 def _pair(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """The hash of two successive words, or of an n-gram's hash and the next word."""
-    return W.mix(a.view(np.uint64) * _BASE + W.mix(b.view(np.uint64) + _BASE))
+    """What ``xxhash64(a, b)`` is in Spark: two successive words, or an n-gram's first and last part."""
+    h = np.full(len(a), _SEED)
+    for x in (a.view(np.uint64), b.view(np.uint64)):
+        h = (h + _P5 + np.uint64(8)) ^ (_turned(x * _P2, 31) * _P1)
+        h = _turned(h, 27) * _P1 + _P4
+        h = (h ^ (h >> np.uint64(33))) * _P2
+        h = (h ^ (h >> np.uint64(29))) * _P3
+        h = h ^ (h >> np.uint64(32))
+    return h
 
 
 def _count_bigrams(head, often):
@@ -115,31 +131,23 @@ def _count_trigrams(head, often):
         for _, _, words in W.chunks(batch.column("_text"), W.SPACED_FOLDED):
             hashes, rows = _tokens(words)
             codes = _codes(head.value, hashes)
-            state = often.value.has(_pair(codes[:-1], codes[1:])) & (rows[:-1] == rows[1:])
+            two = _pair(codes[:-1], codes[1:])
+            state = often.value.has(two) & (rows[:-1] == rows[1:])
             at = np.flatnonzero(state[:-1] & state[1:])
-            grams = _pair(_pair(codes[at], codes[at + 1]), codes[at + 2])
-            _, first, counts = np.unique(grams, return_index=True, return_counts=True)
+            _, first, counts = np.unique(_pair(two[at], two[at + 1]), return_index=True, return_counts=True)
             at, n = at[first], int((rows[2:] == rows[:-2]).sum())
             yield pa.RecordBatch.from_arrays(
-                [*(pa.array(np.append(codes[at + j], _ALL)) for j in range(3)), pa.array(np.append(counts, n).astype(np.int64))],
-                names=["u", "v", "w", "n"],
+                [
+                    pa.array(np.append(W.signed(two[at]), _ALL)),
+                    pa.array(np.append(W.signed(two[at + 1]), _ALL)),
+                    pa.array(np.append(counts, n).astype(np.int64)),
+                ],
+                names=["context", "inner", "n"],
             )
 
     return work
 
 
-def _name_bigrams(batch):
-    v, w = batch.column("v").to_numpy(), batch.column("w").to_numpy()
-    yield pa.RecordBatch.from_arrays([batch.column("v"), batch.column("w"), pa.array(W.signed(_pair(v, w))), batch.column("n")], names=["v", "w", "gram", "n"])
-
-
-def _name_trigrams(batch):
-    u, v, w = (batch.column(c).to_numpy() for c in "uvw")
-    context = _pair(u, v)
-    hashes = [pa.array(W.signed(x)) for x in (context, _pair(v, w), _pair(context, w))]
-    yield pa.RecordBatch.from_arrays([*hashes, batch.column("n")], names=["context", "inner", "gram", "n"])
-
-
 def _split(counted: DataFrame, most: int) -> tuple[DataFrame, DataFrame]:
     """The rows with a count that no more than ``most`` rows reach, and the others.
 
@@ -161,14 +169,14 @@ def _discount(once: int, twice: int) -> float:
     return min(0.95, max(0.1, once / (once + 2 * twice))) if once else 0.5
 
 
-def _repeated(counted: DataFrame, name: str) -> tuple[DataFrame, float]:
-    """The n-grams that occur twice at least, and the discount of their order."""
-    kept = cut(counted.where("n > 1 or w = %d" % _ALL), name)
-    is_all = F.col("w") == _ALL
+def _repeated(counted: DataFrame, first: str, last: str, name: str) -> tuple[DataFrame, DataFrame, float]:
+    """The n-grams that occur twice at least, by name, the table they are read from, and the discount of their order."""
+    is_all = (F.col(first) == _ALL) & (F.col(last) == _ALL)
+    kept = cut(counted.where((F.col("n") > 1) | is_all).withColumn("gram", F.xxhash64(first, last)), name)
     r = kept.agg(
         F.sum(F.when(is_all, F.col("n"))).alias("positions"), F.sum(F.when(~is_all, F.col("n"))).alias("n"), F.count_if(~is_all & (F.col("n") == 2)).alias("twice")
     ).first()
-    return kept.where(~is_all), _discount((r["positions"] or 0) - (r["n"] or 0), r["twice"])
+    return kept.where(~is_all), kept, _discount((r["positions"] or 0) - (r["n"] or 0), r["twice"])
 
 
 def _attach(rows: DataFrame, key: str, head: DataFrame, rest: DataFrame, **values: str) -> DataFrame:
@@ -211,7 +219,7 @@ def _score(shared):
             model = np.bincount(rows, root_of[places], n)
             two = _pair(codes[:-1], codes[1:])
             inside = rows[:-1] == rows[1:]
-            three = _pair(two[:-1], codes[2:])[inside[:-1] & inside[1:]]
+            three = _pair(two[:-1], two[1:])[inside[:-1] & inside[1:]]
             of = np.concatenate([rows[:-1][inside], rows[:-2][inside[:-1] & inside[1:]]])
             found = np.concatenate([two[inside], three])
             if len(grams.hashes):
@@ -256,12 +264,10 @@ def _learn(texts: DataFrame):
 
     often = sc.broadcast(Bitmap(words.where("n > 1"), "word", BITS))
     counted = by_batch(texts, "v bigint, w bigint, n bigint", _count_bigrams(shared_head, often)).groupBy("v", "w").agg(F.sum("n").alias("n"))
-    bigrams, d2 = _repeated(counted, "grams2")
-    bigrams = by_batch(bigrams, "v bigint, w bigint, gram bigint, n bigint", _name_bigrams)
+    bigrams, stored2, d2 = _repeated(counted, "v", "w", "grams2")
     often = sc.broadcast(Bitmap(bigrams, "gram", BITS))
-    counted = by_batch(texts, "u bigint, v bigint, w bigint, n bigint", _count_trigrams(shared_head, often)).groupBy("u", "v", "w").agg(F.sum("n").alias("n"))
-    trigrams, d3 = _repeated(counted, "grams3")
-    trigrams = by_batch(trigrams, "context bigint, inner bigint, gram bigint, n bigint", _name_trigrams)
+    counted = by_batch(texts, "context bigint, inner bigint, n bigint", _count_trigrams(shared_head, often)).groupBy("context", "inner").agg(F.sum("n").alias("n"))
+    trigrams, stored3, d3 = _repeated(counted, "context", "inner", "grams3")
 
     # Failure weights of words.
     taken = cut(bigrams.groupBy("v").agg(F.sum(F.col("n") - d2).alias("taken")), "taken")
@@ -271,6 +277,7 @@ def _learn(texts: DataFrame):
     left = np.maximum(left, _LEAST)
     failing = F.greatest(1 - F.coalesce("taken", F.lit(0.0)) / F.col("n"), F.lit(_LEAST))
     low_words = cut(low_words.join(taken.withColumnRenamed("v", "word"), "word", "left").select("word", "n", failing.alias("left")), "low_words")
+    release(taken, words)
     few = spark.createDataFrame(pa.table({"word": np.arange(len(counts)), "n": counts.astype(np.int64), "left": left}))
 
     # What bigrams add, and their failure weights.
@@ -281,6 +288,7 @@ def _learn(texts: DataFrame):
     taken = trigrams.groupBy(F.col("context").alias("gram")).agg(F.sum(F.col("n") - d3).alias("taken"))
     states = states.join(taken, "gram", "left").select("gram", "n", "p", failing.alias("left"), F.log10(F.col("p") / F.col("alone") * failing).alias("weight"))
     states = cut(states, "states")
+    release(stored2)
 
     # What trigrams add.
     few, many = _split(states, GRAM_HEAD)
@@ -289,9 +297,11 @@ def _learn(texts: DataFrame):
     arcs = _attach(arcs, "inner", few, many, p2="p")
     lower = F.col("left3") * F.col("p2")
     arcs = cut(arcs.select("gram", "n", F.log10(((F.col("n") - d3) / F.col("n_c") + lower) / lower).alias("weight")), "arcs")
+    release(stored3)
     few_arcs, many_arcs = _split(arcs, GRAM_HEAD)
     grams = few.select("gram", "weight").union(few_arcs.select("gram", "weight")).toArrow()
-    low_grams = many.select("gram", "weight").union(many_arcs.select("gram", "weight"))
+    low_grams = cut(many.select("gram", "weight").union(many_arcs.select("gram", "weight")), "low_grams")
+    release(states, arcs, few)
     hashes = grams["gram"].to_numpy().view(np.uint64)
     order = np.argsort(hashes)
     weights = Weights(hashes[order], grams["weight"].to_numpy()[order], Bitmap(low_grams, "gram", BITS))
