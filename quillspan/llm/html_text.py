@@ -1,9 +1,11 @@
 """Main text of web pages from parser events, text-to-tag ratios and their clusters.
 
 The standard library's parser streams events over the whole page. Block elements cut it into lines; a line knows
-its text, its tags, its links and the elements around it. Lines inside elements that never hold the article (by
-element, or by a word of their class, id or role) are left out from the start; such a word says nothing on an element
-that holds more than half of the page's text, unless an article or main with text lies beside it. The ratio of text to
+its text, its tags, its links and the elements around it. Lines inside elements that never hold the article are left out
+from the start, and so are those inside elements that seldom do (headers, asides, forms, and those with a telling word in
+their class, id or role), unless such an element holds more than half of the page's text and no article or main with text
+lies beside it. The header of an article or main is part of it, and inside one, paragraphs, headings, tables and lists are left
+out for the plainest words only. The ratio of text to
 tags of the other lines is smoothed by a Gaussian over neighbouring lines, and one-dimensional two-means clustering
 finds the threshold above which lines are content. The innermost element that holds nearly all content leads to the
 region: the nearest article or main around it, or else the innermost element that holds all content. All lines of the
@@ -37,8 +39,12 @@ _INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split()
 )
 _NEVER = frozenset(
-    "script style noscript template head title nav header footer aside form button select option textarea input iframe object svg canvas audio video menu dialog".split()
+    "script style noscript template head title nav footer button select option textarea input iframe object svg canvas audio video menu dialog".split()
 )
+#: Left out unless they hold most of the page; a header of an article or main belongs to it.
+_SELDOM = frozenset("header aside form".split())
+#: Inside an article or main, these are left out for the plainest words only.
+_CONTENT = frozenset("p h1 h2 h3 h4 h5 h6 table caption thead tbody tr td th pre blockquote figure figcaption ul ol dl li dt dd".split())
 _ENDS_P = frozenset(
     "address article aside blockquote div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre section table ul".split()
 )
@@ -47,6 +53,10 @@ _HINTS = frozenset(
     "footer sidebar aside cookie cookies consent gdpr notice alert popup modal overlay comment comments commentlist disqus reply replies share sharing social "
     "related recommended newsletter subscribe subscription signup login search widget toolbar pagination pager complementary contentinfo dialog".split()
 )
+_PLAINEST = frozenset(
+    "ad ads adbox advert advertisement advertising sponsor sponsored promo promotion nav navbar navigation menu breadcrumb breadcrumbs cookie cookies consent "
+    "gdpr comment comments commentlist disqus share sharing social related recommended newsletter subscribe subscription pagination pager".split()
+)
 _OPEN = frozenset("html body article main".split())
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 _CUT_TAG = re.compile(r"<[A-Za-z/!?][^>]*\Z")
@@ -83,7 +93,7 @@ class _Lines(HTMLParser):
         if tag in ("article", "main"):
             span = [self.size, None]
             self.named.append(span)
-        elif tag not in _OPEN and not never and self._hinted(attrs):
+        elif tag not in _OPEN and not never and self._doubtful(tag, attrs):
             left_out |= len(self.hinted) not in self.trusted
             span = [self.size, None]
             self.hinted.append(span)
@@ -152,10 +162,16 @@ class _Lines(HTMLParser):
             i for i, (a, b) in enumerate(self.hinted) if 2 * (b - a) > self.size and not any(y <= a or x >= b for x, y in named)
         )
 
-    @staticmethod
-    def _hinted(attrs) -> bool:
+    def _doubtful(self, tag, attrs) -> bool:
+        """Whether an element is left out unless it holds most of the page."""
+        inside = any(x[0] in ("article", "main") for x in self.stack)
+        if tag in _SELDOM and not (tag == "header" and inside):
+            return True
         said = " ".join(v for k, v in attrs if v and k in ("class", "id", "role"))
-        return bool(said) and not _HINTS.isdisjoint(w.lower() for w in _WORD.findall(said))
+        if not said or (tag == "header" and inside):
+            return False
+        words = _PLAINEST if inside and tag in _CONTENT else _HINTS
+        return not words.isdisjoint(w.lower() for w in _WORD.findall(said))
 
 
 def _content(ratios: np.ndarray) -> np.ndarray:
