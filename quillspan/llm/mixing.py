@@ -1,15 +1,18 @@
 """Mixing sources to target weights: raking, then sampling by calibrated probabilities.
 
-Documents are summed into cells (one per combination of the dimensions' values) before anything else. Raking
-(iterative proportional fitting) scales the cells' token weights in turn to the target shares of each dimension,
-``rounds`` times. A document's probability is ``min(1, scale * weight / tokens)`` of its cell, where the scale is
-the one at which the expected tokens are the budget: it starts where no cell is capped and is solved again without
-the cells that are, until it stays. A document is drawn when the number in [0, 1) that the MD5 of its id gives
-is below its probability, so repeated runs, and repeated rows, agree.
+Documents are summed into cells (one per combination of the dimensions' values) before anything else. A cell gives its
+tokens at most, so raking (iterative proportional fitting) is bounded: in turn for each dimension, the weights of the cells
+of each value are scaled by the one factor at which ``min(tokens, weight)`` sums to the value's target. That factor is found
+exactly, from running sums over the value's cells in order of weight by tokens; a cell that is full in one turn may have room
+in the next. Targets are shares of the budget, and a value with too few tokens for its share gives all it has, the others the
+rest. Rounds end when every sum is within ``tolerance`` of the budget from its target; targets that contradict each other
+use ``rounds`` up, and :func:`margins` shows what is left. The probability of a cell is ``min(1, weight / tokens)``. A
+document is drawn when the number in [0, 1) that the MD5 of its id gives is below its probability, so repeated runs, and
+repeated rows, agree.
 
 Only DataFrame functions run. What grows with the corpus is one scan that counts words, one aggregation with
 partial sums, and one join with the cells, which Spark broadcasts if their size allows and splits if a cell is hot;
-raking runs on the cells alone, and one row of sums at a time reaches the driver.
+raking runs on the cells alone, in windows that spill, and one number per three rounds reaches the driver.
 
 Defined results: null and empty texts have no tokens and take part with their cell's probability; a null value of
 a dimension is the value ``(none)``; a value without a target has share 0 and probability 0, unless no value of
@@ -26,7 +29,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from quillspan.llm.common import cut
 from quillspan.llm.registry import query, table
 
-ROUNDS, CAP_ROUNDS = 12, 20
+# Most rounds of raking, and the largest departure from a target, as a share of the budget, that ends them.
+ROUNDS, TOLERANCE = 60, 1e-9
 NONE = "(none)"
 
 
@@ -49,44 +53,69 @@ def tempered(cells: DataFrame, name: str, power: float) -> DataFrame:
     return cells.groupBy(F.col(name).alias("value")).agg(F.pow(F.sum("tokens").cast("double"), F.lit(power)).alias("share"))
 
 
-def rake(cells: DataFrame, targets: dict[str, DataFrame], rounds: int = ROUNDS) -> DataFrame:
-    """``cells`` (a column per dimension, ``tokens``) with the raked ``weight``."""
+def _factor(by: list[Column], room: str, weight: str, amount: str) -> tuple[Column, Column]:
+    """Each row's candidate (to be called ``_own``) and the factor at which ``min(room, factor * weight)`` sums to ``amount`` over the rows that agree in ``by``.
+
+    With the fullest rows in front, a row's own candidate holds if all before it are full and it is not; the largest
+    candidate that holds is the factor. If the room is not enough, every row is filled.
+    """
+    group = Window.partitionBy(*by)
+    order = group.orderBy(F.try_divide(F.col(weight), F.col(room)).desc_nulls_last())
+    before = F.coalesce(F.sum(room).over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
+    rest = F.sum(weight).over(order.rowsBetween(0, Window.unboundedFollowing))
+    own = F.try_divide(F.greatest(F.col(amount) - before, F.lit(0.0)), rest)
+    held = F.max(F.when(F.col("_own") * F.col(weight) <= F.col(room), F.col("_own"))).over(group)
+    filled = F.max(F.try_divide(F.col(room), F.col(weight))).over(group)
+    return own, F.coalesce(held, filled, F.lit(0.0))
+
+
+def _scaled(rows: DataFrame, by: list[Column], room: str, weight: str, amount: str) -> DataFrame:
+    own, factor = _factor(by, room, weight, amount)
+    return rows.withColumn("_own", own).withColumn(weight, F.col(weight) * factor).drop("_own")
+
+
+def _filled(room: str, weight: str) -> Column:
+    return F.least(F.col(room), F.col(weight))
+
+
+def rake(cells: DataFrame, targets: dict[str, DataFrame], budget: float, rounds: int = ROUNDS, tolerance: float = TOLERANCE) -> DataFrame:
+    """``cells`` (a column per dimension, ``tokens``) with ``t_<dimension>``, the tokens its value is to give, and ``probability``."""
+    raked, used = cells.where("tokens > 0").select(*targets, F.col("tokens").cast("double").alias("room")), []
     for name, target in targets.items():
-        target = target.select(F.coalesce(F.col("value").cast("string"), F.lit(NONE)).alias(name), F.col("share").cast("double").alias(f"t_{name}"))
-        cells = cells.join(target, name, "left").withColumn(f"t_{name}", F.coalesce(f"t_{name}", F.lit(0.0)))
-    cells = cut(cells.withColumn("weight", F.col("tokens").cast("double")), "cells")
-    # Shares count among the values that are there: each value once, so a sum over values, not over cells.
-    for name in targets:
-        total = cells.where("tokens > 0").select(name, f"t_{name}").distinct().agg(F.sum(f"t_{name}").alias("s")).first()["s"]
-        cells = cells.withColumn(f"t_{name}", F.col(f"t_{name}") / total if total else F.lit(None).cast("double"))
-    tokens = cells.agg(F.sum("weight")).first()[0] or 0.0
-    for i in range(rounds):
-        for name in targets:
-            of_value = F.sum("weight").over(Window.partitionBy(name))
-            scaled = F.when(of_value > 0, F.col("weight") * F.col(f"t_{name}") * F.lit(float(tokens)) / of_value).otherwise(0.0)
-            cells = cells.withColumn("weight", F.coalesce(scaled, "weight"))
+        share = target.groupBy(F.coalesce(F.col("value").cast("string"), F.lit(NONE)).alias(name)).agg(F.max("share").cast("double").alias("share"))
+        values = raked.groupBy(name).agg(F.sum("room").alias("held")).join(share, name, "left")
+        # Shares count among the values that are there; the first split of the budget is bounded by what each value has.
+        values = values.select(name, "held", F.coalesce("share", F.lit(0.0)).alias("part"), F.lit(float(budget)).alias("all"))
+        values = cut(_scaled(values, [F.lit(0)], "held", "part", "all").select(name, _filled("held", "part").alias(f"t_{name}")), "targets")
+        if values.where(F.col(f"t_{name}") > 0).isEmpty():
+            values = values.withColumn(f"t_{name}", F.lit(None).cast("double"))
+        else:
+            used.append(name)
+        raked = raked.join(values, name)
+    raked = cut(raked.withColumn("weight", F.col("room")), "cells")
+    if not used:
+        raked = _scaled(raked.withColumn("all", F.lit(float(budget))), [F.lit(0)], "room", "weight", "all").drop("all")
+    for i in range(rounds if used else 0):
+        for name in used:
+            raked = _scaled(raked, [F.col(name)], "room", "weight", f"t_{name}")
         if i % 3 == 2 or i == rounds - 1:
-            cells = cut(cells, "raked")
-    return cells
-
-
-def probabilities(cells: DataFrame, budget: float) -> DataFrame:
-    """``cells`` with ``probability``; the expected tokens are ``budget``, or all of which the weight is not 0."""
-    ratio = cells.withColumn("ratio", F.when(F.col("tokens") > 0, F.col("weight") / F.col("tokens")).otherwise(0.0))
-    capped = F.col("ratio") * F.col("scale") >= 1
-    scale = 0.0
-    for _ in range(CAP_ROUNDS):
-        sums = ratio.withColumn("scale", F.lit(scale)).agg(
-            F.sum(F.when(capped, F.col("tokens"))).alias("full"), F.sum(F.when(~capped, F.col("weight"))).alias("open")
-        ).first()
-        if not sums["open"]:
-            break
-        new = max(scale, (budget - (sums["full"] or 0)) / sums["open"])
-        if new == scale:
-            break
-        scale = new
-    chance = F.when(F.col("tokens") > 0, F.least(F.lit(1.0), F.col("ratio") * F.lit(scale))).otherwise(1.0)
-    return ratio.withColumn("probability", chance)
+            raked = cut(raked, "raked")
+            off = [raked.groupBy(name).agg(F.abs(F.sum(_filled("room", "weight")) - F.first(f"t_{name}")).alias("off")).select("off") for name in used]
+            most = reduce(DataFrame.union, off).agg(F.max("off")).first()[0]
+            if most is None or most <= tolerance * budget:
+                break
+    chance = raked.select(*targets, *(f"t_{n}" for n in targets), (_filled("room", "weight") / F.col("room")).alias("probability"))
+    return cells.join(chance, list(targets), "left").withColumn("probability", F.when(F.col("tokens") > 0, F.col("probability")).otherwise(1.0))
+
+
+def margins(cells: DataFrame, names: list[str]) -> DataFrame:
+    """``dimension, value, tokens, target, expected`` of raked cells: what every value is to give and what it will on average."""
+    expected = F.sum(F.col("tokens") * F.col("probability")).alias("expected")
+    parts = [
+        cells.where("tokens > 0").groupBy(F.lit(n).alias("dimension"), F.col(n).alias("value")).agg(F.sum("tokens").alias("tokens"), F.first(f"t_{n}").alias("target"), expected)
+        for n in names
+    ]
+    return reduce(DataFrame.union, parts)
 
 
 def draw(id_column: Column) -> Column:
@@ -95,6 +124,31 @@ def draw(id_column: Column) -> Column:
     return F.conv(digits, 16, 10).cast("double") / float(1 << 32)
 
 
+def _calibrated(rows: DataFrame, names: list[str], targets: dict[str, DataFrame] | None, power: float, budget_share: float, rounds: int) -> DataFrame:
+    keys = [f"in_{n}" for n in names]
+    cells = cut(rows.groupBy(*keys).agg(F.sum("n_tokens").alias("tokens")), "cells")
+    given = targets or {}
+    wanted = {f"in_{n}": given[n] if n in given else tempered(cells, f"in_{n}", power) for n in names}
+    total = cells.agg(F.sum("tokens")).first()[0] or 0
+    return rake(cells, wanted, budget_share * total, rounds)
+
+
+def calibrate(
+    docs: DataFrame,
+    dimensions: dict[str, Column],
+    *,
+    targets: dict[str, DataFrame] | None = None,
+    power: float = 0.7,
+    budget_share: float = 0.5,
+    rounds: int = ROUNDS,
+    text_col: str = "text",
+) -> DataFrame:
+    """The cells of :func:`mix` as ``in_<name>, tokens, t_in_<name>, probability``, for :func:`margins`."""
+    cols = [F.coalesce(c.cast("string"), F.lit(NONE)).alias(f"in_{n}") for n, c in dimensions.items()]
+    rows = docs.select(*cols, n_tokens(docs[text_col].cast("string")).alias("n_tokens"))
+    return _calibrated(rows, list(dimensions), targets, power, budget_share, rounds)
+
+
 def mix(
     docs: DataFrame,
     dimensions: dict[str, Column],
@@ -116,18 +170,14 @@ def mix(
     cols = [F.coalesce(c.cast("string"), F.lit(NONE)).alias(f"in_{n}") for n, c in dimensions.items()]
     rows = docs.select(*(docs[c].alias(f"k_{c}") for c in keep), docs[id_col].alias("_id"), *cols, n_tokens(docs[text_col].cast("string")).alias("n_tokens"))
     keys = [f"in_{n}" for n in names]
-    cells = cut(rows.groupBy(*keys).agg(F.sum("n_tokens").alias("tokens")), "cells")
-    given = targets or {}
-    wanted = {f"in_{n}": given[n] if n in given else tempered(cells, f"in_{n}", power) for n in names}
-    total = cells.agg(F.sum("tokens")).first()[0] or 0
-    chances = cut(probabilities(rake(cells, wanted, rounds), budget_share * total).select(*keys, "probability"), "chances")
+    chances = cut(_calibrated(rows, names, targets, power, budget_share, rounds).select(*keys, "probability"), "chances")
     on = reduce(lambda a, b: a & b, [rows[k] == chances[k] for k in keys])
     out = rows.join(chances, on, "left").select(*(F.col(f"k_{c}").alias(c) for c in keep), *(rows[k] for k in keys), "n_tokens", "probability", "_id")
     return out.withColumn("sampled", draw(F.col("_id")) < F.col("probability")).drop("_id")
 
 
 def _oracle(power: float, budget_share: float) -> str:
-    """The same in SQL, with one common table per step of raking."""
+    """The same in SQL, with one step of a recursive table per turn of raking."""
     dims = ["source", "lang", "topic"]
     ctes = [
         r"""d AS (SELECT doc_id, coalesce(source, '(none)') AS source, coalesce(lang, '(none)') AS lang,
@@ -136,28 +186,26 @@ def _oracle(power: float, budget_share: float) -> str:
             coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS n_tokens FROM documents)""",
         "c AS (SELECT source, lang, topic, sum(n_tokens)::BIGINT AS tokens FROM d GROUP BY ALL)",
     ]
+    ctes.append(f"b AS (SELECT {budget_share} * sum(tokens) AS b FROM c)")
+    own = "greatest({amount} - coalesce(sum({room}) OVER (PARTITION BY {by} ORDER BY {weight} / {room} DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0), 0) " \
+        "/ nullif(sum({weight}) OVER (PARTITION BY {by} ORDER BY {weight} / {room} DESC ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING), 0)"
+    scaled = "{weight} * coalesce(max(CASE WHEN o * {weight} <= {room} THEN o END) OVER (PARTITION BY {by}), max({room} / nullif({weight}, 0)) OVER (PARTITION BY {by}), 0)"
     for x in dims:
-        ctes.append(f"s_{x} AS (SELECT {x}, pow(sum(tokens)::DOUBLE, {power}) AS t FROM c GROUP BY 1)")
-        ctes.append(f"t_{x} AS (SELECT {x}, t / (SELECT sum(t) FROM s_{x} JOIN (SELECT DISTINCT {x} FROM c WHERE tokens > 0) USING ({x})) AS t FROM s_{x})")
-    ctes.append("r0 AS (SELECT *, tokens::DOUBLE AS w FROM c)")
-    step = 0
-    for _ in range(ROUNDS):
-        for x in dims:
-            ctes.append(
-                f"r{step + 1} AS MATERIALIZED (SELECT source, lang, topic, tokens, CASE WHEN sum(w) OVER (PARTITION BY {x}) > 0 THEN "
-                f"w * t * (SELECT sum(tokens)::DOUBLE FROM c) / sum(w) OVER (PARTITION BY {x}) ELSE 0 END AS w FROM r{step} JOIN t_{x} USING ({x}))"
-            )
-            step += 1
-    ctes.append(f"f AS (SELECT *, CASE WHEN tokens > 0 THEN w / tokens ELSE 0 END AS ratio FROM r{step})")
-    ctes.append("l0 AS (SELECT 0.0::DOUBLE AS l)")
-    for i in range(CAP_ROUNDS):
-        ctes.append(
-            f"l{i + 1} AS MATERIALIZED (SELECT CASE WHEN coalesce(sum(w) FILTER (WHERE ratio * l < 1), 0) = 0 THEN max(l) ELSE greatest(max(l), "
-            f"({budget_share} * (SELECT sum(tokens) FROM c) - coalesce(sum(tokens) FILTER (WHERE ratio * l >= 1), 0)) / sum(w) FILTER (WHERE ratio * l < 1)) END AS l FROM f, l{i})"
-        )
-    ctes.append(f"p AS (SELECT source, lang, topic, CASE WHEN tokens > 0 THEN least(1.0, ratio * (SELECT l FROM l{CAP_ROUNDS})) ELSE 1.0 END::DOUBLE AS p FROM f)")
+        names = {"by": "1", "room": "held", "weight": "part", "amount": "b"}
+        ctes.append(f"s_{x} AS (SELECT {x}, sum(tokens)::DOUBLE AS held, pow(sum(tokens)::DOUBLE, {power}) AS part FROM c WHERE tokens > 0 GROUP BY 1)")
+        ctes.append(f"o_{x} AS (SELECT *, {own.format(**names)} AS o FROM s_{x}, b)")
+        ctes.append(f"t_{x} AS (SELECT {x}, least(held, {scaled.format(**names)}) AS t_{x} FROM o_{x})")
+    names = {"by": "by_value", "room": "room", "weight": "w", "amount": "amount"}
+    value = lambda prefix: f"CASE n % 3 WHEN 0 THEN {prefix}source WHEN 1 THEN {prefix}lang ELSE {prefix}topic END"
+    ctes.append(
+        "r AS (SELECT 0 AS n, source, lang, topic, tokens::DOUBLE AS room, tokens::DOUBLE AS w, t_source, t_lang, t_topic FROM c JOIN t_source USING (source) "
+        "JOIN t_lang USING (lang) JOIN t_topic USING (topic) WHERE tokens > 0 UNION ALL "
+        f"SELECT n + 1, source, lang, topic, room, {scaled.format(**names)}, t_source, t_lang, t_topic FROM (SELECT *, {own.format(**names)} AS o FROM "
+        f"(SELECT *, {value('')} AS by_value, {value('t_')} AS amount FROM r WHERE n < {3 * ROUNDS})))"
+    )
+    ctes.append(f"p AS (SELECT source, lang, topic, CASE WHEN tokens > 0 THEN least(room, w) / room ELSE 1.0 END::DOUBLE AS p FROM c LEFT JOIN r USING (source, lang, topic) WHERE n = {3 * ROUNDS} OR n IS NULL)")
     return (
-        "WITH " + ",\n".join(ctes) + " SELECT doc_id, source, lang, topic, n_tokens, round(p, 6) AS probability, "
+        "WITH RECURSIVE " + ",\n".join(ctes) + " SELECT doc_id, source, lang, topic, n_tokens, round(p, 6) AS probability, "
         "('0x' || md5(coalesce(doc_id::VARCHAR, ''))[1:8])::BIGINT / 4294967296.0::DOUBLE < p AS sampled FROM d JOIN p USING (source, lang, topic)"
     )
 

@@ -427,6 +427,32 @@ def test_mixing_meets_targets_and_budget(spark, odd, none):
     assert mixing.mix(none, {"source": none["source"]}).count() == 0
 
 
+def test_mixing_holds_margins_though_cells_are_full(spark):
+    # Sources x (a third of the rows) and z have too little for their shares in some cells, so cells fill up.
+    rows = spark.range(6000).selectExpr(
+        "id AS doc_id", "concat('a ', repeat('b ', int(id % 5))) AS text", "CASE WHEN id % 3 = 0 THEN 'x' WHEN id % 50 = 1 THEN 'z' ELSE 'y' END AS source",
+        "CASE WHEN id % 20 < 3 THEN 'de' WHEN id % 7 = 0 THEN NULL ELSE 'en' END AS lang", "id % 2 AS tokens",
+    )
+    dims = {"source": rows["source"], "lang": rows["lang"]}
+    share = spark.createDataFrame([("x", 3.0), ("y", 5.0), ("z", 2.0), ("unseen", 9.0)], "value string, share double")
+    cells = mixing.calibrate(rows, dims, targets={"source": share}, budget_share=0.6)
+    found = {(r["dimension"], r["value"]): r for r in mixing.margins(cells, ["in_source", "in_lang"]).collect()}
+    budget = 0.6 * sum(r["tokens"] for k, r in found.items() if k[0] == "in_source")
+    for r in found.values():
+        assert r["expected"] == pytest.approx(r["target"], abs=1e-8 * budget) and r["target"] <= r["tokens"] + 1e-9
+    z = found["in_source", "z"]
+    assert z["expected"] == pytest.approx(z["tokens"])  # all of it is less than its share
+    rest = budget - z["tokens"]
+    assert found["in_source", "x"]["expected"] == pytest.approx(3 / 8 * rest) and found["in_source", "y"]["expected"] == pytest.approx(5 / 8 * rest)
+    # One dimension against brute force: the factor at which min(tokens, factor * share) meets the budget.
+    alone = mixing.calibrate(rows, {"source": rows["source"]}, targets={"source": share.where("value <> 'y'")}, budget_share=0.2)
+    got = {r["in_source"]: r["probability"] for r in alone.collect()}
+    assert got["y"] == 0 and got["z"] == pytest.approx(1) and 0 < got["x"] < 1
+    # Targets that contradict each other end after the given rounds, with probabilities from 0 to 1.
+    at_odds = mixing.calibrate(rows, {"source": rows["source"], "lang": rows["source"]}, targets={"source": share}, budget_share=0.6, rounds=4)
+    assert at_odds.where("probability < 0 or probability > 1 or probability is null").isEmpty()
+
+
 def test_licences_and_inheritance(spark, odd, none):
     files = [
         ("a/LICENSE", "\nReleased under the MIT License.\n"),
