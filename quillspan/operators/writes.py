@@ -100,16 +100,19 @@ def _dig(path: tuple, root: Column | None = None) -> Column:
     return reduce(lambda v, name: v.getField(name), rest, value)
 
 
+def _as_map(text: Column) -> Column:
+    return F.from_json(text, "map<string,string>")
+
+
 def _patches(shape: T.StructType) -> tuple[list[Column], Column, Column]:
-    """What a payload does to each path: ``struct<v>`` where it sets it, else NULL.
+    """What a payload, read as ``_named`` (a map) and ``_read`` (by ``shape``), does to each path: ``struct<v>``
+    where it sets it, else NULL.
 
     Objects merge field by field: the ``v`` of a struct says whether it is there, its fields have paths of their
     own, and a null for a struct is a null for all of them.  Also whether a value does not fit its column, and
     the names that are no columns.
     """
-    as_map = lambda text: F.from_json(text, "map<string,string>")
-    parsed = F.from_json("payload", shape)
-    level = {(): as_map(F.col("payload"))}
+    parsed, level = F.col("_read"), {(): F.col("_named")}
     emptied = {(): F.lit(False)}
     patches, misfit = [], F.lit(False)
 
@@ -128,7 +131,7 @@ def _patches(shape: T.StructType) -> tuple[list[Column], Column, Column]:
         given = F.when(named, value)
         if isinstance(data_type, T.StructType):
             given = named & raw.isNotNull()
-            level[path] = as_map(raw)
+            level[path] = _as_map(raw)
             emptied[path] = emptied[above] | (named & raw.isNull())
             unknown.append(strangers(path, data_type))
         patches.append(F.when(emptied[above] | named, F.struct(given.alias("v"))))
@@ -155,18 +158,40 @@ def bulk_apply(
     paths = list(_paths(shape))
     patches, misfit, unknown = _patches(shape)
     fits = ~((F.col("op") == "index") & misfit)
-    checked = actions.withColumn("_well_formed", F.coalesce(valid_action(), F.lit(False)))
+    notes = F.when(F.size(unknown) > 0, F.concat(F.lit("unknown fields: "), F.array_join(unknown, ", ")))
+    is_document = F.col("op") == "index"
+    checked = actions.select(
+        "*",
+        F.coalesce(valid_action(), F.lit(False)).alias("_well_formed"),
+        F.when(is_document, _as_map(F.col("payload"))).alias("_named"),
+        F.when(is_document, F.from_json("payload", shape)).alias("_read"),
+    )
     checked = checked.withColumn("_valid", F.col("_well_formed") & F.coalesce(fits, F.lit(True))).withColumn(
         "_error", F.when(~F.col("_well_formed"), F.lit("invalid action")).otherwise(F.lit("value does not fit its column"))
     )
+    # Payloads are read once, here; every later step sees what they do, not their text.
+    takes = is_document & F.col("_valid")
+    checked = materialize(
+        checked.select(
+            "seq",
+            "op",
+            *KEY,
+            F.when(F.col("op") == "script", F.col("payload")).alias("payload"),
+            "_valid",
+            F.when(~F.col("_valid"), F.col("_error")).alias("_error"),
+            F.when(takes, notes).alias("_note"),
+            *[F.when(takes, p).alias(f"_p_{i}") for i, p in enumerate(patches)],
+        ),
+        "actions",
+    )
     valid = checked.where("_valid")
-    documents = valid.where(F.col("op") == "index").select(
+    documents = valid.where(is_document).select(
         "seq",
         *KEY,
         F.lit(None).cast("bigint").alias("_version"),
         F.lit(True).alias("_alive"),
-        F.when(F.size(unknown) > 0, F.concat(F.lit("unknown fields: "), F.array_join(unknown, ", "))).alias("_note"),
-        *[p.alias(f"_p_{i}") for i, p in enumerate(patches)],
+        "_note",
+        *[f"_p_{i}" for i in range(len(patches))],
     )
     touched = valid.select(*KEY).distinct()
     stored = current.join(touched, KEY, "left_semi").select(
