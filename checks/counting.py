@@ -180,3 +180,22 @@ def page_fold_error(table):
 def page_hits(table):
     hits = q.fold_hits(conversation_pages(table, failing_role="user"))
     return hits.select("search_id", "page_no", "pos", "_id", "_score")
+
+
+@check(
+    "q_agg_tree",
+    "WITH l1 AS (SELECT event_type AS t, count(*) AS n, max(value) AS m FROM events WHERE t IS NOT NULL GROUP BY 1 ORDER BY n DESC, t LIMIT 3), "
+    "r(k, lo, hi) AS (VALUES ('low', NULL, 10.0), ('mid', 5.0, 50.0), ('far', 1e12, NULL)), "
+    "x AS (SELECT t, k, user_id AS u, value AS v, coalesce((lo IS NULL OR value >= lo) AND (hi IS NULL OR value < hi), false) AS inside "
+    "FROM l1 JOIN events ON event_type = t CROSS JOIN r), "
+    "g AS (SELECT t, k, u::VARCHAR AS name, count(*) AS n, max(v) AS m FROM x WHERE inside AND u IS NOT NULL GROUP BY 1, 2, 3), "
+    "l3 AS (SELECT *, row_number() OVER (PARTITION BY t, k ORDER BY n DESC, name) AS rn FROM g) "
+    "SELECT 'type' AS agg, t AS path, n AS doc_count, m AS largest FROM l1 UNION ALL "
+    "SELECT 'type/value', t || '>' || k, count(*) FILTER (WHERE inside), max(v) FILTER (WHERE inside) FROM x GROUP BY t, k UNION ALL "
+    "SELECT 'type/value/user', t || '>' || k || '>' || name, n, m FROM l3 WHERE rn <= 2",
+)
+def agg_tree(table):
+    ranges = q.agg_ranges("value", [q.bucket("low", to=10.0), q.bucket("mid", 5.0, 50.0), q.bucket("far", 1e12)])
+    tree = q.split("type", q.agg_terms("event_type", 3), q.split("value", ranges, q.split("user", q.agg_terms("user_id", 2))))
+    found = q.agg_tree(table("events"), [tree], {"largest": ("max", "value")})
+    return found.withColumn("path", F.array_join("path", ">"))

@@ -4,12 +4,14 @@ from quillspan.functions.fields import mapped
 from quillspan.operators.aggs import (
     agg_ranges,
     agg_terms,
+    agg_tree,
     bucket,
     delete_stats,
     fold_hits,
     fold_pages,
     ranges_agg,
     run_aggs,
+    split,
     terms_agg,
 )
 from quillspan.operators.clauses import (

@@ -104,6 +104,18 @@ def _bucket_order(order: tuple[str, str], count: str, key: str) -> list[Column]:
     return [last] if by == "key" else [F.col(count).asc() if way == "asc" else F.col(count).desc(), last]
 
 
+def _one_order(aggs: dict, which: Column, key: Column) -> tuple[Column, Column]:
+    """One order for several aggregations: counts with the sign of their direction, then keys that run down."""
+    place, down = -F.col("doc_count"), F.lit(None).cast("string")
+    for name, agg in aggs.items():
+        order = agg.order if isinstance(agg, TermsAgg) else ("count", "desc")
+        if order != ("count", "desc"):
+            here = which == name
+            place = F.when(here, F.col("doc_count") if order[0] == "count" else F.lit(0)).otherwise(place)
+            down = F.when(here, key).otherwise(down) if order == ("key", "desc") else down
+    return place, down
+
+
 def distinct_values(field: str) -> Column:
     """The distinct non-NULL values of an array field."""
     return F.array_distinct(F.array_compact(F.col(field)))
@@ -129,14 +141,7 @@ def run_aggs(df: DataFrame, aggs: dict[str, TermsAgg | RangesAgg]) -> DataFrame:
     bars = {n: a.min_doc_count for n, a in aggs.items() if isinstance(a, TermsAgg) and a.min_doc_count > 1}
     for name, least in bars.items():
         sums = sums.where((F.col("agg") != name) | (F.col("doc_count") >= least))
-    # One order for all: counts with the sign of their direction, then keys that run down, then keys.
-    place, down = -F.col("doc_count"), F.lit(None).cast("string")
-    for name, agg in aggs.items():
-        order = agg.order if isinstance(agg, TermsAgg) else ("count", "desc")
-        if order != ("count", "desc"):
-            here = F.col("agg") == name
-            place = F.when(here, F.col("doc_count") if order[0] == "count" else F.lit(0)).otherwise(place)
-            down = F.when(here, F.col("key")).otherwise(down) if order == ("key", "desc") else down
+    place, down = _one_order(aggs, F.col("agg"), F.col("key"))
     top = _first(sums, ["agg"], [place.asc(), down.desc(), F.col("key").asc()], "key", max(sizes.values()))
     if len(set(sizes.values())) > 1:
         limit = F.lit(None).cast("int")
@@ -155,14 +160,17 @@ def _entries(df: DataFrame, name: str, agg: TermsAgg | RangesAgg) -> Column:
         value = _number(df, agg.field, agg.buckets)
         held = [F.when(b.holds(value), entry(F.lit(b.key))) for b in agg.buckets]
         return F.array_compact(F.array(*held)) if held else F.array().cast("array<struct<agg:string,key:string>>")
+    return F.coalesce(
+        F.transform(_values(df, agg), entry), F.array().cast("array<struct<agg:string,key:string>>")
+    )
+
+
+def _values(df: DataFrame, agg: TermsAgg) -> Column:
+    """The values of one document that may be buckets."""
     values = (
         distinct_values(agg.field) if is_array(df, agg.field) else F.array_compact(F.array(field_column(df, agg.field)))
     )
-    if agg.wants(F.lit(0)) is not None:
-        values = F.filter(values, agg.wants)
-    return F.coalesce(
-        F.transform(values, entry), F.array().cast("array<struct<agg:string,key:string>>")
-    )
+    return values if agg.wants(F.lit(0)) is None else F.filter(values, agg.wants)
 
 
 def terms_agg(
@@ -229,6 +237,106 @@ def _keyed(df: DataFrame, agg: TermsAgg, name: str) -> DataFrame:
     return rows if wanted is None else rows.where(wanted)
 
 
+@dataclass(frozen=True)
+class Split:
+    """A level of a tree of aggregations: every bucket of ``by`` is split again by each of ``subs``."""
+
+    name: str
+    by: TermsAgg | RangesAgg
+    subs: tuple = ()
+
+
+def split(name: str, by: TermsAgg | RangesAgg, *subs: Split) -> Split:
+    if "/" in name:
+        raise ValueError("the name of a split has no /")
+    return Split(name, by, subs)
+
+
+METRICS = {"sum": F.sum, "min": F.min, "max": F.max, "avg": F.avg, "count": F.count}
+
+
+def agg_tree(df: DataFrame, splits: list[Split], metrics: dict[str, tuple[str, str]] | None = None) -> DataFrame:
+    """Aggregations inside the buckets of others, to any depth: rows ``agg, path, doc_count, <metrics>``.
+
+    ``agg`` joins the names from the root by ``/``, ``path`` holds the bucket's keys from the root as text. ``metrics``
+    maps a name to a function of :data:`METRICS` and a field, computed for every bucket. A terms level keeps its first
+    ``size`` buckets inside each kept bucket above; ranges keep all, empty ones with 0, below every bucket that is kept.
+
+    Each document lists the paths it falls into (with arrays on several levels, all their combinations), and all levels are
+    counted in one pass with partial sums. Buckets are ranked among their siblings, a large family in parts, and stay
+    if all above them stay, which one join of what is left with its own ancestors decides.
+    """
+    nodes: dict[str, tuple[Split, str]] = {}
+
+    def enter(node: Split, above: str) -> None:
+        name = f"{above}/{node.name}" if above else node.name
+        if name in nodes:
+            raise ValueError(f"two splits are called {name}")
+        nodes[name] = (node, above)
+        for sub in node.subs:
+            enter(sub, name)
+
+    for root in splits:
+        enter(root, "")
+    shape = "array<struct<agg:string,path:array<string>,n:bigint>>"
+    nothing = F.array().cast(shape)
+
+    def listed(node: Split, above: str, path: Column) -> Column:
+        name = f"{above}/{node.name}" if above else node.name
+
+        def with_subs(key: Column, n: Column, inside: Column | None) -> Column:
+            longer = F.concat(path, F.array(key.cast("string")))
+            own = F.array(F.struct(F.lit(name).alias("agg"), longer.alias("path"), n.cast("bigint").alias("n"))).cast(shape)
+            subs = [listed(sub, name, longer) for sub in node.subs]
+            return F.concat(own, *(s if inside is None else F.when(inside, s).otherwise(nothing) for s in subs))
+
+        if isinstance(node.by, RangesAgg):
+            value = _number(df, node.by.field, node.by.buckets)
+            held = [(b.key, F.coalesce(b.holds(value), F.lit(False))) for b in node.by.buckets]
+            return F.concat(nothing, *(with_subs(F.lit(key), inside, inside) for key, inside in held))
+        return F.coalesce(F.flatten(F.transform(_values(df, node.by), lambda v: with_subs(v, F.lit(1), None))), nothing)
+
+    start = F.array().cast("array<string>")
+    measured = {name: (METRICS[kind], field_column(df, field)) for name, (kind, field) in (metrics or {}).items()}
+    rows = df.select(
+        F.concat(nothing, *(listed(root, "", start) for root in splits)).alias("_a"),
+        *(value.alias(f"_m_{i}") for i, (_, value) in enumerate(measured.values())),
+    )
+    rows = unnest(rows, "_a", "_e").select("_e.agg", "_e.path", "_e.n", *(c for c in rows.columns if c != "_a"))
+    empty = [(name, [b.key]) for name, (node, above) in nodes.items() if not above and isinstance(node.by, RangesAgg) for b in node.by.buckets]
+    if empty:
+        zero = df.sparkSession.createDataFrame(empty, "agg string, path array<string>").withColumn("n", F.lit(0).cast("bigint"))
+        rows = rows.unionByName(zero, allowMissingColumns=True)
+    counts = F.col("n") > 0
+    cells = rows.groupBy("agg", "path").agg(
+        F.sum("n").alias("doc_count"),
+        *(made(F.when(counts, F.col(f"_m_{i}"))).alias(name) for i, (name, (made, _)) in enumerate(measured.items())),
+    )
+    bys = {name: node.by for name, (node, _) in nodes.items()}
+    limit = least = F.lit(None).cast("int")
+    for name, by in bys.items():
+        here = F.col("agg") == name
+        limit = F.when(here, by.size if isinstance(by, TermsAgg) else len(by.buckets)).otherwise(limit)
+        least = F.when(here, by.min_doc_count if isinstance(by, TermsAgg) else 0).otherwise(least)
+    key = F.element_at("path", -1)
+    place, down = _one_order(bys, F.col("agg"), key)
+    family = cells.where(F.col("doc_count") >= least).withColumn("_above", F.slice("path", F.lit(1), F.size("path") - 1))
+    largest = max((by.size if isinstance(by, TermsAgg) else len(by.buckets) for by in bys.values()), default=0)
+    top = _first(family, ["agg", "_above"], [place.asc(), down.desc(), key.asc()], "path", largest)
+    top = top.where(F.col("_rank") <= limit).drop("_rank", "_above")
+    if all(not above for _, above in nodes.values()):
+        return top
+    steps = F.split("agg", "/")
+    up = F.transform(
+        F.sequence(F.lit(1), F.size("path")),
+        lambda i: F.struct(F.array_join(F.slice(steps, 1, i), "/").alias("agg"), F.slice("path", F.lit(1), i).alias("path")),
+    )
+    asked = top.select("agg", "path", F.explode(up).alias("_up")).select("agg", "path", F.col("_up.agg").alias("_agg"), F.col("_up.path").alias("_path"))
+    there = top.select(F.col("agg").alias("_agg"), F.col("path").alias("_path"))
+    whole = asked.join(there, ["_agg", "_path"]).groupBy("agg", "path").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") == F.size("path"))
+    return top.join(whole.select("agg", "path"), ["agg", "path"], "left_semi")
+
+
 def _number(df: DataFrame, field: str, buckets) -> Column:
     """A field to be put into ranges; one inside JSON documents is read as the bounds' type."""
     bounds = [v for b in buckets for v in (b.from_, b.to) if v is not None]
