@@ -7,7 +7,9 @@ wrapped headers, whole licence files and notices inside long lines are met as a
 window and its template are sparse vectors of words weighted by TF-IDF, with the inverse document frequencies of the
 templates. Words meet in a join, products are summed per window and template, and of the templates whose cosine
 reaches ``cosine`` the one with the most matched weight (its length times the cosine to the power of ``CLOSENESS``) is
-the file's own licence: a whole text outweighs a lone "All rights reserved". A licence file (or the first licensed file
+the file's own licence: a whole text outweighs a lone "All rights reserved". Templates of fewer than ``SHORT`` words, SPDX
+identifiers among them, must be met word for word; a notice of fewer than ``NOTICE`` words does not count where the file
+negates it, right before it or inside ("not released under"). A licence file (or the first licensed file
 of a directory, where ``licence_file`` says so) gives its licence to its directory. Every file without one of its own
 inherits from the nearest ancestor directory that has one, by one join of the file's ancestor paths.
 
@@ -30,6 +32,10 @@ from quillspan.llm.common import cut
 from quillspan.llm.registry import query, table
 
 COSINE, CLOSENESS = 0.6, 4
+# Templates of fewer words than SHORT are met word for word; those below NOTICE say nothing if the file negates them.
+SHORT, NOTICE = 5, 20
+_NEGATES = {"not", "never", "nor", "neither", "cannot"}
+_NEGATED = r"(^| )(not|never|nor|neither|cannot|no longer|isn t|aren t|wasn t)( (yet|currently|been|be|being|now|longer))?$"
 
 # Notices, headers and texts of licences, as they ask for.
 _AS_IS = (
@@ -114,6 +120,15 @@ TEMPLATES = {
     ],
     "Proprietary": ["All rights reserved."],
 }
+
+
+def _spdx(name: str) -> list[str]:
+    """The identifier lines of a licence; those of the GNU family also end in ``-only`` and ``-or-later``."""
+    ends = ["", "-only", "-or-later"] if "GPL" in name else [""]
+    return [f"SPDX-License-Identifier: {name}{end}" for end in ends]
+
+
+TEMPLATES = {name: texts if name == "Proprietary" else [*texts, *_spdx(name)] for name, texts in TEMPLATES.items()}
 _SPEAKS = r"licen[sc]|copyright|rights|redistribution|public domain|cc0|spdx"
 _WORD = "[a-z0-9]+(?:[.-][a-z0-9]+)*"
 
@@ -135,13 +150,17 @@ def template_table(spark: SparkSession, templates: dict[str, str | list[str]] |
     return spark.createDataFrame(rows, "licence string, line string")
 
 
-def _anchors(texts: list[str]) -> list[tuple[str, int, int, int]]:
-    """``(word, place, template, words)``: where each template first has the words that speak of a licence (its first word if none does)."""
+def _anchors(texts: list[str]) -> list[tuple[str, int, int, int, bool]]:
+    """``(word, place, template, words, affirms)``: where each template first has the words that speak of a licence (its first word if none does).
+
+    ``affirms`` tells notices, which a negating word in their place turns round, from longer texts.
+    """
     out = []
     for i, text in enumerate(texts):
         words = re.findall(_WORD, text.lower())
+        affirms = len(words) < NOTICE and not _NEGATES & set(words)
         for word in {w for w in words if re.search(_SPEAKS, w)} or set(words[:1]):
-            out.append((word, words.index(word), i, len(words)))
+            out.append((word, words.index(word), i, len(words), affirms))
     return out
 
 
@@ -160,11 +179,20 @@ def own_licences(files: DataFrame, templates: DataFrame, cosine: float = COSINE)
 
     speaking = sorted({a[0] for a in anchors})
     said = files.where(F.col("text").rlike("(?i)" + "|".join(map(re.escape, speaking)))).select("_row", _words(F.col("text")).alias("words"))
+    # The templates of a word are a constant of the plan, so a file's words meet them row by row, without a join or a copy.
+    of_word = F.create_map(*(
+        part
+        for word in speaking
+        for part in (F.lit(word), F.array(*(F.struct(*(F.lit(v).alias(n) for n, v in zip(("place", "template", "n", "affirms"), a[1:]))) for a in anchors if a[0] == word)))
+    ))
     places = F.filter(F.transform("words", lambda w, i: F.struct(w.alias("word"), i.alias("at"))), lambda x: x["word"].isin(speaking))
-    said = said.select("_row", "words", F.explode(places).alias("x")).select("_row", "words", "x.word", "x.at")
-    lined_up = said.join(F.broadcast(spark.createDataFrame(anchors, "word string, place int, template int, n int")), "word")
-    start = F.greatest(F.col("at") - F.col("place"), F.lit(0))
-    windows = lined_up.select("_row", "template", F.slice("words", start + 1, F.col("n")).alias("window"))
+    said = said.select("_row", "words", F.explode(places).alias("x"))
+    said = said.select("_row", "words", F.col("x.at").alias("at"), F.explode(F.element_at(of_word, F.col("x.word"))).alias("a"))
+    start = F.greatest(F.col("at") - F.col("a.place"), F.lit(0))
+    before = F.array_join(F.slice("words", F.greatest(start - 3, F.lit(0)) + 1, F.least(start, F.lit(3))), " ")
+    windows = said.select("_row", "a.template", "a.affirms", F.slice("words", start + 1, F.col("a.n")).alias("window"), before.alias("before"))
+    negated = F.col("affirms") & (F.col("before").rlike(_NEGATED) | F.arrays_overlap("window", F.array(*map(F.lit, sorted(_NEGATES)))))
+    windows = windows.where(~negated).select("_row", "template", "window")
     windows = cut(windows.withColumn("key", F.unhex(F.md5(F.concat_ws(" ", "window")))), "windows")
     tf = windows.groupBy("template", "key").agg(F.first("window").alias("window"))
     tf = tf.select("template", "key", F.explode("window").alias("word")).groupBy("template", "key", "word").agg(F.count(F.lit(1)).alias("tf"))
@@ -173,8 +201,8 @@ def own_licences(files: DataFrame, templates: DataFrame, cosine: float = COSINE)
         .join(F.broadcast(vectors), ["template", "word"])
         .groupBy("template", "key")
         .agg(F.round(F.sum(F.col("weight") * F.col("w")), 9).alias("cosine"), F.first("size").alias("size"))
-        .where(F.col("cosine") >= cosine)
-        .join(F.broadcast(numbered.select("template", "licence")), "template")
+        .join(F.broadcast(numbered.select("template", "licence", F.when(F.size(_words(F.col("line"))) < SHORT, 1 - 1e-6).otherwise(cosine).alias("least"))), "template")
+        .where(F.col("cosine") >= F.col("least"))
     )
     known = cut(scored.withColumn("matched", F.round(F.col("size") * F.pow("cosine", F.lit(CLOSENESS)), 6)), "known")
     best = F.min(F.struct((-F.col("matched")).alias("m"), "licence", "cosine")).alias("b")

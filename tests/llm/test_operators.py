@@ -471,6 +471,27 @@ def test_licences_and_inheritance(spark, odd, none):
     assert licenses.scan_licences(none, path=none["source"], keep=["doc_id"]).count() == 0
 
 
+def test_licences_by_identifier_and_not_where_negated(spark):
+    texts = {
+        "// SPDX-License-Identifier: MIT\nint x;": "MIT",
+        "/* SPDX-License-Identifier: GPL-2.0-or-later */": "GPL-2.0",
+        "SPDX-License-Identifier: Apache-2.0": "Apache-2.0",
+        "SPDX-License-Identifier: Unheard-1.0": None,
+        "This is not released under the MIT License.": None,
+        "It is no longer released under the MIT License": None,
+        "The code isn't yet released under the MIT License.": None,
+        "This work is not licensed under the GNU General Public License, version 3.": None,
+        "This does not matter here. Released under the MIT License.": "MIT",
+        "Some rights reserved by us, all rights of others are reserved": None,
+        "Copyright 2020 A. Body. All rights reserved.": "Proprietary",
+        "license " * 3000: None,
+        "licence rights " * 500 + "Released under the MIT License. " * 200: "MIT",
+    }
+    rows = spark.createDataFrame([(f"d{i}/f", t) for i, t in enumerate(texts)], "path string, text string")
+    got = {r["path"]: r["own"] for r in licenses.scan_licences(rows, path=rows["path"], keep=[]).collect()}
+    assert [got[f"d{i}/f"] for i in range(len(texts))] == list(texts.values())
+
+
 def test_licences_of_wrapped_headers_whole_files_and_long_lines(spark):
     def wrapped(text, mark="# ", width=60):
         return "\n".join(mark + x for x in textwrap.wrap(text, width))
