@@ -4,41 +4,89 @@ from __future__ import annotations
 
 import re
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def _canonical_udf():
-    @F.pandas_udf("string")
-    def canonical(texts: pd.Series) -> pd.Series:
-        import json
+_INSIDE = r'(?:[^"\\]++|\\.)*+'
+_STRING = f'"{_INSIDE}"'
+_NUMBER = r"-?(?:0|[1-9][0-9]*+)(?:\.[0-9]++)?+(?:[eE][+-]?[0-9]++)?+"
+# Texts whose strings start with "s" hold their numbers as strings that start with "n".
+_TO_NUMBER = rf'(?s)\G((?:[^"\-0-9]++|{_STRING})*+)({_NUMBER})'
+_TO_MARKED = rf'(?s)\G((?:[^"]++|"s{_INSIDE}")*+)"n([^"]*+)"'
+_NO_NUMBER_AS_NAME = rf'(?s)^(?:[^"]++|"s{_INSIDE}"|"n[^"]*+"(?!\s*+:))*+$'
+_SLOT = "\u0001"
 
-        def reject(constant):
-            raise ValueError(constant)
 
-        def one(text):
-            if text is None:
-                return None
-            try:
-                value = json.loads(text, parse_constant=reject)
-            except (ValueError, RecursionError):
-                return None
-            return json.dumps(value, sort_keys=True, separators=(",", ":"), ensure_ascii=False)
+def canonical_numbers(texts: Column) -> Column:
+    """One spelling per number of an array, exact however long: whole numbers as they are, others by digits and power of ten.
 
-        return texts.map(one)
+    ``1.0``, ``1.00`` and ``10e-1`` give ``1.0``; ``1`` stays apart from them. Where the point lies more than 16 digits
+    away, an exponent is written. An exponent that is no 64-bit number keeps its spelling.
+    """
 
-    return canonical
+    def read(text):
+        part = F.regexp_extract(text, r"\.([0-9]+)", 1)
+        power = F.regexp_extract(text, r"[eE]\+?(-?[0-9]+)$", 1)
+        return F.struct(
+            text.alias("text"),
+            F.regexp_replace(F.concat(F.regexp_extract(text, r"^-?([0-9]+)", 1), part), "^0+", "").alias("digits"),
+            F.length(part).alias("behind"),
+            F.when(power == "", F.lit(0).cast("bigint")).otherwise(power.try_cast("bigint")).alias("power"),
+        )
+
+    def placed(n):
+        return F.struct(
+            n["text"].alias("text"),
+            F.regexp_replace(n["digits"], "0++$", "").alias("kept"),
+            # Where the point stands, counted from the first digit that is not zero.
+            F.try_add(n["power"], (F.length(n["digits"]) - n["behind"]).cast("bigint")).alias("point"),
+        )
+
+    def spelled(n):
+        text, kept, point = n["text"], n["kept"], n["point"]
+        near = point.cast("int")
+        plain = (
+            F.when(point <= 0, F.concat(F.lit("0."), F.repeat(F.lit("0"), -near), kept))
+            .when(point >= F.length(kept), F.concat(F.rpad(kept, near, "0"), F.lit(".0")))
+            .otherwise(F.concat(F.substring(kept, F.lit(1), near), F.lit("."), F.substring(kept, near + 1, F.length(kept))))
+        )
+        exact = F.when(point.between(-16, 16), plain).otherwise(F.concat(F.lit("0."), kept, F.lit("e"), point.cast("string")))
+        signed = F.concat(F.when(text.startswith("-"), F.lit("-")).otherwise(F.lit("")), exact)
+        return (
+            F.when(text == "-0", F.lit("0"))
+            .when(~text.rlike("[.eE]"), text)
+            .when(kept == "", F.lit("0.0"))
+            .when(point.isNull(), F.lower(text))
+            .otherwise(signed)
+        )
+
+    return F.transform(F.transform(F.transform(texts, read), placed), spelled)
 
 
 def canonical_json(text: Column) -> Column:
     """One spelling per JSON value: equal trees give equal text, whatever their key order.
 
-    ``1`` and ``1.0`` stay apart; text that is not JSON gives NULL.  Runs as an Arrow batch
-    function because no built-in keeps the kind of a number.
+    ``1`` and ``1.0`` stay apart, ``1.0`` and ``1.00`` do not; numbers are compared exactly, so ``1e400`` is not ``1e500``.
+    Text that is not one strict JSON value gives NULL, as do objects that hold a key twice and values that Spark's
+    VARIANT cannot hold (more than 1000 levels or 16 MB). Lone surrogates become ``?``.
+
+    Only built-in functions run: numbers are turned into strings before VARIANT sorts the keys, since it would
+    read long ones as doubles, and back again after it.
     """
-    return _canonical_udf()(text)
+    marked = F.regexp_replace(text, f'(?s)"({_INSIDE})"', '"s$1"')
+    numbers = canonical_numbers(F.regexp_extract_all(marked, F.lit(_TO_NUMBER), F.lit(2)))
+    slots = F.split(F.regexp_replace(marked, _TO_NUMBER, f'$1"n{_SLOT}"'), _SLOT, -1)
+    filled = F.zip_with(slots, numbers, lambda s, n: F.concat(s, F.coalesce(n, F.lit(""))))
+    as_strings = F.when(F.instr(text, _SLOT) == 0, F.array_join(filled, ""))
+    # Parsers stop after the first value: text behind it would have to continue both an array and an object.
+    listed = F.try_parse_json(F.concat(F.lit("["), as_strings, F.lit("]")))
+    named = F.try_parse_json(F.concat(F.lit('{"p":'), as_strings, F.lit("}")))
+    out = F.to_json(listed)
+    alone = named.isNotNull() & (F.json_array_length(out) == 1) & as_strings.rlike(_NO_NUMBER_AS_NAME)
+    bare = F.regexp_replace(F.substring(out, F.lit(2), F.length(out) - 2), _TO_MARKED, "$1$2")
+    return F.when(alone, F.regexp_replace(bare, f'(?s)"s({_INSIDE})"', '"$1"'))
 
 
 def json_hash(*parts: Column, document: Column) -> Column:
