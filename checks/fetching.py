@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 import quillspan as q
 from checks.registry import check
+from quillspan.plans.keyset import Keyset
 
 ID = "doc_id"
 
@@ -94,3 +95,37 @@ def scroll_pages(table):
 def array_join(table):
     langs = table("documents").groupBy("source").agg(F.array_sort(F.collect_set("lang")).alias("langs"))
     return langs.select("source", F.array_join("langs", ",").alias("langs"))
+
+
+def _orders_in_pages(table):
+    orders = table("orders").select("o_orderkey", "o_orderpriority", "o_totalprice", "o_custkey")
+    return Keyset(orders, [("o_orderpriority", "asc"), ("o_totalprice", "desc")], "o_orderkey", rows=2000)
+
+
+PAGED = (
+    "SELECT o_orderkey, o_orderpriority, o_totalprice, o_custkey FROM (SELECT *, row_number() OVER (ORDER BY o_orderpriority NULLS LAST, "
+    "o_totalprice DESC NULLS LAST, o_orderkey) - 1 AS place FROM orders) WHERE place BETWEEN {0} AND {1}"
+)
+
+
+@check("q_export_page", PAGED.format(1200, 1299))
+def export_page(table):
+    """A deep page, read from the ranges it lies in."""
+    return _orders_in_pages(table).page(12, 100)
+
+
+@check("q_export_after", PAGED.format(1300, 1399))
+def export_after(table):
+    """The page after the last row of another one, found by that row's key."""
+    pages = _orders_in_pages(table)
+    return pages.after(pages.page(12, 100).collect()[-1], 100)
+
+
+@check(
+    "q_export_ranges",
+    "SELECT count(*) AS docs, count(*) AS ends, min(o_orderpriority) AS first, max(o_orderpriority) AS last FROM orders",
+)
+def export_ranges(table):
+    """The ranges of the key cover every document once."""
+    ranges, ends = _orders_in_pages(table).ranges, F.max(F.col("start") + F.col("n")).alias("ends")
+    return ranges.agg(F.sum("n").alias("docs"), ends, F.min("last.k0").alias("first"), F.max("last.k0").alias("last"))
