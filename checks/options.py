@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 import quillspan as q
@@ -188,7 +191,7 @@ def upsert_rejects(table):
 
 
 def _snapshots(table):
-    """Three snapshots of two stores, the second of one of them and the third deleted."""
+    """Three snapshots of two stores, the second of one of them and the third deleted; the stores go on."""
     spark = table.spark
     stores = {name: Store(spark, new_folder(spark, name)) for name in ("customer", "supplier")}
     for name, store in stores.items():
@@ -198,26 +201,55 @@ def _snapshots(table):
     repository.create("some", stores, ["supplier"])
     repository.create("old", stores)
     repository.delete("old")
-    return repository
+    stores["customer"].commit(table("customer").where("c_acctbal < 0"))
+    return repository, stores
 
 
 @check(
     "q_snapshot_list",
-    "SELECT 'all' AS snapshot, 'customer,supplier' AS indices UNION ALL SELECT 'some', 'supplier'",
+    "SELECT 'all' AS snapshot, 'customer' AS index, c_nationkey AS nation, count(*) AS docs, min(c_name) AS first FROM customer "
+    "GROUP BY c_nationkey UNION ALL SELECT unnest(['all', 'some']), 'supplier', n, d, f FROM "
+    "(SELECT s_nationkey AS n, count(*) AS d, min(s_name) AS f FROM supplier GROUP BY s_nationkey)",
 )
 def snapshot_list(table):
-    listed = _snapshots(table).list().where("state = 'SUCCESS'")
-    return listed.select("snapshot", F.array_join(F.array_sort("indices"), ",").alias("indices"))
+    """Every complete snapshot with what its indices hold by nation."""
+    repository, _ = _snapshots(table)
+    held = []
+    for entry in repository.list().where("state = 'SUCCESS'").collect():
+        for index in entry["indices"]:
+            docs, at = repository.read(entry["snapshot"], index), index[0]
+            named = [F.lit(entry["snapshot"]).alias("snapshot"), F.lit(index).alias("index"), F.col(f"{at}_nationkey").alias("nation")]
+            held.append(docs.groupBy(*named).agg(F.count(F.lit(1)).alias("docs"), F.min(f"{at}_name").alias("first")))
+    return reduce(DataFrame.union, held)
 
 
-@check("q_snapshot_delete", "SELECT 'old' AS snapshot, 'DELETED' AS state")
+@check(
+    "q_snapshot_delete",
+    "SELECT c_custkey, 'DELETED' AS old, c_acctbal < 0 AS still FROM customer",
+)
 def snapshot_delete(table):
-    return _snapshots(table).list().where("state <> 'SUCCESS'").select("snapshot", "state")
+    """After one snapshot is deleted: every document of another one, and whether the store still has it."""
+    repository, stores = _snapshots(table)
+    state = repository.list().where("snapshot = 'old'").first()["state"]
+    now = stores["customer"].read().select("c_custkey", F.lit(True).alias("still"))
+    kept = repository.read("all", "customer").select("c_custkey").join(now, "c_custkey", "left")
+    return kept.select("c_custkey", F.lit(state).alias("old"), F.coalesce("still", F.lit(False)).alias("still"))
 
 
 @check(
     "q_mappings_typed",
-    "SELECT 'nation' AS index, '_doc' AS type, unnest(['n_nationkey', 'n_name', 'n_regionkey']) AS field",
+    "SELECT '_doc' AS type, field, data_type, docs FROM (SELECT unnest(['c_custkey', 'c_name', 'c_acctbal', 'c_mktsegment', 'c_nationkey']) AS field, "
+    "unnest(['bigint', 'string', 'double', 'string', NULL]) AS data_type, unnest([count(c_custkey), count(c_name), count(c_acctbal), count(c_mktsegment), 0]) AS docs "
+    "FROM (SELECT c_custkey, CASE WHEN c_custkey % 3 > 0 THEN c_name END AS c_name, CASE WHEN c_acctbal > 0 THEN c_acctbal END AS c_acctbal, "
+    "CASE WHEN c_nationkey < 9 THEN c_mktsegment END AS c_mktsegment FROM customer)) WHERE data_type IS NOT NULL",
 )
 def typed_mappings(table):
-    return catalog.mappings({"nation": table("nation")}, ["nation", "none"]).select("index", "type", "field")
+    """The fields of a mapping with their types and the number of documents that have them."""
+    docs = table("customer").select(
+        "c_custkey", F.when(F.col("c_custkey") % 3 > 0, F.col("c_name")).alias("c_name"),
+        F.when(F.col("c_acctbal") > 0, F.col("c_acctbal")).alias("c_acctbal"),
+        F.when(F.col("c_nationkey") < 9, F.col("c_mktsegment")).alias("c_mktsegment"),
+    )
+    fields = catalog.mappings({"customer": docs}, ["customer", "none"])
+    held = docs.agg(*(F.count(c).alias(c) for c in docs.columns)).unpivot([], docs.columns, "field", "docs")
+    return fields.join(held, "field").select("type", "field", "data_type", "docs")

@@ -146,6 +146,13 @@ class SnapshotRepository:
         names = indices or list(stores)
         self._log(snapshot, names, "SUCCESS", {name: stores[name].folder() for name in names})
 
+    def read(self, snapshot: str, index: str) -> DataFrame:
+        """The documents of one index as a snapshot holds them; no store changes."""
+        entry = self._state(snapshot)
+        if entry is None or entry["state"] != "SUCCESS" or index not in entry["indices"]:
+            raise ValueError(f"no complete snapshot {snapshot!r} of {index!r}")
+        return self.spark.read.parquet(entry["folders"][index])
+
     def restore(self, snapshot: str, stores: dict[str, Store]) -> dict[str, int]:
         """Commit every index of a snapshot as the next version of its store."""
         entry = self._state(snapshot)
