@@ -31,6 +31,8 @@ from quillspan.llm.registry import query, table
 
 # Most rounds of raking, and the largest departure from a target, as a share of the budget, that ends them.
 ROUNDS, TOLERANCE = 60, 1e-9
+# Up to this many cells are raked in one task, without shuffles; more are shuffled by the values of each dimension.
+CELLS_A_TASK = 1_000_000
 NONE = "(none)"
 
 
@@ -93,6 +95,9 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], budget: float, rounds:
             used.append(name)
         raked = raked.join(values, name)
     raked = cut(raked.withColumn("weight", F.col("room")), "cells")
+    # A window over one partition needs no shuffle; the result is the same either way.
+    together = raked.count() <= CELLS_A_TASK
+    raked = raked.coalesce(1) if together else raked
     if not used:
         raked = _scaled(raked.withColumn("all", F.lit(float(budget))), [F.lit(0)], "room", "weight", "all").drop("all")
     for i in range(rounds if used else 0):
@@ -100,6 +105,7 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], budget: float, rounds:
             raked = _scaled(raked, [F.col(name)], "room", "weight", f"t_{name}")
         if i % 3 == 2 or i == rounds - 1:
             raked = cut(raked, "raked")
+            raked = raked.coalesce(1) if together else raked
             off = [raked.groupBy(name).agg(F.abs(F.sum(_filled("room", "weight")) - F.first(f"t_{name}")).alias("off")).select("off") for name in used]
             most = reduce(DataFrame.union, off).agg(F.max("off")).first()[0]
             if most is None or most <= tolerance * budget:
