@@ -26,8 +26,8 @@ class Tables:
         return read_table(self.spark, self.folder, name)
 
     def stream(self, name: str) -> DataFrame:
-        files = self.spark.readStream.schema(self(name).schema).option("pathGlobFilter", f"{name}.parquet")
-        return files.parquet(self.folder)
+        # As a pattern, since a stream takes no single file; a table that is a folder gives all its files.
+        return self.spark.readStream.schema(self(name).schema).parquet(f"{self.folder.rstrip('/')}/{name}[.]parquet")
 
 
 def check(name: str, sql: str | None = None):

@@ -68,10 +68,12 @@ def percolate(
     pairs = rows.join(candidates, F.col("_doc").eqNullSafe(F.col("_candidate"))).join(index.drop("anchor"), "query_id")
     number = lambda r: F.try_element_at("_numbers", r["field"])
     inside = lambda r: number(r).isNotNull() & F.coalesce(number(r) >= r["low"], F.lit(True)) & F.coalesce(number(r) < r["high"], F.lit(True))
+    # Few terms are looked up in many: no set of a document's terms is built for each candidate.
+    held = lambda term: F.array_contains("_terms", term)
     holds = (
-        (F.size(F.array_except("required", "_terms")) == 0)
-        & ~F.coalesce(F.arrays_overlap("excluded", "_terms"), F.lit(False))
-        & F.coalesce(F.forall("ranges", inside), F.lit(True))
+        F.coalesce(F.forall("ranges", inside), F.lit(True))
+        & F.forall("required", held)
+        & ~F.coalesce(F.exists("excluded", held), F.lit(False))
     )
     return pairs.where(holds).select(F.col("_doc").alias(id_col), "query_id")
 
