@@ -174,7 +174,7 @@ def phrase_prefix(table):
 
 def positions(table) -> Positions:
     folder = new_folder(table.spark, "positions")
-    write_positions(texts(table), ID, "text", folder, buckets=8, block_chars=1 << 16)
+    write_positions(table("documents"), ID, "text", folder, buckets=8, block_chars=1 << 16)
     return read_positions(table.spark, folder)
 
 

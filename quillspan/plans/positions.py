@@ -32,6 +32,8 @@ from quillspan.operators.search import SCORE_DIGITS
 
 BUCKETS = 64
 BLOCK_CHARS = 1 << 20
+#: About so much text is indexed by one task, which then sorts what it finds in memory.
+PART_CHARS = 1 << 23
 #: So many candidate blocks are named to the scan, which then skips the others' pages; more are joined.
 NAMED_BLOCKS = 10_000
 # Bounds are sums in another order than scores; they are lifted by more than that can differ.
@@ -49,19 +51,19 @@ def _table(path: str) -> str:
     return f"positions_{hashlib.md5(path.encode()).hexdigest()}"
 
 
-def _blocks(df: DataFrame, id_col: str, field: str, block_chars: int) -> Column:
-    """The block of each document: its class by length, then its id's hash among the blocks of the class."""
+def _blocks(df: DataFrame, id_col: str, field: str, block_chars: int) -> tuple[Column, int]:
+    """The block of each document: its class by length, then its id's hash among the blocks of the class; and the size of all texts."""
     order = F.floor(F.log2(F.greatest(F.length(field), F.lit(1)))).cast("int")
     order = F.coalesce(order, F.lit(0))
     sizes = df.groupBy(order.alias("order")).agg(F.sum(F.coalesce(F.length(field), F.lit(0)) + 1).alias("chars"))
-    first, counts, total = {}, {}, 0
+    first, counts, total, chars = {}, {}, 0, 0
     for row in sizes.orderBy("order").collect():  # lengths have 31 binary orders
         first[row["order"]], counts[row["order"]] = total, -(-row["chars"] // block_chars)
-        total += counts[row["order"]]
+        total, chars = total + counts[row["order"]], chars + row["chars"]
     if not counts:
-        return F.lit(0)
+        return F.lit(0), 0
     as_map = lambda values: F.create_map(*[F.lit(x) for pair in values.items() for x in pair])
-    return (as_map(first)[order] + F.pmod(F.xxhash64(id_col), as_map(counts)[order])).cast("int")
+    return (as_map(first)[order] + F.pmod(F.xxhash64(id_col), as_map(counts)[order])).cast("int"), chars
 
 
 def _places(words: str) -> Column:
@@ -83,20 +85,23 @@ def _places(words: str) -> Column:
 def write_positions(
     df: DataFrame, id_col: str, field: str, path: str, buckets: int = BUCKETS, block_chars: int = BLOCK_CHARS
 ) -> None:
-    """Find the places of every token inside its document's row, then shuffle them once to their buckets.
+    """Shuffle the texts once to their blocks' tasks, then find the places of every token there.
 
-    ``path`` must be absolute. The places of one token in one block are one row, bounded by ``block_chars`` or, where
+    Texts are smaller than their places. A bucket is dealt over as many tasks as its text fills, each of which writes a file of
+    its own: their number is a multiple of ``buckets``, so a task's blocks share a bucket. ``path`` must be absolute. The places of one token in one block are one row, bounded by ``block_chars`` or, where
     one document is longer, by that document.
     """
     spark = df.sparkSession
     docs = df.select(F.col(id_col).alias("_id"), F.col(field).cast("string").alias("_text"))
-    block = _blocks(docs, "_id", "_text", block_chars)
-    words = docs.where(F.col("_id").isNotNull()).select("_id", block.alias("block"), ta.tokens(F.col("_text")).alias("_words"))
+    block, chars = _blocks(docs, "_id", "_text", block_chars)
+    tasks = buckets * max(1, -(-chars // (buckets * PART_CHARS)))
+    dealt = docs.where(F.col("_id").isNotNull()).select("_id", "_text", block.alias("block")).repartition(tasks, "block")
+    words = dealt.select("_id", "block", ta.tokens(F.col("_text")).alias("_words"))
     placed = F.sort_array(F.transform("_words", lambda w, i: F.struct(w.alias("token"), i.alias("place"))))
     words = words.select("_id", "block", F.size("_words").alias("dl"), placed.alias("_sorted"))
     found = words.select("_id", "block", "dl", F.when(F.col("dl") > 0, _places("_sorted")).alias("_found"))
     rows = unnest(found, "_found", "_f").select("block", "_f.token", F.struct("_id", "dl", F.size("_f.places").alias("tf"), "_f.places").alias("doc"))
-    rows = rows.repartition(buckets, "block").groupBy("block", "token").agg(
+    rows = rows.groupBy("block", "token").agg(
         F.collect_list("doc").alias("docs"),
         F.count(F.lit(1)).alias("df"),
         F.sum("doc.tf").alias("cf"),

@@ -92,3 +92,16 @@ def test_places_are_delta_coded(index):
     group = pq.ParquetFile(path).metadata.row_group(0)
     encodings = {group.column(i).path_in_schema: group.column(i).encodings for i in range(group.num_columns)}
     assert encodings["docs.list.element.places.list.element"] == ("DELTA_BINARY_PACKED",)
+
+
+def test_buckets_are_dealt_over_tasks(spark, docs, plan, tmp_path, monkeypatch):
+    monkeypatch.setattr(positions, "PART_CHARS", 1000)
+    path = str(tmp_path / "many")
+    positions.write_positions(docs, "id", "t", path, buckets=3, block_chars=500)
+    many = positions.read_positions(spark, path)
+    files = many.rows.groupBy("_metadata.file_name").agg(F.countDistinct(F.expr("pmod(hash(block), 3)")).alias("buckets")).collect()
+    assert len(files) > 6 and {r["buckets"] for r in files} == {1}  # a bucket has several files, a file one bucket
+    assert "Exchange" not in plan(positions.phrase_positions(many, "of the"))
+    for text in ("of the", "the", "x"):
+        assert rows(positions.phrase_positions(many, text)) == rows(scan(docs, q.phrase("t", text)))
+        assert rows(positions.match_positions(many, text)) == rows(scan(docs, q.match("t", text)))
