@@ -428,7 +428,9 @@ PROPS = "SELECT event_id, event_type, regexp_extract(props, '[0-9]+') AS k FROM
     "|| ',\"b\":\"' || event_type || '\"}}' AS doc FROM s, (VALUES ('1'), ('1.0')) v(a)",
 )
 def json_dedup(table):
-    return two_spellings(table).select(qj.canonical_json(F.col("doc")).alias("doc")).distinct()
+    # Equal texts are read once; they are counted, since Spark drops a distinct that is below another one.
+    spellings = two_spellings(table).groupBy("doc").agg(F.count(F.lit(1)).alias("docs")).where("docs > 0")
+    return spellings.select(qj.canonical_json(F.col("doc")).alias("doc")).distinct()
 
 
 @check(
@@ -437,8 +439,9 @@ def json_dedup(table):
     "GROUP BY event_type, k, n",
 )
 def json_hash_groups(table):
-    hashed = two_spellings(table).select("event_id", qj.json_hash(F.lit("i"), document=F.col("doc")).alias("h"))
-    return hashed.groupBy("h").agg(F.min("event_id").alias("first"), F.count(F.lit(1)).alias("docs")).drop("h")
+    spellings = two_spellings(table).groupBy("doc").agg(F.min("event_id").alias("first"), F.count(F.lit(1)).alias("docs"))
+    hashed = spellings.select("first", "docs", qj.json_hash(F.lit("i"), document=F.col("doc")).alias("h"))
+    return hashed.groupBy("h").agg(F.min("first").alias("first"), F.sum("docs").alias("docs")).drop("h")
 
 
 ORDER_SCHEMA = "orderKey bigint, custKey bigint, orderStatus string, priceInfo struct<totalPrice: double, isLarge: boolean>"

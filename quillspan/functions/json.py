@@ -19,6 +19,11 @@ _NO_NUMBER_AS_NAME = rf'(?s)^(?:[^"]++|"s{_INSIDE}"|"n[^"]*+"(?!\s*+:))*+$'
 _SLOT = "\u0001"
 
 
+def _once(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once, however often ``body`` names it: Spark would repeat it behind a condition."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def canonical_numbers(texts: Column) -> Column:
     """One spelling per number of an array, exact however long: whole numbers as they are, others by digits and power of ten.
 
@@ -30,7 +35,6 @@ def canonical_numbers(texts: Column) -> Column:
         part = F.regexp_extract(text, r"\.([0-9]+)", 1)
         power = F.regexp_extract(text, r"[eE]\+?(-?[0-9]+)$", 1)
         return F.struct(
-            text.alias("text"),
             F.regexp_replace(F.concat(F.regexp_extract(text, r"^-?([0-9]+)", 1), part), "^0+", "").alias("digits"),
             F.length(part).alias("behind"),
             F.when(power == "", F.lit(0).cast("bigint")).otherwise(power.try_cast("bigint")).alias("power"),
@@ -38,14 +42,13 @@ def canonical_numbers(texts: Column) -> Column:
 
     def placed(n):
         return F.struct(
-            n["text"].alias("text"),
             F.regexp_replace(n["digits"], "0++$", "").alias("kept"),
             # Where the point stands, counted from the first digit that is not zero.
             F.try_add(n["power"], (F.length(n["digits"]) - n["behind"]).cast("bigint")).alias("point"),
         )
 
-    def spelled(n):
-        text, kept, point = n["text"], n["kept"], n["point"]
+    def spelled(text, n):
+        kept, point = n["kept"], n["point"]
         near = point.cast("int")
         plain = (
             F.when(point <= 0, F.concat(F.lit("0."), F.repeat(F.lit("0"), -near), kept))
@@ -54,15 +57,13 @@ def canonical_numbers(texts: Column) -> Column:
         )
         exact = F.when(point.between(-16, 16), plain).otherwise(F.concat(F.lit("0."), kept, F.lit("e"), point.cast("string")))
         signed = F.concat(F.when(text.startswith("-"), F.lit("-")).otherwise(F.lit("")), exact)
-        return (
-            F.when(text == "-0", F.lit("0"))
-            .when(~text.rlike("[.eE]"), text)
-            .when(kept == "", F.lit("0.0"))
-            .when(point.isNull(), F.lower(text))
-            .otherwise(signed)
-        )
+        return F.when(kept == "", F.lit("0.0")).when(point.isNull(), F.lower(text)).otherwise(signed)
+
+    def number(text):
+        other = _once(read(text), lambda n: _once(placed(n), lambda m: spelled(text, m)))
+        return F.when(text == "-0", F.lit("0")).when(~text.rlike("[.eE]"), text).otherwise(other)
 
-    return F.transform(F.transform(F.transform(texts, read), placed), spelled)
+    return F.transform(texts, number)
 
 
 def canonical_json(text: Column) -> Column:
@@ -75,18 +76,25 @@ def canonical_json(text: Column) -> Column:
     Only built-in functions run: numbers are turned into strings before VARIANT sorts the keys, since it would
     read long ones as doubles, and back again after it.
     """
+
+    def with_strings(marked):
+        numbers = canonical_numbers(F.regexp_extract_all(marked, F.lit(_TO_NUMBER), F.lit(2)))
+        slots = F.split(F.regexp_replace(marked, _TO_NUMBER, f'$1"n{_SLOT}"'), _SLOT, -1)
+        filled = F.zip_with(slots, numbers, lambda s, n: F.concat(s, F.coalesce(n, F.lit(""))))
+        return F.when(F.instr(text, _SLOT) == 0, F.array_join(filled, ""))
+
+    def in_order(as_strings):
+        # Parsers stop after the first value: text behind it would have to continue both an array and an object.
+        named = F.try_parse_json(F.concat(F.lit('{"p":'), as_strings, F.lit("}")))
+        listed = F.try_parse_json(F.concat(F.lit("["), as_strings, F.lit("]")))
+        return F.when(named.isNotNull() & as_strings.rlike(_NO_NUMBER_AS_NAME), F.to_json(listed))
+
+    def unmarked(out):
+        bare = F.regexp_replace(F.substring(out, F.lit(2), F.length(out) - 2), _TO_MARKED, "$1$2")
+        return F.when(F.json_array_length(out) == 1, F.regexp_replace(bare, f'(?s)"s({_INSIDE})"', '"$1"'))
+
     marked = F.regexp_replace(text, f'(?s)"({_INSIDE})"', '"s$1"')
-    numbers = canonical_numbers(F.regexp_extract_all(marked, F.lit(_TO_NUMBER), F.lit(2)))
-    slots = F.split(F.regexp_replace(marked, _TO_NUMBER, f'$1"n{_SLOT}"'), _SLOT, -1)
-    filled = F.zip_with(slots, numbers, lambda s, n: F.concat(s, F.coalesce(n, F.lit(""))))
-    as_strings = F.when(F.instr(text, _SLOT) == 0, F.array_join(filled, ""))
-    # Parsers stop after the first value: text behind it would have to continue both an array and an object.
-    listed = F.try_parse_json(F.concat(F.lit("["), as_strings, F.lit("]")))
-    named = F.try_parse_json(F.concat(F.lit('{"p":'), as_strings, F.lit("}")))
-    out = F.to_json(listed)
-    alone = named.isNotNull() & (F.json_array_length(out) == 1) & as_strings.rlike(_NO_NUMBER_AS_NAME)
-    bare = F.regexp_replace(F.substring(out, F.lit(2), F.length(out) - 2), _TO_MARKED, "$1$2")
-    return F.when(alone, F.regexp_replace(bare, f'(?s)"s({_INSIDE})"', '"$1"'))
+    return _once(_once(_once(marked, with_strings), in_order), unmarked)
 
 
 def json_hash(*parts: Column, document: Column) -> Column:

@@ -50,3 +50,25 @@ def test_equal_trees_have_one_spelling_and_others_do_not(spark):
 def test_canonical_json_needs_no_python_worker(spark, plan):
     df = spark.createDataFrame([('{"a": 1}',)], "t string").groupBy(qj.json_hash(document=F.col("t")).alias("h")).count()
     assert "Python" not in plan(df)
+
+
+def test_canonical_json_reads_a_text_once(spark, plan):
+    df = spark.createDataFrame([('{"a": 1}',)], "t string").select(qj.canonical_json(F.col("t")).alias("c"))
+    made = plan(df)
+    assert made.count('"s$1"') == 1 and made.count("try_parse_json") <= 2
+
+
+def test_equal_documents_are_read_once(spark, plan):
+    from checks.archives import json_dedup, json_hash_groups
+    from checks.registry import Tables
+
+    class Events(Tables):
+        def __call__(self, name):
+            return self.spark.createDataFrame([(1, "a", '{"k": 1}'), (2, "a", '{"k": 1}'), (3, None, '{"k": 1}'), (4, "b", None)], "event_id bigint, event_type string, props string")
+
+    events = Events(spark, "")
+    assert sorted(r["doc"] or "" for r in json_dedup(events).collect()) == ["", '{"k":1,"t":{"a":1,"b":"a"}}', '{"k":1,"t":{"a":1.0,"b":"a"}}']
+    assert sorted(map(tuple, json_hash_groups(events).collect())) == [(1, 2), (1, 4), (3, 6)]
+    made = plan(json_dedup(events))
+    assert made.rindex('"s$1"') < made.rindex("Aggregate")  # texts are grouped below
+    assert "keys=[doc" in plan(json_hash_groups(events))
