@@ -128,4 +128,4 @@ def export_after(table):
 def export_ranges(table):
     """The ranges of the key cover every document once."""
     ranges, ends = _orders_in_pages(table).ranges, F.max(F.col("start") + F.col("n")).alias("ends")
-    return ranges.agg(F.sum("n").alias("docs"), ends, F.min("last.k0").alias("first"), F.max("last.k0").alias("last"))
+    return ranges.agg(F.sum("n").alias("docs"), ends, F.min("first.k0").alias("first"), F.max("last.k0").alias("last"))

@@ -69,8 +69,9 @@ class Keyset:
         parts = max(1, -(-keys.count() // rows))
         ranged = keys.repartitionByRange(parts, *self.order).sortWithinPartitions(*self.order)
         numbered = ranged.withColumn("_at", F.monotonically_increasing_id())
+        key = F.struct(*(F.col(c).alias(f"k{i}") for i, c in enumerate(names)))
         counted = numbered.groupBy(F.shiftright("_at", _ROW_BITS).alias("range_no")).agg(
-            F.count(F.lit(1)).alias("n"), F.max_by(F.struct(*(F.col(c).alias(f"k{i}") for i, c in enumerate(names))), "_at").alias("last")
+            F.count(F.lit(1)).alias("n"), F.min_by(key, "_at").alias("first"), F.max_by(key, "_at").alias("last")
         )
         # One row per range from here on.
         along = Window.orderBy("range_no")

@@ -42,3 +42,10 @@ def test_a_deep_page_reads_one_range(spark, tmp_path, plan):
 def test_empty_collection(spark):
     pages = Keyset(rows_of(spark, 1).limit(0), [("v", "asc")], "id")
     assert pages.page(0, 10).count() == 0 and pages.page(3, 10).count() == 0
+
+
+@pytest.mark.parametrize("rows", [10, 1000])
+def test_ranges_name_their_first_and_last_key(spark, rows):
+    pages = Keyset(rows_of(spark, 101), [], "id", rows=rows)
+    ranges = [(r["first"]["k0"], r["last"]["k0"], r["n"]) for r in pages.ranges.orderBy("start").collect()]
+    assert ranges[0][0] == 0 and ranges[-1][1] == 100 and all(last - first + 1 == n for first, last, n in ranges)
