@@ -45,6 +45,13 @@ class Bitmap:
         words[rows["at"].to_numpy()] = rows["word"].to_numpy()
         self.bits, self.bytes = bits, words.view(np.uint8)
 
+    @classmethod
+    def of(cls, data: np.ndarray, bits: int) -> Bitmap:
+        """The bitmap whose bytes are known."""
+        self = cls.__new__(cls)
+        self.bits, self.bytes = bits, data
+        return self
+
     def has(self, hashes: np.ndarray) -> np.ndarray:
         at = (hashes >> np.uint64(64 - self.bits)).astype(np.int64)
         return (self.bytes[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1

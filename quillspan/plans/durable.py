@@ -9,6 +9,7 @@ import weakref
 from pyspark.sql import DataFrame, SparkSession
 
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _scratch: dict[str, str] = {}
 _folders: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
 
@@ -31,9 +32,17 @@ def new_folder(spark: SparkSession, label: str) -> str:
 
 
 def materialize(df: DataFrame, label: str = "cut") -> DataFrame:
-    """Write ``df`` to the shared folder and read it back; the result has no lineage to lose."""
-    folder = new_folder(df.sparkSession, label)
-    df.write.parquet(folder)
+    """Write ``df`` to the shared folder and read it back; the result has no lineage to lose.
+
+    The shuffles of the written plan have no other reader, so their files go with it and not at some later collection.
+    """
+    folder, conf = new_folder(df.sparkSession, label), df.sparkSession.conf
+    before = conf.get(_CLEANUP)
+    conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(folder)
+    finally:
+        conf.set(_CLEANUP, before)
     out = df.sparkSession.read.schema(df.schema).parquet(folder)
     _folders[out] = folder
     return out
